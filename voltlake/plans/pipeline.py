@@ -1,0 +1,109 @@
+"""Bronze, Silver and Gold in one run: ``python -m voltlake.plans.pipeline RAW_DIR ROOT``."""
+
+from __future__ import annotations
+
+import sys
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+from voltlake.operators import quality
+from voltlake.operators.refine import refine
+from voltlake.plans import gold
+from voltlake.session import build_session
+from voltlake.sources import loading, snapshots
+from voltlake.specs import GOLD_TABLES, RETENTION_HOURS, SPECS
+
+
+def run_bronze(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
+    """Loads the five raw files; stops at the first that fails, after auditing it."""
+    batch_id = str(uuid.uuid4())
+    return {
+        name: loading.ingest(spark, spec, f"{raw_dir}/{spec.raw_file}", root, batch_id)
+        for name, spec in SPECS.items()
+    }
+
+
+def run_silver(spark: SparkSession, root: str) -> dict[str, int]:
+    """Rebuilds every Silver table from its Bronze table as a new version."""
+    written = {}
+    for name, spec in SPECS.items():
+        bronze = snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
+        path = loading.silver_path(root, spec)
+        _, written[name] = snapshots.publish(spark, refine(bronze, spec), path, "overwrite")
+    return written
+
+
+def maintain_silver(spark: SparkSession, root: str, retain_hours: float = RETENTION_HOURS) -> None:
+    """Clusters every Silver table on its columns, then clears expired versions.
+
+    Clustering writes full-size files, so a compaction before it would be work twice.
+    """
+    for spec in SPECS.values():
+        path = loading.silver_path(root, spec)
+        snapshots.cluster(spark, path, spec.cluster_by)
+        snapshots.expire(spark, path, retain_hours)
+
+
+def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    return {
+        name: snapshots.read_snapshot(spark, loading.silver_path(root, spec))
+        for name, spec in SPECS.items()
+    }
+
+
+def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
+    """Publishes the dimensions and the fact, then the marts from the published fact."""
+    s = silver_tables(spark, root)
+    energy, weather, device, grid, tariff = (s[name] for name in SPECS)
+    written = {}
+
+    def publish(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        path = loading.gold_path(root, name)
+        _, written[name] = snapshots.publish(spark, df, path, "overwrite", partition_by)
+
+    publish("dim_date", gold.dim_date(energy))
+    publish("dim_household", gold.dim_household(energy))
+    publish("dim_weather", gold.dim_weather(weather))
+    publish("dim_device", gold.dim_device(device))
+    publish("dim_grid", gold.dim_grid(grid))
+    publish("dim_tariff", gold.dim_tariff(tariff))
+    publish("fact_energy", gold.fact_energy(energy, weather, device, grid, tariff), ("month_key",))
+    fact = snapshots.read_snapshot(spark, loading.gold_path(root, "fact_energy"))
+    publish("daily_summary", gold.daily_summary(fact))
+    publish("monthly_summary", gold.monthly_summary(fact))
+    publish("yearly_summary", gold.yearly_summary(fact))
+    publish("executive_dashboard", gold.executive_dashboard(fact))
+    return written
+
+
+def run_gates(spark: SparkSession, root: str) -> dict[str, int]:
+    """Every table of every layer and the audit log must hold rows."""
+    tables = {
+        f"bronze.{spec.bronze_name}": snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
+        for spec in SPECS.values()
+    }
+    tables |= {f"silver.{name}": df for name, df in silver_tables(spark, root).items()}
+    tables |= {
+        f"gold.{name}": snapshots.read_snapshot(spark, loading.gold_path(root, name))
+        for name in GOLD_TABLES
+    }
+    quality.require_not_empty(loading.read_audit(spark, loading.audit_path(root)), "bronze.audit_log")
+    return quality.require_rows(tables)
+
+
+def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
+    loading.create_layers(spark, root)
+    loading.create_audit_table(spark, "bronze.audit_log", loading.audit_path(root))
+    run_bronze(spark, raw_dir, root)
+    run_silver(spark, root)
+    maintain_silver(spark, root)
+    run_gold(spark, root)
+    return run_gates(spark, root)
+
+
+if __name__ == "__main__":
+    if len(sys.argv) != 3:
+        sys.exit("usage: python -m voltlake.plans.pipeline RAW_DIR ROOT")
+    for table, rows in run(build_session(), sys.argv[1], sys.argv[2]).items():
+        print(f"{table}\t{rows}")

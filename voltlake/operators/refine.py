@@ -54,7 +54,7 @@ def validate(df: DataFrame, spec: TableSpec) -> DataFrame:
 def tag_failures(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Adds ``failed_rules``: the measures of the row that are outside their range."""
     failures = [
-        F.when(~C.within(c, *bounds), F.lit(c)) for c, bounds in spec.ranges.items()
+        F.when(~C.within(c, *spec.ranges[c]), F.lit(c)) for c in spec.measures if c in spec.ranges
     ]
     tags = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
     return df.withColumn("failed_rules", tags)

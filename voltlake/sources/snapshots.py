@@ -2,13 +2,13 @@
 
 Every write goes to a new folder below ``<table>/data``; afterwards one row below
 ``<table>/commits`` names the folders that make up the new version. A failed write
-leaves no row and is therefore invisible. One writer per table at a time: the commit
-folder is created with "error if exists", so a second writer of the same version
-fails rather than overwriting.
+leaves no row and is therefore invisible. One writer per table at a time; a second
+writer that reaches the same version number fails instead of overwriting.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import uuid
 from collections.abc import Sequence
@@ -24,7 +24,8 @@ from voltlake.specs import RETENTION_HOURS
 
 COMMIT_SCHEMA = (
     "version LONG, committed_at TIMESTAMP, operation STRING, n_rows LONG, n_files LONG, "
-    "n_bytes LONG, dirs ARRAY<STRING>, schema_json STRING"
+    "n_bytes LONG, folders ARRAY<STRUCT<dir: STRING, n_files: LONG, n_bytes: LONG>>, "
+    "schema_json STRING"
 )
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 SAMPLE_ROWS = 20_000
@@ -39,35 +40,42 @@ def _path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    target, fs = _path(spark, f"{path}/commits")
-    return fs.exists(target)
+def _commits(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    target, fs = _path(spark, f"{path}/commits/{pattern}")
+    return sorted(s.getPath().toString() for s in fs.globStatus(target) or [])
+
+
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Retained version numbers in order. A commit counts once its marker is written."""
+    return [int(p.split("/")[-2][1:]) for p in _commits(spark, path, "v*/_SUCCESS")]
+
+
+def _commit_folder(path: str, version: int) -> str:
+    return f"{path}/commits/v{version:010d}"
 
 
 def history(spark: SparkSession, path: str) -> DataFrame:
     """One row per retained version."""
-    if not exists(spark, path):
+    folders = [_commit_folder(path, v) for v in versions(spark, path)]
+    if not folders:
         return spark.createDataFrame([], COMMIT_SCHEMA)
-    return (
-        spark.read.schema(COMMIT_SCHEMA)
-        .option("recursiveFileLookup", True)
-        .parquet(f"{path}/commits")
-    )
+    return spark.read.schema(COMMIT_SCHEMA).parquet(*folders)
 
 
 def _commit_row(spark: SparkSession, path: str, version: int | None = None) -> Row | None:
-    log = history(spark, path)
-    if version is not None:
-        log = log.filter(F.col("version") == version)
-    rows = log.orderBy(F.col("version").desc()).limit(1).collect()
-    return rows[0] if rows else None
+    known = versions(spark, path)
+    wanted = known[-1] if known and version is None else version
+    if wanted not in known:
+        return None
+    return spark.read.schema(COMMIT_SCHEMA).parquet(_commit_folder(path, wanted)).first()
 
 
 def _require(spark: SparkSession, path: str, version: int | None) -> Row:
     row = _commit_row(spark, path, version)
     if row is None:
-        kept = [r["version"] for r in history(spark, path).select("version").orderBy("version").collect()]
-        raise VersionNotFound(f"{path}: no version {version}; retained versions: {kept}")
+        raise VersionNotFound(
+            f"{path}: no version {version}; retained versions: {versions(spark, path)}"
+        )
     return row
 
 
@@ -81,7 +89,7 @@ def read_snapshot(spark: SparkSession, path: str, version: int | None = None) ->
     Folders written before a column existed give null for it.
     """
     row = _require(spark, path, version)
-    return _read_dirs(spark, path, row["dirs"], row["schema_json"])
+    return _read_dirs(spark, path, list(_sizes(row)), row["schema_json"])
 
 
 def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema_json: str) -> DataFrame:
@@ -92,54 +100,57 @@ def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema_json:
 
 
 def _schema(schema_json: str) -> T.StructType:
-    return T._parse_datatype_json_string(schema_json)
+    return T.StructType.fromJson(json.loads(schema_json))
 
 
-def _sizes(spark: SparkSession, path: str, dirs: Sequence[str]) -> DataFrame:
-    """(dir, n_files, n_bytes); lists the folders and reads no file."""
-    if not dirs:
-        return spark.createDataFrame([], "dir STRING, n_files LONG, n_bytes LONG")
-    return (
-        spark.read.format("binaryFile")
-        .options(pathGlobFilter="*.parquet", recursiveFileLookup=True)
-        .load([f"{path}/{d}" for d in dirs])
-        .select(F.regexp_extract("path", r"/(data/[0-9a-f]{32})/", 1).alias("dir"), "length")
-        .groupBy("dir")
-        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
-    )
+def _size(spark: SparkSession, path: str, folder: str) -> tuple[int, int]:
+    """(files, bytes) of one data folder, from the file system's own summary."""
+    target, fs = _path(spark, f"{path}/{folder}")
+    summary = fs.getContentSummary(target)
+    return summary.getFileCount(), summary.getLength()
 
 
 def _commit(
     spark: SparkSession,
     path: str,
-    last: Row | None,
     operation: str,
-    dirs: Sequence[str],
+    sizes: dict[str, tuple[int, int]],
     schema: T.StructType,
     n_rows: int,
 ) -> int:
-    total = _sizes(spark, path, dirs).agg(F.sum("n_files"), F.sum("n_bytes")).first()
-    version = last["version"] + 1 if last else 0
+    """Makes the folders in ``sizes`` the next version."""
+    # Counts folders without a marker too: a commit that broke off keeps its number.
+    taken = _commits(spark, path, "v*")
+    version = int(taken[-1].rsplit("/v", 1)[1]) + 1 if taken else 0
     row = (
-        version, datetime.now(timezone.utc), operation, n_rows, total[0] or 0, total[1] or 0,
-        list(dirs), schema.json(),
+        version, datetime.now(timezone.utc), operation, n_rows,
+        sum(n for n, _ in sizes.values()), sum(b for _, b in sizes.values()),
+        [{"dir": d, "n_files": n, "n_bytes": b} for d, (n, b) in sizes.items()], schema.json(),
     )
     spark.createDataFrame([row], COMMIT_SCHEMA).coalesce(1).write.mode("errorifexists").parquet(
-        f"{path}/commits/v{version:010d}"
+        _commit_folder(path, version)
     )
     return version
 
 
-def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> tuple[str, int]:
-    """Writes a new data folder; the row count is collected by the write itself."""
+def _sizes(row: Row | None) -> dict[str, tuple[int, int]]:
+    return {d["dir"]: (d["n_files"], d["n_bytes"]) for d in row["folders"]} if row else {}
+
+
+def _write(
+    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
+) -> tuple[dict[str, tuple[int, int]], int]:
+    """Writes a new data folder; returns it with its size, and the rows the write counted."""
     folder = f"data/{uuid.uuid4().hex}"
     counted = Observation()
     # Observed directly below the write, where every row is counted exactly once.
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write
+    # The commit row marks the write as complete, and the size should count data only.
+    writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{folder}")
-    return folder, counted.get.get("n", 0)
+    return {folder: _size(spark, path, folder)}, counted.get.get("n", 0)
 
 
 def publish(
@@ -148,7 +159,6 @@ def publish(
     path: str,
     mode: str = "append",
     partition_by: Sequence[str] = (),
-    operation: str = "WRITE",
 ) -> tuple[int, int]:
     """Writes ``df`` as the next version; returns (version, rows written).
 
@@ -163,12 +173,10 @@ def publish(
     schema = merged_schema(_schema(last["schema_json"]), df.schema) if last else df.schema
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    folder, n_rows = _write(df, path, partition_by)
-    kept = list(last["dirs"]) if last and mode == "append" else []
+    written, n_rows = _write(spark, df, path, partition_by)
+    kept = _sizes(last) if mode == "append" else {}
     total = n_rows + (last["n_rows"] if kept else 0)
-    version = _commit(
-        spark, path, last, f"{operation} {mode}".upper(), [*kept, folder], schema, total
-    )
+    version = _commit(spark, path, f"WRITE {mode}".upper(), {**kept, **written}, schema, total)
     return version, n_rows
 
 
@@ -179,17 +187,20 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     which is the old one when there was nothing to do.
     """
     last = _require(spark, path, None)
-    sizes = {r["dir"]: r for r in _sizes(spark, path, last["dirs"]).collect()}
-    needed = {d: max(1, math.ceil(s["n_bytes"] / target_bytes)) for d, s in sizes.items()}
-    loose = [d for d, s in sizes.items() if s["n_files"] > needed[d]]
-    # Well-packed single-file folders below the target join in when there are several.
-    loose += [d for d, s in sizes.items() if d not in loose and s["n_bytes"] < target_bytes // 2]
-    if not loose or (len(loose) == 1 and sizes[loose[0]]["n_files"] <= needed[loose[0]]):
+    sizes = _sizes(last)
+    full = {
+        d for d, (n, b) in sizes.items() if n <= max(1, math.ceil(b / target_bytes)) and b > target_bytes // 2
+    }
+    loose = {d: size for d, size in sizes.items() if d not in full}
+    files = max(1, math.ceil(sum(b for _, b in loose.values()) / target_bytes))
+    if sum(n for n, _ in loose.values()) <= files:
         return last["version"]
-    files = max(1, math.ceil(sum(sizes[d]["n_bytes"] for d in loose) / target_bytes))
-    folder, _ = _write(_read_dirs(spark, path, loose, last["schema_json"]).coalesce(files), path)
-    dirs = [d for d in last["dirs"] if d not in loose] + [folder]
-    return _commit(spark, path, last, "OPTIMIZE", dirs, _schema(last["schema_json"]), last["n_rows"])
+    small = _read_dirs(spark, path, list(loose), last["schema_json"])
+    written, _ = _write(spark, small.coalesce(files), path)
+    kept = {d: size for d, size in sizes.items() if d in full}
+    return _commit(
+        spark, path, "OPTIMIZE", {**kept, **written}, _schema(last["schema_json"]), last["n_rows"]
+    )
 
 
 def _bounds(values: list, cells: int) -> list:
@@ -231,7 +242,7 @@ def cluster(
     all clustering columns, still spread over several files.
     """
     last = _require(spark, path, None)
-    df = _read_dirs(spark, path, last["dirs"], last["schema_json"])
+    df = _read_dirs(spark, path, list(_sizes(last)), last["schema_json"])
     files = max(1, math.ceil(last["n_bytes"] / target_bytes))
     ordered = [F.col("_z"), *[F.col(c) for c in columns]]
     whole_row = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
@@ -241,9 +252,9 @@ def cluster(
         .sortWithinPartitions(*ordered)
         .drop("_z")
     )
-    folder, n_rows = _write(laid_out, path)
+    written, n_rows = _write(spark, laid_out, path)
     return _commit(
-        spark, path, last, f"ZORDER ({', '.join(columns)})", [folder],
+        spark, path, f"ZORDER ({', '.join(columns)})", written,
         _schema(last["schema_json"]), n_rows,
     )
 
@@ -262,7 +273,9 @@ def expire(
     by_version = Window.orderBy("version")  # the commit log: one small row per version
     log = history(spark, path).withColumn("replaced_at", F.lead("committed_at").over(by_version))
     gone = F.col("replaced_at") < F.lit(cutoff)
-    rows = log.select("version", "dirs", F.coalesce(gone, F.lit(False)).alias("gone")).collect()
+    rows = log.select(
+        "version", F.col("folders.dir").alias("dirs"), F.coalesce(gone, F.lit(False)).alias("gone")
+    ).collect()
     live = {d for r in rows if not r["gone"] for d in r["dirs"]}
     data, fs = _path(spark, f"{path}/data")
     for status in fs.listStatus(data) if fs.exists(data) else []:
@@ -272,5 +285,5 @@ def expire(
             fs.delete(status.getPath(), True)
     expired = sorted(r["version"] for r in rows if r["gone"])
     for version in expired:
-        fs.delete(_path(spark, f"{path}/commits/v{version:010d}")[0], True)
+        fs.delete(_path(spark, _commit_folder(path, version))[0], True)
     return expired

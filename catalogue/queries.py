@@ -379,17 +379,18 @@ def dim_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _compared(gold.dim_tariff(silver(spark, sf_dir, "tariff_metrics")))
 
 
-def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.fact_energy(*[silver(spark, sf_dir, name) for name in SPECS])
-
-
 def fact_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fact = _fact(spark, sf_dir)
+    fact = gold.fact_energy(*[silver(spark, sf_dir, name) for name in SPECS])
     return _compared(fact.withColumn("has_weather", F.col("weather_key").isNotNull()))
 
 
-def _over_fact(build: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: build(_fact(spark, sf_dir))
+def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.energy_readings(silver(spark, sf_dir, "energy_usage"))
+
+
+def _over_readings(build: Callable[[DataFrame], DataFrame]) -> Query:
+    """A summary that needs no columns of the fact beyond the readings themselves."""
+    return lambda spark, sf_dir: build(_readings(spark, sf_dir))
 
 
 def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -397,7 +398,7 @@ def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Some late readings of the 3rd belong to the batch, so an old day changes too.
     """
-    fact = _fact(spark, sf_dir)
+    fact = _readings(spark, sf_dir)
     arrived_late = F.coalesce(
         (F.dayofmonth("timestamp") >= 20)
         | ((F.dayofmonth("timestamp") == 3) & (F.col("meter_type") == "CLICK")),
@@ -424,7 +425,9 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     late = (F.col("o_orderpriority") == "1-URGENT") & (F.month("o_orderdate") == 5)
     in_batch = (F.year("o_orderdate") >= 2000) | late
-    before = scd.scd2_history(orders.filter(~in_batch), **ORDER_HISTORY)
+    path = f"{work_dir(spark, 'scd2')}/customer_status"
+    snapshots.publish(spark, scd.scd2_history(orders.filter(~in_batch), **ORDER_HISTORY), path)
+    before = snapshots.read_snapshot(spark, path)
     return scd.scd2_refresh(before, orders.filter(in_batch), orders, **ORDER_HISTORY)
 
 
@@ -432,7 +435,8 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weather_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    impact = analytics.weather_impact(_fact(spark, sf_dir))
+    weather = silver(spark, sf_dir, "weather_stream")
+    impact = analytics.weather_impact(gold.with_weather(_readings(spark, sf_dir), weather))
     return impact.withColumns(
         {c: F.round(c, 8) for c in ("correlation", "kwh_per_degree")}
     )
@@ -496,9 +500,9 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
-        "daily_summary": _over_fact(gold.daily_summary),
-        "monthly_summary": _over_fact(gold.monthly_summary),
-        "yearly_summary": _over_fact(gold.yearly_summary),
+        "daily_summary": _over_readings(gold.daily_summary),
+        "monthly_summary": _over_readings(gold.monthly_summary),
+        "yearly_summary": _over_readings(gold.yearly_summary),
     }
     for name in SPECS:
         found[f"ingest_{name}"] = partial(ingest, name=name)
@@ -524,8 +528,8 @@ def queries() -> dict[str, Query]:
         )
     }
     found |= {
-        "executive_dashboard": _over_fact(gold.executive_dashboard),
-        "consumption_by_segment": _over_fact(analytics.consumption_by_segment),
-        "forecast_features": _over_fact(analytics.forecast_features),
+        "executive_dashboard": _over_readings(gold.executive_dashboard),
+        "consumption_by_segment": _over_readings(analytics.consumption_by_segment),
+        "forecast_features": _over_readings(analytics.forecast_features),
     }
     return found

@@ -50,6 +50,12 @@ def test_three_versions_for_a_a_b_a(spark):
     ]
 
 
+def test_a_hot_key_is_cut_into_buckets_without_changing_its_versions(spark):
+    rows = [("hot", h, "AABBBA"[h % 6]) for h in range(300)] + [("H2", 3, "A"), ("H2", 9, "A")]
+    got = scd2_history(observations(spark, rows), **HOW, bucket="day", hot_rows=100)
+    assert versions(got) == expected(rows)
+
+
 def test_null_states_are_values_and_unkeyed_rows_are_left_out(spark):
     rows = [("H1", 0, None), ("H1", 1, None), ("H1", 2, "A"), (None, 1, "A"), ("H1", None, "Z")]
     got = versions(scd2_history(observations(spark, rows), **HOW))

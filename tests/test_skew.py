@@ -1,7 +1,9 @@
+from contextlib import contextmanager
+
 import pytest
 from pyspark.sql import functions as F
 
-from voltlake.operators.skew import hot_keys, spread_join, with_next_ts, with_previous
+from voltlake.operators.skew import find_hot, fits_broadcast, hot_keys, spread_join, with_neighbours
 
 
 @pytest.fixture(scope="module")
@@ -17,13 +19,35 @@ def sides(spark):
     return left, right
 
 
+@contextmanager
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        yield
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_spread_join_equals_the_plain_join(sides, how):
+def test_spread_join_equals_the_plain_join(spark, sides, how):
     left, right = sides
-    got = spread_join(left, right, ["k"], ["n"], how, slices=4, share=0.1)
     want = left.join(right, ["k"], how)
-    assert got.columns == want.columns
-    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    rows = sorted(want.collect(), key=str)
+    assert sorted(spread_join(left, right, ["k"], ["n"], how).collect(), key=str) == rows
+    with no_broadcast(spark):
+        got = spread_join(left, right, ["k"], ["n"], how, slices=4, share=0.1, rows=10)
+        assert got.columns == want.columns
+        assert sorted(got.collect(), key=str) == rows
+        # The hot list only steers the work: a poor one leaves the rows as they are.
+        other = spread_join(left, right, ["k"], ["n"], how, counted=right, share=0.001, rows=0)
+        assert sorted(other.collect(), key=str) == rows
+
+
+def test_size_check_follows_the_threshold(spark):
+    assert fits_broadcast(spark.range(1000))
+    assert not fits_broadcast(spark.range(10_000_000))
+    with no_broadcast(spark):
+        assert not fits_broadcast(spark.range(1000))
 
 
 def test_other_joins_are_refused(sides):
@@ -33,34 +57,36 @@ def test_other_joins_are_refused(sides):
 
 def test_hot_list_is_bounded_by_the_share(sides):
     left, _ = sides
-    assert {r["k"] for r in hot_keys(left, ["k"], 0.1).collect()} == {"hot", None}
-    assert hot_keys(left, ["k"], 0.0005).count() < 1 / 0.0005
+    assert {r["k"] for r in hot_keys(left, ["k"], 0.1, 10).collect()} == {"hot", None}
+    assert hot_keys(left, ["k"], 0.0005, 0).count() < 1 / 0.0005
+    assert hot_keys(left, ["k"], 0.1, 5000).count() == 0
 
 
 def test_spread_join_divides_a_hot_key(spark, sides):
     left, right = sides
-    joined = spread_join(left.filter("k = 'hot'"), right, ["k"], ["n"], "inner", slices=8)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        per_task = joined.groupBy(F.spark_partition_id()).count().collect()
+        with no_broadcast(spark):
+            joined = spread_join(left.filter("k = 'hot'"), right, ["k"], ["n"], "inner", slices=8, rows=10)
+            per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(per_task) >= 4
 
 
-@pytest.mark.parametrize("bucket", ["hour", "day", "year"])
-def test_neighbours_equal_a_window_over_the_whole_key(spark, bucket):
+@pytest.mark.parametrize("share", [0.1, 0.0, 1.0])
+@pytest.mark.parametrize("bucket", ["hour", "day"])
+def test_neighbours_equal_a_window_over_the_whole_key(spark, bucket, share):
     df = spark.range(400).select(
         F.expr("if(id % 3 = 0, 'hot', concat('k', id % 7))").alias("k"),
         F.expr("timestamp_seconds(1700000000 + id * 1700)").alias("ts"),
-        F.struct((F.col("id") % 4).alias("s")).alias("state"),
+        (F.col("id") % 4).alias("s"),
     )
-    plain = df.selectExpr(
-        "*", "lag(state) OVER (PARTITION BY k ORDER BY ts) AS _previous",
-        "max(ts) OVER (PARTITION BY k) AS _last_ts",
-        "lead(ts) OVER (PARTITION BY k ORDER BY ts) AS _next_ts",
+    want = df.selectExpr(
+        "*", "lag(struct(s)) OVER (PARTITION BY k ORDER BY ts) AS _before",
+        "lead(struct(s)) OVER (PARTITION BY k ORDER BY ts) AS _after",
     )
-    got = with_next_ts(with_previous(df, ["k"], "ts", "state", bucket), ["k"], "ts", bucket)
-    assert sorted(got.select(plain.columns).collect(), key=str) == sorted(plain.collect(), key=str)
+    hot = find_hot(df, ["k"], share, 0)
+    assert (hot is None) == (share == 1.0)
+    got = with_neighbours(df, ["k"], "ts", F.struct("s"), hot, bucket)
+    assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)

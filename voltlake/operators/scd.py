@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from voltlake.functions.columns import all_of
 from voltlake.operators.dedup import latest_per_key
-from voltlake.operators.skew import spread_join, with_next_ts, with_previous
+from voltlake.operators.skew import HOT_ROWS, find_hot, spread_join, with_neighbours
 
 
 def scd2_history(
@@ -19,6 +19,7 @@ def scd2_history(
     tracked: Sequence[str],
     tie_break: Sequence[str] | None = None,
     bucket: str = "hour",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions of every key: ``effective_from`` up to, not including, ``effective_to``.
 
@@ -34,19 +35,28 @@ def scd2_history(
     if tie_break is not None:
         rows = latest_per_key(rows, [*key, ts], extra)
     states = rows.select(*key, F.col(ts).alias("effective_from"), F.struct(*tracked).alias("_state"))
-    seen = with_previous(states, key, "effective_from", "_state", bucket)
-    starts = seen.filter(
-        F.col("_previous").isNull() | ~F.col("_state").eqNullSafe(F.col("_previous"))
-    ).drop("_previous")
-    versions = with_next_ts(starts, key, "effective_from", bucket)
-    is_current = F.col("_next_ts").isNull()
-    return versions.select(
+    hot = find_hot(observations, key, rows=hot_rows)
+
+    # A version starts where the state differs from the one before. The key's last
+    # observation stays as well, to tell how long the current version was seen.
+    observed = F.struct("effective_from", "_state")
+    seen = with_neighbours(states, key, "effective_from", observed, hot, bucket)
+    starts = F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before._state"))
+    marked = seen.select(
+        *key, "effective_from", "_state", starts.alias("_starts"), F.col("_after").isNull().alias("_last")
+    ).filter("_starts OR _last")
+
+    following = F.struct("effective_from", "_starts")
+    versions = with_neighbours(marked, key, "effective_from", following, hot, bucket)
+    effective_to = F.when(F.col("_after._starts"), F.col("_after.effective_from"))
+    last_seen = F.coalesce("_after.effective_from", "effective_from")
+    return versions.filter("_starts").select(
         *key,
         *[F.col(f"_state.{c}").alias(c) for c in tracked],
         "effective_from",
-        F.col("_next_ts").alias("effective_to"),
-        is_current.alias("is_current"),
-        F.when(is_current, F.col("_last_ts")).alias("last_seen"),
+        effective_to.alias("effective_to"),
+        effective_to.isNull().alias("is_current"),
+        F.when(effective_to.isNull(), last_seen).alias("last_seen"),
     )
 
 

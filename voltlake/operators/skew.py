@@ -4,19 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voltlake.functions.columns import all_of
 
-HOT_SHARE = 0.001
+# A key is hot when it owns more than this share of the rows, and more rows than a
+# task handles with ease. The share bounds the hot keys at 100,000 on any table.
+HOT_SHARE = 0.00001
+HOT_ROWS = 100_000
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that own more than ``share`` of the rows: fewer than 1 / share of them, always."""
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
+) -> DataFrame:
+    """Keys with more than ``rows`` rows that own more than ``share`` of the table.
+
+    There are fewer than 1 / share of them, whatever the table holds.
+    """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*keys)
+    return counts.filter((F.col("_n") > rows) & (F.col("_n") > total * F.lit(share))).select(*keys)
+
+
+def find_hot(
+    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Counts the keys now; gives the hot ones as a small frame, or None if there are none.
+
+    Runs a job over the key columns, so that the usual case without hot keys keeps
+    its simple plan. The number of rows that reach the driver is bounded by 1 / share.
+    """
+    slim = df.select(*keys)
+    found = hot_keys(slim, keys, share, rows).collect()
+    return df.sparkSession.createDataFrame(found, slim.schema) if found else None
+
+
+def _flagged(hot: DataFrame) -> DataFrame:
+    return F.broadcast(hot.withColumn("_hot", F.lit(True)))
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's own size estimate lets it broadcast ``df`` by default."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(estimate)) <= limit
 
 
 def spread_join(
@@ -26,82 +58,83 @@ def spread_join(
     spread_by: Sequence[str],
     how: str = "left",
     slices: int = 64,
+    counted: DataFrame | None = None,
     share: float = HOT_SHARE,
+    rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join in which the rows of a hot left key go to ``slices`` tasks.
 
-    Only hot keys are spread, and only their right rows are repeated, so the rest
-    of the join is an ordinary shuffle join. The slice is a hash of ``spread_by``:
-    a re-run task gives a row the same slice. Left rows with a null key match
-    nothing but would all meet in one task; they are spread as well. The hot list
-    is broadcast because its length is bounded by 1 / share.
+    A right side that Spark estimates below its broadcast threshold joins without a
+    shuffle, where hot keys do no harm, and without hot keys the join is an ordinary
+    one. Otherwise only hot keys are spread and only their right rows are repeated.
+    The slice is a hash of ``spread_by``: a re-run task gives a row the same slice.
+    A hot null key is spread without being repeated, as it matches nothing.
 
+    ``counted`` is a cheaper frame with the key frequencies of ``left``, used to find
+    the hot keys; a wrong guess costs time, not rows.
     ``how`` is inner, left, left_semi or left_anti (the right side is repeated).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
-    hot = F.broadcast(hot_keys(left.select(*on), on, share).withColumn("_hot", F.lit(True)))
+    keys = list(on)
+    if fits_broadcast(right):
+        return left.join(right, keys, how)
+    hot = find_hot(left if counted is None else counted, keys, share, rows)
+    if hot is None:
+        return left.join(right, keys, how)
     slice_of = F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int")
-    spread = F.col("_hot").isNotNull() | ~all_of([F.col(c).isNotNull() for c in on])
-    many = left.join(hot, list(on), "left").withColumn(
+    spread = F.col("_hot").isNotNull() | ~all_of([F.col(c).isNotNull() for c in keys])
+    many = left.join(_flagged(hot), keys, "left").withColumn(
         "_slice", F.when(spread, slice_of).otherwise(F.lit(0))
     )
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(
         F.array(F.lit(0))
     )
-    few = (
-        right.join(hot, list(on), "left")
-        .withColumn("_slice", F.explode(copies))
-        .drop("_hot")
-    )
-    return many.join(few, [*on, "_slice"], how).drop("_hot", "_slice")
+    few = right.join(_flagged(hot), keys, "left").withColumn("_slice", F.explode(copies)).drop("_hot")
+    return many.join(few, [*keys, "_slice"], how).drop("_hot", "_slice")
 
 
-def with_previous(
-    df: DataFrame, key: Sequence[str], ts: str, state: str, bucket: str = "hour"
+def with_neighbours(
+    df: DataFrame,
+    key: Sequence[str],
+    ts: str,
+    value: Column,
+    hot: DataFrame | None = None,
+    bucket: str = "hour",
 ) -> DataFrame:
-    """Adds the ``state`` of the row before in time as ``_previous``, and ``_last_ts`` per key.
-
-    A window over the whole key would put a hot key into one task. Here each window
-    covers one (key, time bucket); what crosses a bucket border travels through a
-    summary with one row per (key, bucket), and only that is windowed per key. The
-    window, the summary and the join share one partitioning of the rows.
-    (key, ts) must be unique, and key, ts and ``state`` not null.
-    """
-    cell = [*key, "_bucket"]
-    along = Window.partitionBy(*key)
-    parts = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
-    borders = (
-        parts.groupBy(*cell)
-        .agg(F.max_by(state, ts).alias("_end"), F.max(ts).alias("_end_ts"))
-        .withColumn("_carry", F.lag("_end").over(along.orderBy("_bucket")))
-        .withColumn("_last_ts", F.max("_end_ts").over(along))
-        .select(*cell, "_carry", "_last_ts")
-    )
-    inside = Window.partitionBy(*cell).orderBy(ts)
-    return (
-        parts.withColumn("_inside", F.lag(state).over(inside))
-        .join(borders, cell)
-        .withColumn("_previous", F.coalesce("_inside", "_carry"))
-        .drop("_inside", "_carry", "_bucket")
-    )
+    """Adds ``value`` of the key's row before and after in time, as ``_before`` and ``_after``.
 
+    A plain window would put a key of ``hot`` (see ``find_hot``) into one task. The
+    windows of such a key cover one time bucket each instead. The first and last rows
+    of all windows then meet in a second window per key, which knows what lies across
+    the borders. The same shuffled rows feed both steps, and only border rows move
+    again. Without hot keys there is one window per key and nothing else.
 
-def with_next_ts(df: DataFrame, key: Sequence[str], ts: str, bucket: str = "hour") -> DataFrame:
-    """Adds the ``ts`` of the following row of the key as ``_next_ts``; same two levels."""
-    cell = [*key, "_bucket"]
-    along = Window.partitionBy(*key).orderBy("_bucket")
-    parts = df.withColumn("_bucket", F.date_trunc(bucket, F.col(ts)))
-    borders = (
-        parts.groupBy(*cell)
-        .agg(F.min(ts).alias("_start_ts"))
-        .withColumn("_carry", F.lead("_start_ts").over(along))
-        .select(*cell, "_carry")
+    (key, ts) must be unique; key, ts and ``value`` must not be null.
+    """
+    keys = list(key)
+    valued = df.withColumn("_value", value)
+    per_key = Window.partitionBy(*keys).orderBy(ts)
+    before, after = F.lag("_value"), F.lead("_value")
+    if hot is None:
+        return valued.withColumns(
+            {"_before": before.over(per_key), "_after": after.over(per_key)}
+        ).drop("_value")
+    whole = F.lit(None).cast("timestamp")
+    cells = (
+        valued.join(_flagged(hot), keys, "left")
+        .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, F.col(ts))).otherwise(whole))
+        .drop("_hot")
     )
-    inside = Window.partitionBy(*cell).orderBy(ts)
-    return (
-        parts.withColumn("_inside", F.lead(ts).over(inside))
-        .join(borders, cell)
-        .withColumn("_next_ts", F.coalesce("_inside", "_carry"))
-        .drop("_inside", "_carry", "_bucket")
+    per_cell = Window.partitionBy(*keys, "_bucket").orderBy(ts)
+    near = cells.withColumns(
+        {"_before": before.over(per_cell), "_after": after.over(per_cell)}
+    ).drop("_bucket")
+    at_border = F.col("_before").isNull() | F.col("_after").isNull()
+    border = near.filter(at_border).withColumns(
+        {
+            "_before": F.coalesce("_before", before.over(per_key)),
+            "_after": F.coalesce("_after", after.over(per_key)),
+        }
     )
+    return near.filter(~at_border).unionByName(border).drop("_value")

@@ -119,16 +119,9 @@ def household_profile(device: DataFrame, grid: DataFrame, tariff: DataFrame) ->
     )
 
 
-def fact_energy(
-    energy: DataFrame, weather: DataFrame, device: DataFrame, grid: DataFrame, tariff: DataFrame
-) -> DataFrame:
-    """One row per (household, timestamp) of the energy readings.
-
-    Weather joins on the same key, which is unique on both sides. Devices, feeders
-    and tariffs have no time, so they are summed per household first; that join is
-    spread because a household may own a large part of the readings.
-    """
-    readings = energy.select(
+def energy_readings(energy: DataFrame) -> DataFrame:
+    """The fact's own columns; what the summaries and dashboards need of it."""
+    return energy.select(
         "energy_key",
         hash_key("household_id").alias("household_key"),
         "household_id", "timestamp",
@@ -138,14 +131,33 @@ def fact_energy(
         "energy_usage_kwh", "active_power_kw", "peak_demand_kw", "offpeak_demand_kw",
         "daily_consumption_kwh", "load_factor",
     )
+
+
+def with_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
+    """Weather of the same household and time; the key is unique on both sides."""
     conditions = weather.select(
         "household_id", "timestamp", "weather_key",
         hash_key(*WEATHER_ATTRIBUTES).alias("weather_profile_key"),
         "condition_type", "temperature_celsius", "humidity_percent", "solar_radiation",
     )
-    observed = readings.join(conditions, ["household_id", "timestamp"], "left")
+    return readings.join(conditions, ["household_id", "timestamp"], "left")
+
+
+def fact_energy(
+    energy: DataFrame, weather: DataFrame, device: DataFrame, grid: DataFrame, tariff: DataFrame
+) -> DataFrame:
+    """One row per (household, timestamp) of the energy readings.
+
+    Devices, feeders and tariffs have no time, so they are summed per household
+    first; that join is spread because a household may own a large part of the
+    readings.
+    """
+    observed = with_weather(energy_readings(energy), weather)
     profile = household_profile(device, grid, tariff)
-    return spread_join(observed, profile, ["household_id"], ["timestamp"], "left")
+    return spread_join(
+        observed, profile, ["household_id"], ["timestamp"], "left",
+        counted=energy.select("household_id"),
+    )
 
 
 def _usage_columns() -> list:

@@ -14,7 +14,7 @@ from voltlake.functions import columns as C
 from voltlake.operators import quality, refine as R, scd
 from voltlake.operators.dedup import latest_per_key
 from voltlake.plans import analytics, gold
-from voltlake.session import work_dir
+from voltlake.session import side_by_side, work_dir
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import SPECS
 from voltlake.streaming import jobs
@@ -87,11 +87,16 @@ def audit_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = loading.create_layers(spark, root, prefix)[0]
     location = loading.audit_path(root)
     loading.create_audit_table(spark, f"{bronze}.audit_log", location)
-    for name in TABLES:
-        loading.audited_load(
-            spark, partial(table, spark, sf_dir, name), f"{root}/bronze/{name}", location,
-            f"Ingest_{name}", f"{name}.parquet", f"bronze.{name}",
-        )
+    side_by_side(
+        spark,
+        {
+            name: partial(
+                loading.audited_load, spark, partial(table, spark, sf_dir, name),
+                f"{root}/bronze/{name}", location, f"Ingest_{name}", f"{name}.parquet", f"bronze.{name}",
+            )
+            for name in TABLES
+        },
+    )
     spark.catalog.refreshTable(f"{bronze}.audit_log")
     return spark.table(f"{bronze}.audit_log").drop("log_timestamp")
 

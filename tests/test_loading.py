@@ -2,7 +2,7 @@ import pytest
 from fixtures import raw
 from pyspark.sql import functions as F
 
-from voltlake.plans import pipeline
+from voltlake.plans import medallion
 from voltlake.session import work_dir
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, SPECS
@@ -76,10 +76,10 @@ def test_csv_conversion_uses_the_given_schema_and_stops_at_bad_rows(spark, root)
         readers.csv_to_parquet(spark, f"{root}/bad", f"{root}/pq2", "a INT")
 
 
-def test_whole_pipeline_from_raw_files_to_gates(spark, root):
+def test_whole_run_from_raw_files_to_gates(spark, root):
     for name, spec in SPECS.items():
         raw(spark, name, {}, {}, {}).write.parquet(f"{root}/raw/{spec.raw_file}")
-    counts = pipeline.run(spark, f"{root}/raw", root)
+    counts = medallion.run(spark, f"{root}/raw", root)
     assert set(counts) == (
         {f"bronze.bronze_{n}" for n in SPECS} | {f"silver.{n}" for n in SPECS}
         | {f"gold.{n}" for n in GOLD_TABLES}
@@ -90,7 +90,7 @@ def test_whole_pipeline_from_raw_files_to_gates(spark, root):
     assert row["n_devices"] == row["n_feeders"] == row["n_billing_cycles"] == 1
     assert row["condition_type"] == "CONDITION_TYPE X" and row["month_key"] == 202402
     # A second run appends the same readings to Bronze; Silver and Gold stay the same.
-    again = pipeline.run(spark, f"{root}/raw", root)
+    again = medallion.run(spark, f"{root}/raw", root)
     assert again["bronze.bronze_energy_usage"] == 6
     assert {k: v for k, v in again.items() if not k.startswith("bronze")} == {
         k: v for k, v in counts.items() if not k.startswith("bronze")

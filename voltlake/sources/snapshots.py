@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -270,20 +270,21 @@ def expire(
     """
     now = now or datetime.now(timezone.utc)
     cutoff = now - timedelta(hours=retain_hours)
-    by_version = Window.orderBy("version")  # the commit log: one small row per version
-    log = history(spark, path).withColumn("replaced_at", F.lead("committed_at").over(by_version))
-    gone = F.col("replaced_at") < F.lit(cutoff)
-    rows = log.select(
-        "version", F.col("folders.dir").alias("dirs"), F.coalesce(gone, F.lit(False)).alias("gone")
-    ).collect()
-    live = {d for r in rows if not r["gone"] for d in r["dirs"]}
+    log = (
+        history(spark, path)
+        .select("version", F.unix_millis("committed_at").alias("at"), F.col("folders.dir").alias("dirs"))
+        .orderBy("version")
+        .collect()
+    )
+    oldest = cutoff.timestamp() * 1000
+    # A version is replaced when its successor is committed.
+    expired = [row["version"] for row, successor in zip(log, log[1:]) if successor["at"] < oldest]
+    live = {d for row in log if row["version"] not in expired for d in row["dirs"]}
     data, fs = _path(spark, f"{path}/data")
     for status in fs.listStatus(data) if fs.exists(data) else []:
         name = status.getPath().getName()
-        old = status.getModificationTime() < cutoff.timestamp() * 1000
-        if f"data/{name}" not in live and old:
+        if f"data/{name}" not in live and status.getModificationTime() < oldest:
             fs.delete(status.getPath(), True)
-    expired = sorted(r["version"] for r in rows if r["gone"])
     for version in expired:
         fs.delete(_path(spark, _commit_folder(path, version))[0], True)
     return expired

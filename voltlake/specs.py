@@ -141,7 +141,7 @@ GRID_LOAD = TableSpec(
 
 TARIFF_METRICS = TableSpec(
     name="tariff_metrics",
-    process="Ingest_tariff_metrics",
+    process="Ingest_tarrif_metrics",
     raw_file="tariff_metrics_stream_v2.parquet",
     surrogate="tariff_key",
     key=("household_id", "billing_cycle"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlake import specs
@@ -187,18 +187,19 @@ def yearly_summary(fact: DataFrame) -> DataFrame:
 def refresh_daily_summary(mart: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
     """``mart`` after ``batch`` reached ``fact``: only the days of the batch are recomputed.
 
-    Days without a date (null) count as one more day. The broadcast list has at most
-    one row per calendar day.
+    The touched days come to the driver, at most one row per calendar day, and become
+    plain filters: the months prune the fact's partitions, the days reach the scan.
+    Readings without a date count as one more day.
     """
-    days = F.broadcast(
-        batch.select(F.col("date_key").alias("_day")).distinct().withColumn("_hit", F.lit(True))
-    )
+    touched = batch.select("month_key", "date_key").distinct().collect()
 
-    def marked(df: DataFrame) -> DataFrame:
-        return df.join(days, F.col("date_key").eqNullSafe(F.col("_day")), "left")
+    def hit(column: str) -> Column:
+        values = {r[column] for r in touched}
+        known = F.col(column).isin(sorted(values - {None}))
+        return F.when(F.col(column).isNull(), F.lit(None in values)).otherwise(known)
 
-    recomputed = daily_summary(marked(fact).filter("_hit").drop("_day", "_hit"))
-    return marked(mart).filter("_hit IS NULL").drop("_day", "_hit").unionByName(recomputed)
+    recomputed = daily_summary(fact.filter(hit("month_key") & hit("date_key")))
+    return mart.filter(~hit("date_key")).unionByName(recomputed)
 
 
 def executive_dashboard(fact: DataFrame) -> DataFrame:

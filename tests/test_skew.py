@@ -35,7 +35,7 @@ def test_spread_join_equals_the_plain_join(spark, sides, how):
     rows = sorted(want.collect(), key=str)
     assert sorted(spread_join(left, right, ["k"], ["n"], how).collect(), key=str) == rows
     with no_broadcast(spark):
-        got = spread_join(left, right, ["k"], ["n"], how, slices=4, share=0.1, rows=10)
+        got = spread_join(left, right, ["k"], ["n"], how, share=0.1, rows=10)
         assert got.columns == want.columns
         assert sorted(got.collect(), key=str) == rows
         # The hot list only steers the work: a poor one leaves the rows as they are.
@@ -57,17 +57,31 @@ def test_other_joins_are_refused(sides):
 
 def test_hot_list_is_bounded_by_the_share(sides):
     left, _ = sides
-    assert {r["k"] for r in hot_keys(left, ["k"], 0.1, 10).collect()} == {"hot", None}
+    assert {tuple(r) for r in hot_keys(left, ["k"], 0.1, 10).collect()} == {("hot", 4), (None, 4)}
+    slices = hot_keys(left, ["k"], 0.0005, 0).agg(F.sum("_slices")).first()[0]
+    assert slices <= 2 / 0.0005
     assert hot_keys(left, ["k"], 0.0005, 0).count() < 1 / 0.0005
     assert hot_keys(left, ["k"], 0.1, 5000).count() == 0
 
 
+def test_null_keys_are_divided_too(spark, sides):
+    left, right = sides
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with no_broadcast(spark):
+            joined = spread_join(left, right, ["k"], ["n"], "left", share=0.02, rows=10)
+            per_task = joined.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(per_task) >= 4
+
+
 def test_spread_join_divides_a_hot_key(spark, sides):
     left, right = sides
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         with no_broadcast(spark):
-            joined = spread_join(left.filter("k = 'hot'"), right, ["k"], ["n"], "inner", slices=8, rows=10)
+            joined = spread_join(left.filter("k = 'hot'"), right, ["k"], ["n"], "inner", share=0.125, rows=10)
             per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -86,7 +100,7 @@ def test_neighbours_equal_a_window_over_the_whole_key(spark, bucket, share):
         "*", "lag(struct(s)) OVER (PARTITION BY k ORDER BY ts) AS _before",
         "lead(struct(s)) OVER (PARTITION BY k ORDER BY ts) AS _after",
     )
-    hot = find_hot(df, ["k"], share, 0)
+    hot = find_hot(df, ["k"], share, 1)
     assert (hot is None) == (share == 1.0)
     got = with_neighbours(df, ["k"], "ts", F.struct("s"), hot, bucket)
     assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)

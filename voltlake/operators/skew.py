@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from voltlake.functions.columns import all_of
 
-# A key is hot when it owns more than this share of the rows, and more rows than a
-# task handles with ease. The share bounds the hot keys at 100,000 on any table.
+# A task should get at most this share of the rows of one key, unless that is fewer
+# rows than a task handles with ease. The share bounds the hot keys of any table at
+# 100,000, and the slices of all of them together at twice that.
 HOT_SHARE = 0.00001
 HOT_ROWS = 100_000
 
@@ -18,30 +19,26 @@ HOT_ROWS = 100_000
 def hot_keys(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Keys with more than ``rows`` rows that own more than ``share`` of the table.
-
-    There are fewer than 1 / share of them, whatever the table holds.
-    """
+    """Keys with too many rows for one task, and into how many ``_slices`` to cut each."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n")).scalar()
-    return counts.filter((F.col("_n") > rows) & (F.col("_n") > total * F.lit(share))).select(*keys)
+    limit = F.greatest(F.lit(rows), total * F.lit(share))
+    return counts.filter(F.col("_n") > limit).select(
+        *keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")
+    )
 
 
 def find_hot(
     df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, rows: int = HOT_ROWS
 ) -> DataFrame | None:
-    """Counts the keys now; gives the hot ones as a small frame, or None if there are none.
+    """Counts the keys now; gives ``hot_keys`` as a small frame, or None if there are none.
 
     Runs a job over the key columns, so that the usual case without hot keys keeps
     its simple plan. The number of rows that reach the driver is bounded by 1 / share.
     """
-    slim = df.select(*keys)
-    found = hot_keys(slim, keys, share, rows).collect()
-    return df.sparkSession.createDataFrame(found, slim.schema) if found else None
-
-
-def _flagged(hot: DataFrame) -> DataFrame:
-    return F.broadcast(hot.withColumn("_hot", F.lit(True)))
+    hot = hot_keys(df.select(*keys), keys, share, rows)
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -57,16 +54,16 @@ def spread_join(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "left",
-    slices: int = 64,
     counted: DataFrame | None = None,
     share: float = HOT_SHARE,
     rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Equi-join in which the rows of a hot left key go to ``slices`` tasks.
+    """Equi-join in which the rows of a hot left key go to as many tasks as they need.
 
     A right side that Spark estimates below its broadcast threshold joins without a
     shuffle, where hot keys do no harm, and without hot keys the join is an ordinary
-    one. Otherwise only hot keys are spread and only their right rows are repeated.
+    one. Otherwise only hot keys are cut into slices and only their right rows, of which
+    there should be few per key, are repeated.
     The slice is a hash of ``spread_by``: a re-run task gives a row the same slice.
     A hot null key is spread without being repeated, as it matches nothing.
 
@@ -82,16 +79,25 @@ def spread_join(
     hot = find_hot(left if counted is None else counted, keys, share, rows)
     if hot is None:
         return left.join(right, keys, how)
-    slice_of = F.pmod(F.xxhash64(*spread_by), F.lit(slices)).cast("int")
-    spread = F.col("_hot").isNotNull() | ~all_of([F.col(c).isNotNull() for c in keys])
-    many = left.join(_flagged(hot), keys, "left").withColumn(
-        "_slice", F.when(spread, slice_of).otherwise(F.lit(0))
+    flagged = F.broadcast(hot)
+    many = left.join(_null_safe(flagged, keys), _same(keys), "left").withColumn(
+        "_slice",
+        F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(
+            F.pmod(F.xxhash64(*spread_by), F.col("_slices")).cast("int")
+        ),
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(slices - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    few = right.join(_flagged(hot), keys, "left").withColumn("_slice", F.explode(copies)).drop("_hot")
-    return many.join(few, [*keys, "_slice"], how).drop("_hot", "_slice")
+    copies = F.sequence(F.lit(0), F.coalesce("_slices", F.lit(1)) - 1)
+    few = right.join(flagged, keys, "left").withColumn("_slice", F.explode(copies))
+    joined = many.select(*left.columns, "_slice").join(few.drop("_slices"), [*keys, "_slice"], how)
+    return joined.drop("_slice")
+
+
+def _null_safe(hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return hot.select(*[F.col(k).alias(f"_hot_{k}") for k in keys], "_slices")
+
+
+def _same(keys: Sequence[str]) -> Column:
+    return all_of([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
 
 
 def with_neighbours(
@@ -122,9 +128,12 @@ def with_neighbours(
         ).drop("_value")
     whole = F.lit(None).cast("timestamp")
     cells = (
-        valued.join(_flagged(hot), keys, "left")
-        .withColumn("_bucket", F.when(F.col("_hot"), F.date_trunc(bucket, F.col(ts))).otherwise(whole))
-        .drop("_hot")
+        valued.join(F.broadcast(hot), keys, "left")
+        .withColumn(
+            "_bucket",
+            F.when(F.col("_slices").isNotNull(), F.date_trunc(bucket, F.col(ts))).otherwise(whole),
+        )
+        .drop("_slices")
     )
     per_cell = Window.partitionBy(*keys, "_bucket").orderBy(ts)
     near = cells.withColumns(

@@ -278,6 +278,9 @@ FROM grid_load GROUP BY ALL"""
 
     sql["stream_ingest"] = "SELECT *, 'run-1' AS batch_id, 'events.parquet' AS source_name FROM events"
     sql["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
+    sql["stream_silver"] = f"""
+WITH {RAW['weather_stream']}
+SELECT DISTINCT household_id, "timestamp", 'ACTIVE' AS record_status FROM raw_weather_stream"""
     sql["stream_daily"] = """
 SELECT * FROM (
   SELECT ts::DATE AS day, event_type, count(*) AS n_readings, sum(floor(value * 4) / 4) AS total_value,

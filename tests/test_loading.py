@@ -1,6 +1,7 @@
 import pytest
 from fixtures import raw
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlake.plans import medallion
 from voltlake.session import work_dir
@@ -67,18 +68,34 @@ def test_audit_table_is_created_once_and_reads_all_processes(spark, root):
     assert sorted(map(tuple, rows)) == [("A", "SUCCESS"), ("B", "FAILED")]
 
 
-def test_csv_conversion_uses_the_given_schema_and_stops_at_bad_rows(spark, root):
-    spark.createDataFrame([("1", "x"), ("2", None)], "a STRING, b STRING").write.option("header", True).csv(f"{root}/csv")
-    readers.csv_to_parquet(spark, f"{root}/csv", f"{root}/pq", "a INT, b STRING")
-    assert sorted(readers.read_parquet(spark, f"{root}/pq").collect()) == [(1, "x"), (2, None)]
-    spark.createDataFrame([("one",)], "a STRING").write.option("header", True).csv(f"{root}/bad")
-    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
-        readers.csv_to_parquet(spark, f"{root}/bad", f"{root}/pq2", "a INT")
+def csv(spark, path, rows, schema):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").option("header", True).csv(path)
 
 
-def test_whole_run_from_raw_files_to_gates(spark, root):
-    for name, spec in SPECS.items():
-        raw(spark, name, {}, {}, {}).write.parquet(f"{root}/raw/{spec.raw_file}")
+def test_csv_columns_are_found_by_name_and_cast(spark, root):
+    csv(spark, f"{root}/csv", [("x", "1"), (None, "2")], "b STRING, a STRING")
+    readers.csv_to_parquet(spark, f"{root}/csv", f"{root}/pq", T.StructType().add("a", T.IntegerType()))
+    df = readers.read_parquet(spark, f"{root}/pq")
+    assert df.dtypes == [("b", "string"), ("a", "int")]
+    assert set(map(tuple, df.collect())) == {(None, 2), ("x", 1)}
+
+
+def test_csv_conversion_stops_at_what_it_cannot_hold(spark, root):
+    csv(spark, f"{root}/bad", [("one",)], "a STRING")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.csv_to_parquet(spark, f"{root}/bad", f"{root}/pq", T.StructType().add("a", T.IntegerType()))
+    with pytest.raises(ValueError, match="no column z"):
+        readers.csv_to_parquet(spark, f"{root}/bad", f"{root}/pq", T.StructType().add("z", T.IntegerType()))
+    csv(spark, f"{root}/two", [("1", "2")], "a STRING, b STRING")
+    csv(spark, f"{root}/two", [("3", "4")], "b STRING, a STRING")
+    with pytest.raises(Exception, match="(?i)header"):
+        readers.csv_to_parquet(spark, f"{root}/two", f"{root}/pq2")
+
+
+def test_whole_run_from_csv_files_to_gates(spark, root):
+    for name in SPECS:
+        raw(spark, name, {}, {}, {}).write.option("header", True).csv(f"{root}/csv/{name}.csv")
+    medallion.convert_csv(spark, f"{root}/csv", f"{root}/raw")
     counts = medallion.run(spark, f"{root}/raw", root)
     assert set(counts) == (
         {f"bronze.bronze_{n}" for n in SPECS} | {f"silver.{n}" for n in SPECS}

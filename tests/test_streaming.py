@@ -1,8 +1,10 @@
 import datetime as dt
 
+from fixtures import raw
 from pyspark.sql import functions as F
 
 from voltlake.session import work_dir
+from voltlake.specs import SPECS
 from voltlake.streaming import jobs
 
 SCHEMA = "household_id STRING, reading_timestamp TIMESTAMP, kwh DOUBLE"
@@ -66,3 +68,17 @@ def test_ingest_takes_every_file_once(spark):
     landed = spark.read.parquet(f"{root}/out")
     assert landed.count() == 3
     assert landed.filter(F.col("source_file").contains("/raw/f")).count() == 3
+
+
+def test_refined_stream_keeps_one_valid_reading_per_key(spark):
+    spec, root = SPECS["energy_usage"], work_dir(spark, "s")
+    same = {"household_id": "H9"}
+    raw(
+        spark, spec.name, same, same | {"grid_zone": "other"}, {"load_factor": "2"}, {"voltage_reading": "abc"}
+    ).coalesce(1).write.parquet(f"{root}/raw")
+    files = jobs.stream_files(spark, f"{root}/raw", spark.read.parquet(f"{root}/raw").schema)
+    jobs.run_to_files(jobs.refine_stream(files, spec), f"{root}/out", f"{root}/cp")
+    rows = {r["household_id"]: r for r in spark.read.parquet(f"{root}/out").collect()}
+    assert set(rows) == {"H9", "H3"}
+    assert rows["H3"]["voltage_reading"] == 0.0 and rows["H3"]["city_name"] == "City_name X"
+    assert rows["H9"]["energy_key"] is not None

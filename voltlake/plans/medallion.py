@@ -12,10 +12,24 @@ from voltlake.operators import quality
 from voltlake.operators.refine import refine
 from voltlake.plans import gold
 from voltlake.session import build_session, side_by_side
-from voltlake.sources import loading, snapshots
+from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, RETENTION_HOURS, SPECS, TableSpec
 
 
+def convert_csv(spark: SparkSession, csv_dir: str, raw_dir: str) -> None:
+    """CSV files or folders named after the tables, to the Parquet files Bronze loads."""
+    side_by_side(
+        spark,
+        {
+            name: partial(
+                readers.csv_to_parquet, spark, f"{csv_dir}/{name}.csv", f"{raw_dir}/{spec.raw_file}",
+                spec.raw_types,
+            )
+            for name, spec in SPECS.items()
+        },
+    )
+
+
 def run_bronze(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
     """Loads the five raw files. Every load is audited; a failed one is raised at the end."""
     batch_id = str(uuid.uuid4())

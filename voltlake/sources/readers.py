@@ -15,19 +15,21 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
 
 
 def csv_to_parquet(
-    spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType | str
+    spark: SparkSession, csv_path: str, parquet_path: str, schema: T.StructType | None = None
 ) -> None:
-    """Converts CSV files with a header row. The schema is given: inferring reads twice.
+    """Converts CSV files with a header row; columns are found by name, in any order.
 
-    ``FAILFAST`` stops at a row the schema cannot hold instead of writing nulls.
+    Columns of ``schema`` are cast and must hold what they promise; all others stay
+    text, and nothing is read twice to guess types. Files whose headers differ, rows of
+    the wrong length and values that cannot be cast stop the job.
     """
-    (
-        spark.read.schema(schema)
-        .options(header=True, mode="FAILFAST", multiLine=False)
-        .csv(csv_path)
-        .write.mode("overwrite")
-        .parquet(parquet_path)
-    )
+    text = spark.read.options(header=True, enforceSchema=False, mode="FAILFAST").csv(csv_path)
+    types = {f.name: f.dataType for f in schema.fields} if schema else {}
+    missing = [c for c in types if c not in text.columns]
+    if missing:
+        raise ValueError(f"{csv_path}: no column {', '.join(missing)}")
+    columns = [F.col(f"`{c}`").cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in text.columns]
+    text.select(*columns).write.mode("overwrite").parquet(parquet_path)
 
 
 def with_lineage(df: DataFrame, batch_id: str) -> DataFrame:

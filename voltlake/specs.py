@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import types as T
+
 # Columns that tell which of two copies of a reading is the later one.
 RECENCY = ("reading_timestamp", "bronze_ingestion_time")
 
@@ -39,6 +41,16 @@ class TableSpec:
     def bronze_name(self) -> str:
         return f"bronze_{self.name}"
 
+    @property
+    def raw_types(self) -> T.StructType:
+        """Columns that the refine step does not convert itself and so need a type on arrival."""
+        fields = []
+        if not self.cast_measures:
+            fields += [T.StructField(c, T.DoubleType()) for c in self.measures]
+        if "timestamp" in self.key and "timestamp" not in self.timestamps:
+            fields.append(T.StructField("timestamp", T.TimestampType()))
+        return T.StructType(fields)
+
     @property
     def text(self) -> tuple[str, ...]:
         return self.upper + self.title

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from voltlake.operators import refine as R
 from voltlake.sources.readers import with_lineage
-from voltlake.specs import WATERMARK_COLUMN, WATERMARK_DELAY
+from voltlake.specs import WATERMARK_COLUMN, WATERMARK_DELAY, TableSpec
 
 
 def stream_files(
@@ -48,6 +49,17 @@ def first_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(key))
 
 
+def refine_stream(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The refine steps on a stream: the first reading of a key within the delay is kept.
+
+    A stream cannot wait for the newest copy of a key; the batch job settles that.
+    """
+    prepared = R.standardise(R.convert_types(df, spec), spec)
+    unique = first_per_key(with_event_time(prepared), spec.key)
+    valid = R.validate(R.fill_measures(unique, spec), spec)
+    return R.add_audit_columns(R.add_key(valid, spec))
+
+
 def daily_usage(df: DataFrame, by: Sequence[str], value: str, ts: str = WATERMARK_COLUMN) -> DataFrame:
     """Rows, total and peak of ``value`` per day; a day appears once the watermark passed it."""
     return (

@@ -12,16 +12,20 @@ import re
 from collections.abc import Callable
 
 # White_Space of Unicode, which is what \s means to the tokenizers' regular expressions.
-SPACE = r"\t\n\x0b\x0c\r \x85\xa0  -     　"
+SPACE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(
+    map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+)
 _CHUNK = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 # Texts with single blanks and single line ends only need no regular expression.
-_UNUSUAL = re.compile(r"[\t\x0b\x0c\r\x85\xa0  -     　\0]|[ \n][ \n]")
+_UNUSUAL = re.compile("[\0" + SPACE.replace(" ", "").replace("\n", "") + "]|[ \n][ \n]")
 
 
 def chunks(text: str) -> list[str]:
     """The text, cut; joined again the chunks are the text."""
     if _UNUSUAL.search(text):
         return _CHUNK.findall(text)
+    if not text:
+        return []
     cut = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
     return [c for c in cut if c] if "" in cut else cut
 
@@ -41,7 +45,15 @@ class Memo(dict):
         if value is None:
             value = self.function(key)
         self[key] = value
+        self.age()
+        return value
+
+    def age(self) -> None:
+        """To be called after keys were set directly."""
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        return value
+
+    def new(self, keys: set) -> list:
+        """Those of the keys that are not remembered."""
+        return [k for k in keys if k not in self and k not in self.old]

@@ -4,23 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from voltlake.llm import prefix_counts, rank_bpe, token_files
+from voltlake.llm.common import work_dir
 from voltlake.llm.exact_dedup import exact_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
+TOKEN_LIMIT = 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = work_dir(spark, "token-files")
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    token_files.write_tokens(_table(spark, sf_dir, "documents"), vocabulary, out)
+    return token_files.with_start(
+        spark, out, token_files.checksums(token_files.read_tokens(spark, out))
+    ).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op6_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    return rank_bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
+
+
+def op8_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    documents = _table(spark, sf_dir, "documents")
+    return prefix_counts.prefix_counts(
+        documents, vocabulary, budget=TOKEN_LIMIT, keep_table=False
+    ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op10_exact_dedup,)}
+    return {f.__name__: f for f in (op1_token_files, op6_rank_bpe, op8_prefix_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

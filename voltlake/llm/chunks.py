@@ -9,7 +9,7 @@ have been seen before.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 # White_Space of Unicode, which is what \s means to the tokenizers' regular expressions.
 SPACE = "\t\n\x0b\x0c\r \x85\xa0" + "".join(
@@ -31,29 +31,26 @@ def chunks(text: str) -> list[str]:
 
 
 class Memo(dict):
-    """What a function gave for a key, for at most ``2 * limit`` keys.
+    """What a function gave for a key, for about ``limit`` keys.
 
-    Keys used since the limit was last reached survive it, so frequent ones stay.
+    Between batches, ``age`` forgets all but what the last batch used once there are more, so that
+    whatever is frequent stays.
     """
 
-    def __init__(self, function: Callable, limit: int = 100_000):
+    def __init__(self, function: Callable, limit: int):
         super().__init__()
-        self.function, self.limit, self.old = function, limit, {}
+        self.function, self.limit = function, limit
 
     def __missing__(self, key):
-        value = self.old.pop(key, None)
-        if value is None:
-            value = self.function(key)
-        self[key] = value
-        self.age()
+        value = self[key] = self.function(key)
         return value
 
-    def age(self) -> None:
-        """To be called after keys were set directly."""
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-
-    def new(self, keys: set) -> list:
+    def new(self, keys: Iterable) -> list:
         """Those of the keys that are not remembered."""
-        return [k for k in keys if k not in self and k not in self.old]
+        return [k for k in keys if k not in self]
+
+    def age(self, used: Iterable = ()) -> None:
+        if len(self) > self.limit:
+            kept = {k: self[k] for k in used if k in self}
+            self.clear()
+            self.update(kept)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import prefix_counts, rank_bpe, token_files
-from voltlake.llm.common import work_dir
+from voltlake.llm import language_id, prefix_counts, rank_bpe, token_files
+from voltlake.llm.common import is_fold, work_dir
 from voltlake.llm.exact_dedup import exact_groups
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,8 @@ TOKEN_LIMIT = 1024
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    # Python workers import this package from where the driver has it.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -34,6 +37,13 @@ def op6_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = _table(spark, sf_dir, "documents"), is_fold(4, 2)
+    model = language_id.fit(documents, ~held_out)
+    found = language_id.identify(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op8_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     documents = _table(spark, sf_dir, "documents")
@@ -47,7 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_files, op6_rank_bpe, op8_prefix_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_token_files, op6_rank_bpe, op7_language_id, op8_prefix_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

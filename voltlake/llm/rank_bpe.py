@@ -143,7 +143,7 @@ def _merge_long(parts: list[int], vocabulary: Vocabulary) -> list[int]:
 class Codec:
     """Encodes and decodes whole texts; remembers a bounded number of words and chunks."""
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         self.vocabulary = load(path)
         self._memo = Memo(self._chunk, remembered)
 
@@ -170,7 +170,8 @@ class Codec:
             [part if k % 2 else chunks(part) for k, part in enumerate(self.vocabulary.cut_specials(t))]
             for t in texts
         ]
-        self._learn({c for parts in cut for part in parts[::2] for c in part})
+        found = {c for parts in cut for part in parts[::2] for c in part}
+        self._learn(found)
         coded = []
         for parts in cut:
             raw = [
@@ -178,7 +179,7 @@ class Codec:
                 for k, part in enumerate(parts)
             ]
             coded.append(np.frombuffer(b"".join(raw), dtype="<u4"))
-        self._memo.age()
+        self._memo.age(found)
         return coded
 
     def encode(self, text: str) -> list[int]:

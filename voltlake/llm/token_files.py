@@ -45,7 +45,7 @@ class LibraryEncoder:
     gets the whole text.
     """
 
-    def __init__(self, path: str, remembered: int = 250_000):
+    def __init__(self, path: str, remembered: int = 400_000):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
@@ -92,10 +92,11 @@ class LibraryEncoder:
             return [self._ids(t) for t in texts]
         special = self._special.search if self._special else lambda text: None
         cut = [[] if special(t) else chunks(t) for t in texts]
-        self._learn(set(chain.from_iterable(cut)))
+        found = set(chain.from_iterable(cut))
+        self._learn(found)
         of = self._memo.__getitem__
         coded = [b"".join(map(of, c)) if c else self._ids(t) for t, c in zip(texts, cut)]
-        self._memo.age()
+        self._memo.age(found)
         return coded
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 
 _U64 = np.uint64
+STEP_SHIFT = 40  # a value is the step above these bits and the random part below
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -35,30 +36,26 @@ def signatures(elements: np.ndarray, owner: np.ndarray, sets: int, slots: int) -
     An empty set gets a row of the largest value. The low bits of a value are those of its random
     part, so that values of different steps or elements practically never coincide.
     """
-    worst = np.iinfo(np.uint64).max
-    best = np.full((sets, slots), worst, dtype=np.uint64)
-    flat = best.reshape(-1)
-    who = owner
-    state = mix64(elements.astype(np.uint64))
+    best = np.full((sets, slots), np.iinfo(np.uint64).max, dtype=np.uint64)
+    flat, base = best.reshape(-1), owner.astype(np.int64) * slots
+    who, state = owner, mix64(elements.astype(np.uint64))
     swaps: list[np.ndarray] = []
-    shift, low = _U64(52), _U64((1 << 52) - 1)
+    low = _U64((1 << STEP_SHIFT) - 1)
     for step in range(slots):
         if not len(who):
             break
         with np.errstate(over="ignore"):
             drawn = mix64(state + _U64(step) * _U64(0xD1342543DE82EF95))
-        other = (step + (mix64(drawn) >> _U64(33)) % _U64(slots - step)).astype(np.int32)
+        # The upper bits choose the place, the lower ones the value.
+        other = step + ((drawn >> _U64(STEP_SHIFT)) * _U64(slots - step) >> _U64(64 - STEP_SHIFT)).astype(np.int64)
         place = other.copy()
         for earlier in range(step - 1, -1, -1):
             place[swaps[earlier] == place] = earlier
-        # Swapping moves what stood at place `step` to place `other`.
-        swaps.append(other)
-        offer = (_U64(step) << shift) | (drawn & low)
-        np.minimum.at(flat, who.astype(np.int64) * slots + place, offer)
-        if step + 1 < slots:
-            unfinished = best.max(axis=1) >> shift > step
-            more = unfinished[who]
-            if not more.all():
-                who, state = who[more], state[more]
-                swaps = [taken[more] for taken in swaps]
+        swaps.append(other)  # what stood at place `step` has moved to place `other`
+        np.minimum.at(flat, base + place, _U64(step << STEP_SHIFT) | (drawn & low))
+        unfinished = best.max(axis=1) >> _U64(STEP_SHIFT) > step
+        more = unfinished[who]
+        if not more.all():
+            who, state, base = who[more], state[more], base[more]
+            swaps = [taken[more] for taken in swaps]
     return best

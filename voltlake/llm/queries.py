@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import interpolated_lm, language_id, near_dedup, prefix_counts, rank_bpe, token_files
+from voltlake.llm import interpolated_lm, language_id, near_dedup, prefix_counts, rank_bpe, token_files, toxicity
 from voltlake.llm.common import is_fold, work_dir
 from voltlake.llm.exact_dedup import exact_groups
 
@@ -37,6 +37,13 @@ def op2_interpolated_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interpolated_lm.score_texts(documents, held_out=is_fold(5, 1), deleted=is_fold(5, 3))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, held_out = _table(spark, sf_dir, "documents"), is_fold(5, 0)
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"), ~held_out)
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
 
@@ -66,7 +73,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_files, op2_interpolated_lm, op4_near_dedup, op6_rank_bpe, op7_language_id, op8_prefix_counts, op10_exact_dedup)}
+    return {f.__name__: f for f in (op1_token_files, op2_interpolated_lm, op3_toxicity, op4_near_dedup, op6_rank_bpe, op7_language_id, op8_prefix_counts, op10_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:

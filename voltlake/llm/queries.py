@@ -9,7 +9,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.llm import interpolated_lm, language_id, near_dedup, prefix_counts, rank_bpe, token_files, toxicity
+from voltlake.llm import (
+    decontamination,
+    interpolated_lm,
+    language_id,
+    near_dedup,
+    prefix_counts,
+    quotation,
+    rank_bpe,
+    token_files,
+    toxicity,
+)
 from voltlake.llm.common import is_fold, work_dir
 from voltlake.llm.exact_dedup import exact_groups
 
@@ -17,10 +27,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKEN_LIMIT = 1024
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # Python workers import this package from where the driver has it.
+def ready(spark: SparkSession) -> SparkSession:
+    """Lets Python workers import this package from where the driver has it."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).parents[2]))
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -48,6 +62,11 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return decontamination.contaminated(documents, benchmark)
+
+
 def op6_rank_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")
     return rank_bpe.round_trip(_table(spark, sf_dir, "documents"), vocabulary)
@@ -68,12 +87,20 @@ def op8_prefix_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op9_quotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotation.reply_order(_table(spark, sf_dir, "conversations"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_files, op2_interpolated_lm, op3_toxicity, op4_near_dedup, op6_rank_bpe, op7_language_id, op8_prefix_counts, op10_exact_dedup)}
+    found = (
+        op1_token_files, op2_interpolated_lm, op3_toxicity, op4_near_dedup, op5_decontamination,
+        op6_rank_bpe, op7_language_id, op8_prefix_counts, op9_quotation, op10_exact_dedup,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -210,6 +210,31 @@ def fit(
     return fit_rows(sorted((r[0], r[1]) for r in rows.toLocalIterator()), **options)
 
 
+def _log_odds(model: ToxicityModel, kept: Memo, batch: list[str]) -> np.ndarray:
+    odds = []
+    for text in batch:
+        words = words_of(text)
+        odds.append(model.log_odds(words, kept))
+        kept.age(words)
+    return np.clip(np.array(odds, dtype=np.float64), -40, 40)
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, in all their columns, whose whole text is not predicted to be toxic.
+    Each row is judged by itself; a null text counts as empty."""
+    told = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = told.value
+        kept = model.remembered()
+        for batch in batches:
+            for part in in_pieces(batch):
+                texts = [t or "" for t in part.column(text_col).to_pylist()]
+                yield part.filter(pa.array(_log_odds(model, kept, texts) < 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(
     docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -227,12 +252,7 @@ def score(
         kept = model.remembered()
         for batch in batches:
             for part in in_pieces(batch):
-                odds = []
-                for text in part.column("text").to_pylist():
-                    words = words_of(text)
-                    odds.append(model.log_odds(words, kept))
-                    kept.age(words)
-                scores = 1 / (1 + np.exp(-np.clip(np.array(odds), -40, 40)))
+                scores = 1 / (1 + np.exp(-_log_odds(model, kept, part.column("text").to_pylist())))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(scores), pa.array((scores >= 0.5).astype(np.int32))],
                     ["doc_id", "score", "predicted"],

@@ -16,12 +16,12 @@ The classifier is fitted on ``sample`` labelled rows at most; scoring covers eve
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,9 +58,14 @@ def words_of(text: str) -> set[str]:
     return set(_WORD.findall(text.lower()))
 
 
-def features_of(word: str) -> list[str]:
-    """The word and its beginnings; a beginning is marked, to be told from a word."""
-    return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) >= n)]
+def features_of(word: str) -> list[int]:
+    """Hashes of the word and its beginnings; a beginning is marked, to be told from a word."""
+    told = [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) >= n)]
+    return [xxhash.xxh64_intdigest(f) for f in told]
+
+
+def all_features(words: set[str]) -> np.ndarray:
+    return np.unique(np.array([f for w in words for f in features_of(w)], dtype=np.uint64))
 
 
 def counterfactuals(words: set[str], groups: Sequence[Sequence[str]] = GROUPS) -> list[set[str]]:
@@ -75,7 +80,7 @@ def counterfactuals(words: set[str], groups: Sequence[Sequence[str]] = GROUPS) -
 
 @dataclass(frozen=True)
 class ToxicityModel:
-    weights: dict[str, float]
+    weights: dict[int, float]  # by the hash of a feature
     bias: float
 
     def log_odds(self, words: set[str], kept: Memo) -> float:
@@ -91,7 +96,7 @@ class ToxicityModel:
 
 
 def fit_rows(
-    examples: list[tuple[str, int]],
+    examples: Iterable[tuple[str, int]],
     groups: Sequence[Sequence[str]] = GROUPS,
     fairness: float = 10.0,
     l2: float = 1e-6,
@@ -104,40 +109,41 @@ def fit_rows(
     A feature is kept if it is in ``at_least`` texts and its shares in both classes differ by
     ``clear`` standard errors.
     """
-    labels = np.array([label for _, label in examples], dtype=np.float64)
+    # Of each text no more than its features is kept, and its words if it mentions a group.
+    told, labels, mentions = [], [], []
+    terms = {term for group in groups for term in group}
+    for text, label in examples:
+        words = words_of(text)
+        told.append(all_features(words))
+        labels.append(label)
+        mentions.append(words if words & terms else None)
+    labels = np.array(labels, dtype=np.float64)
     if not len(labels) or labels.min() == labels.max():
         # Nothing to tell apart: the one label there is, or none.
         return ToxicityModel({}, 6.0 if len(labels) and labels[0] else -6.0)
-    words = [words_of(text) for text, _ in examples]
-    told = [{f for w in ws for f in features_of(w)} for ws in words]
-    seen = (Counter(), Counter())
-    for features, label in zip(told, labels):
-        seen[int(label)].update(features)
+    rows = np.repeat(np.arange(len(told), dtype=np.int32), [len(t) for t in told])
+    known, place, seen = np.unique(np.concatenate(told), return_inverse=True, return_counts=True)
+    del told
+    seen_1 = np.bincount(place, labels[rows], minlength=len(known))
     sizes = (len(labels) - labels.sum(), labels.sum())
-    identity = {f for group in groups for term in group for f in features_of(term)}
-
-    def telling(feature: str) -> bool:
-        in_0, in_1 = seen[0][feature], seen[1][feature]
-        if in_0 + in_1 < at_least:
-            return False
-        share = (in_0 + in_1) / len(labels)
-        error = np.sqrt(share * (1 - share) * (1 / sizes[0] + 1 / sizes[1])) or 1.0
-        return abs(in_1 / sizes[1] - in_0 / sizes[0]) >= clear * error
-
-    kept = sorted(f for f in set(seen[0]) | set(seen[1]) | identity if f in identity or telling(f))
+    share = seen / len(labels)
+    error = np.sqrt(share * (1 - share) * (1 / sizes[0] + 1 / sizes[1]))
+    apart = np.abs(seen_1 / sizes[1] - (seen - seen_1) / sizes[0])
+    chosen = (seen >= at_least) & (apart >= clear * error) & (share < 1)
+    identity = all_features(terms)
+    kept = np.union1d(known[chosen], identity).tolist()
     number = {f: k for k, f in enumerate(kept)}
-    rows, columns = [], []
+    new_place = np.array([number.get(f, -1) for f in known.tolist()], dtype=np.int64)[place]
+    rows, columns = rows[new_place >= 0].astype(np.int64), new_place[new_place >= 0]
+    del place, new_place
     swapped: list[tuple[int, int, float]] = []
     pairs = 0
-    for row, (features, ws) in enumerate(zip(told, words)):
-        own = {number[f] for f in features if f in number}
-        rows += [row] * len(own)
-        columns += sorted(own)
-        for other in counterfactuals(ws, groups):
-            theirs = {number[f] for w in other for f in features_of(w) if f in number}
+    for words in filter(None, mentions):
+        own = {number[f] for f in all_features(words).tolist() if f in number}
+        for other in counterfactuals(words, groups):
+            theirs = {number[f] for f in all_features(other).tolist() if f in number}
             swapped += [(pairs, f, 1.0) for f in own - theirs] + [(pairs, f, -1.0) for f in theirs - own]
             pairs += 1
-    rows, columns = np.array(rows, dtype=np.int64), np.array(columns, dtype=np.int64)
     pair, part, sign = (np.array(c) for c in zip(*swapped)) if swapped else (np.zeros(0, int),) * 3
     n, size = len(labels), len(kept)
     # Both classes weigh the same.
@@ -189,7 +195,7 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     learn: Column,
-    sample: int = 8000,
+    sample: int = 5000,
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
@@ -207,7 +213,7 @@ def fit(
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"), "__label"
     )
-    return fit_rows(sorted((r[0], r[1]) for r in rows.toLocalIterator()), **options)
+    return fit_rows(((r[0], r[1]) for r in rows.toLocalIterator()), **options)
 
 
 def _log_odds(model: ToxicityModel, kept: Memo, batch: list[str]) -> np.ndarray:

@@ -97,7 +97,10 @@ def oracle_sql() -> dict[str, str]:
     for name in ("device_metrics", "grid_load", "tariff_metrics"):
         sql[f"silver_{name}_raw_key_text"] = f"WITH {D.silver(name, True)} SELECT * FROM {name}"
 
-    given = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+    given = (
+        "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+        "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+    )
     sql["gate_row_counts"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {t}" for t in given
     )
@@ -138,10 +141,16 @@ SELECT * FROM lineitem WHERE l_quantity >= 5 AND l_quantity <= 45 AND l_discount
     sql["standardise_text"] = f"""
 SELECT p_partkey, {_title("'  ' || upper(p_name) || ' '")} AS name, upper(trim(' ' || lower(p_type))) AS type,
   upper(trim(lower(p_brand) || chr(9) || ' ')) AS brand FROM part"""
-    sql["surrogate_key_check"] = """
-WITH pairs AS (SELECT DISTINCT nullif(l_partkey % 50, 7) AS a, nullif(l_suppkey % 50, 7) AS b FROM lineitem)
-SELECT count(*) AS n_natural, count(*) AS n_keys,
-  count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS n_plain_kept FROM pairs"""
+    keys = {n: f"WITH {D.silver(n)} SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in D.TABLES}
+    counted = " UNION ALL ".join(
+        f"SELECT table_name, n AS n_natural, n AS n_keys, CAST(NULL AS BIGINT) AS n_plain_kept FROM ({q})"
+        for q in keys.values()
+    )
+    sql["surrogate_key_check"] = f"""
+WITH pairs AS (SELECT DISTINCT nullif(l_partkey, 7) AS a, nullif(l_suppkey, 7) AS b FROM lineitem)
+SELECT 'lineitem' AS table_name, count(*) AS n_natural, count(*) AS n_keys,
+  count(*) FILTER (WHERE a IS NOT NULL AND b IS NOT NULL) AS n_plain_kept FROM pairs
+UNION ALL {counted}"""
     sql["sequence_key_check"] = f"""
 WITH {RAW['weather_stream']} SELECT count(*) AS n_rows, count(*) AS n_keys FROM raw_weather_stream"""
     sql["null_flags"] = f"""
@@ -277,13 +286,18 @@ SELECT distribution_zone, count(*) AS n_feeders, avg(grid_load_kw) AS avg_load_k
 FROM grid_load GROUP BY ALL"""
 
     sql["stream_ingest"] = "SELECT *, 'run-1' AS batch_id, 'events.parquet' AS source_name FROM events"
-    sql["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
+    sql["stream_dedup"] = "SELECT event_id, user_id, event_type, value FROM events"
+    # Keys whose last copy is two delays older than the newest reading; the others are still open.
     sql["stream_silver"] = f"""
-WITH {RAW['weather_stream']}
-SELECT DISTINCT household_id, "timestamp", 'ACTIVE' AS record_status FROM raw_weather_stream"""
+WITH {D.silver('weather_stream')},
+closed AS (
+  SELECT household_id, "timestamp" FROM raw_weather_stream GROUP BY ALL
+  HAVING max(reading_timestamp) + INTERVAL 4 HOUR <= (SELECT max(reading_timestamp) FROM raw_weather_stream))
+SELECT s.* FROM weather_stream s JOIN closed c
+  ON s.household_id IS NOT DISTINCT FROM c.household_id AND s."timestamp" IS NOT DISTINCT FROM c."timestamp" """
     sql["stream_daily"] = """
-SELECT * FROM (
-  SELECT ts::DATE AS day, event_type, count(*) AS n_readings, sum(floor(value * 4) / 4) AS total_value,
-    max(floor(value * 4) / 4) AS peak_value FROM events GROUP BY ALL)
+SELECT day, event_type, n_readings, CAST(total_value AS DOUBLE) AS total_value, CAST(peak_value AS DOUBLE) AS peak_value FROM (
+  SELECT ts::DATE AS day, event_type, count(*) AS n_readings, sum(CAST(value AS DECIMAL(18,6))) AS total_value,
+    max(CAST(value AS DECIMAL(18,6))) AS peak_value FROM events GROUP BY ALL)
 WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
     return sql

@@ -219,19 +219,28 @@ def standardise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def surrogate_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hash keys against natural keys, nulls in either part included."""
+    """Hash keys against natural keys: whole pairs of lineitem, nulls in either part included,
+    and every row of the five Silver tables."""
     lines = table(spark, sf_dir, "lineitem").select(
-        F.expr("nullif(l_partkey % 50, 7)").alias("a"), F.expr("nullif(l_suppkey % 50, 7)").alias("b")
+        F.expr("nullif(l_partkey, 7)").alias("a"), F.expr("nullif(l_suppkey, 7)").alias("b")
     )
     pairs = lines.distinct().withColumns(
         {"key": C.hash_key("a", "b"), "plain": F.xxhash64("a", "b")}
     )
     same = F.col("a").isNotNull() & F.col("b").isNotNull()
-    return pairs.agg(
-        F.count(F.lit(1)).alias("n_natural"),
-        F.count_distinct("key").alias("n_keys"),
-        F.count_if(same & (F.col("key") == F.col("plain"))).alias("n_plain_kept"),
-    )
+
+    def counted(df: DataFrame, name: str, key: str, plain) -> DataFrame:
+        return df.agg(
+            F.count(F.lit(1)).alias("n_natural"),
+            F.count_distinct(key).alias("n_keys"),
+            plain.cast("long").alias("n_plain_kept"),
+        ).select(F.lit(name).alias("table_name"), "n_natural", "n_keys", "n_plain_kept")
+
+    found = counted(pairs, "lineitem", "key", F.count_if(same & (F.col("key") == F.col("plain"))))
+    for name, spec in SPECS.items():
+        rows = silver(spark, sf_dir, name)
+        found = found.unionByName(counted(rows, name, spec.surrogate, F.max(F.lit(None))))
+    return found
 
 
 def sequence_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -316,8 +325,7 @@ def gate_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     energy = RAW["energy_usage"](spark, sf_dir)
-    checks = [quality.not_null(energy, c) for c in ("household_id", "voltage_reading", "meter_type")]
-    return quality.run_checks(checks)
+    return quality.not_null(energy, "household_id", "voltage_reading", "meter_type")
 
 
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -481,37 +489,67 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.withColumn("source_name", name).drop("source_file", "bronze_ingestion_time")
 
 
+def _arrivals(spark: SparkSession, rows: DataFrame, ts: str, root: str, job, times: int = 3) -> int:
+    """Runs a streaming job over ``rows`` as they arrive: in ``times`` stretches of event time, a
+    run after each. Returns the rows left out as late."""
+    first, last = rows.agg(F.min(ts), F.max(ts)).first()
+    step = (last - first) / times if first else None
+    late, schema = 0, rows.schema
+    for k in range(times):
+        part = rows
+        if step and k > 0:
+            part = part.filter(F.col(ts) >= F.lit(first + k * step))
+        if step and k < times - 1:
+            part = part.filter(F.col(ts) < F.lit(first + (k + 1) * step))
+        part.write.parquet(f"{root}/raw/arrival={k}")
+        stream = jobs.stream_files(spark, f"{root}/raw/*", schema, glob="*.parquet")
+        late += jobs.run_to_files(job(stream), f"{root}/out", f"{root}/checkpoint")
+    return late
+
+
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which every fifth is sent again an hour later, each kept once."""
     root = work_dir(spark, "stream")
-    stream = jobs.with_event_time(_event_stream(spark, sf_dir), "ts")
-    jobs.run_to_files(
-        jobs.first_per_key(stream, ["user_id", "event_type"]).select("user_id", "event_type"),
-        f"{root}/silver", f"{root}/checkpoint",
-    )
-    return spark.read.parquet(f"{root}/silver")
+    sent = table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", "value", F.col("ts").cast("timestamp").alias("ts"),
+        F.explode(F.when(F.col("event_id") % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"),
+    ).withColumn("sent_at", F.expr("ts + make_dt_interval(0, again)")).drop("again", "ts")
+    late = _arrivals(
+        spark, sent, "sent_at", root,
+        lambda stream: jobs.first_per_key(jobs.with_event_time(stream, "sent_at"), ["event_id"]).drop("sent_at"),
+    )
+    if late:
+        raise quality.QualityError(f"{late} rows came too late")
+    return spark.read.parquet(f"{root}/out")
 
 
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw weather as a file stream through the refine steps; which copy of a key stays is
-    open, so only the keys are compared."""
+    """Raw weather as it arrives through the refine steps; readings of which another copy may
+    still come stay in the state."""
     spec, root = SPECS["weather_stream"], work_dir(spark, "stream")
-    path = _raw_file(spark, sf_dir, spec.name, root)
-    raw = jobs.stream_files(spark, path, readers.read_parquet(spark, path).schema)
-    jobs.run_to_files(jobs.refine_stream(raw, spec), f"{root}/silver", f"{root}/checkpoint")
-    silver_rows = readers.read_parquet(spark, f"{root}/silver")
-    return _plain(silver_rows.select(*spec.key, "record_status"))
+    raw = RAW[spec.name](spark, sf_dir)
+    late = _arrivals(spark, raw, "reading_timestamp", root, lambda s: jobs.refine_stream(s, spec))
+    if late:
+        raise quality.QualityError(f"{late} rows came too late")
+    return _compared(readers.read_parquet(spark, f"{root}/out"))
 
 
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Days the watermark has passed; the last, still open day stays in the state."""
+    """Days the watermark has passed; the last, still open day stays in the state. Values are
+    added as decimals, which have one sum whatever the order."""
     root = work_dir(spark, "stream")
-    stream = jobs.with_event_time(_event_stream(spark, sf_dir), "ts").withColumn(
-        "kwh", F.floor(F.col("value") * 4) / 4
+    events = table(spark, sf_dir, "events").select(
+        "event_type", F.col("value").cast("decimal(18,6)").alias("kwh"), F.col("ts").cast("timestamp").alias("ts")
     )
-    jobs.run_to_files(
-        jobs.daily_usage(stream, ["event_type"], "kwh", "ts"), f"{root}/daily", f"{root}/checkpoint"
+    late = _arrivals(
+        spark, events, "ts", root,
+        lambda s: jobs.daily_usage(jobs.with_event_time(s, "ts"), ["event_type"], "kwh", "ts"),
+    )
+    if late:
+        raise quality.QualityError(f"{late} rows came too late")
+    return spark.read.parquet(f"{root}/out").withColumns(
+        {c: F.col(c).cast("double") for c in ("total_value", "peak_value")}
     )
-    return spark.read.parquet(f"{root}/daily")
 
 
 def queries() -> dict[str, Query]:

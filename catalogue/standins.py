@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 
 from voltlake.operators.skew import spread_join
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = (
+    "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
+)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

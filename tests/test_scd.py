@@ -52,7 +52,7 @@ def test_three_versions_for_a_a_b_a(spark):
 
 def test_a_hot_key_is_cut_into_buckets_without_changing_its_versions(spark):
     rows = [("hot", h, "AABBBA"[h % 6]) for h in range(300)] + [("H2", 3, "A"), ("H2", 9, "A")]
-    got = scd2_history(observations(spark, rows), **HOW, bucket="day", hot_rows=100)
+    got = scd2_history(observations(spark, rows), **HOW, hot_rows=100)
     assert versions(got) == expected(rows)
 
 
@@ -71,7 +71,7 @@ ROW = st.tuples(
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(ROW, min_size=1, max_size=25), st.lists(ROW, min_size=1, max_size=10))
 def test_refresh_equals_rebuild_with_late_rows(spark, before, batch):
-    tie = {"tie_break": ["n"], "bucket": "day"}
+    tie = {"tie_break": ["n"]}
     rebuilt = versions(scd2_history(observations(spark, before + batch), **HOW, **tie))
     assert rebuilt == expected(before + batch)
     both = observations(spark, before + batch)

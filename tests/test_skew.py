@@ -3,7 +3,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from voltlake.operators.skew import find_hot, fits_broadcast, hot_keys, spread_join, with_neighbours
+from voltlake.operators.skew import _cells, find_hot, hot_keys, spread_join, with_neighbours
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +35,7 @@ def test_spread_join_equals_the_plain_join(spark, sides, how):
     rows = sorted(want.collect(), key=str)
     assert sorted(spread_join(left, right, ["k"], ["n"], how).collect(), key=str) == rows
     with no_broadcast(spark):
-        got = spread_join(left, right, ["k"], ["n"], how, share=0.1, rows=10)
+        got = spread_join(left, right, ["k"], ["n"], how, counted=left, share=0.1, rows=10)
         assert got.columns == want.columns
         assert sorted(got.collect(), key=str) == rows
         # The hot list only steers the work: a poor one leaves the rows as they are.
@@ -43,13 +43,6 @@ def test_spread_join_equals_the_plain_join(spark, sides, how):
         assert sorted(other.collect(), key=str) == rows
 
 
-def test_size_check_follows_the_threshold(spark):
-    assert fits_broadcast(spark.range(1000))
-    assert not fits_broadcast(spark.range(10_000_000))
-    with no_broadcast(spark):
-        assert not fits_broadcast(spark.range(1000))
-
-
 def test_other_joins_are_refused(sides):
     with pytest.raises(ValueError, match="full"):
         spread_join(*sides, ["k"], ["n"], "full")
@@ -69,7 +62,7 @@ def test_null_keys_are_divided_too(spark, sides):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         with no_broadcast(spark):
-            joined = spread_join(left, right, ["k"], ["n"], "left", share=0.02, rows=10)
+            joined = spread_join(left, right, ["k"], ["n"], "left", counted=left, share=0.02, rows=10)
             per_task = joined.filter("k IS NULL").groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -81,7 +74,10 @@ def test_spread_join_divides_a_hot_key(spark, sides):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         with no_broadcast(spark):
-            joined = spread_join(left.filter("k = 'hot'"), right, ["k"], ["n"], "inner", share=0.125, rows=10)
+            joined = spread_join(
+                left.filter("k = 'hot'"), right, ["k"], ["n"], "inner",
+                counted=left.filter("k = 'hot'"), share=0.125, rows=10,
+            )
             per_task = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
@@ -89,8 +85,7 @@ def test_spread_join_divides_a_hot_key(spark, sides):
 
 
 @pytest.mark.parametrize("share", [0.1, 0.0, 1.0])
-@pytest.mark.parametrize("bucket", ["hour", "day"])
-def test_neighbours_equal_a_window_over_the_whole_key(spark, bucket, share):
+def test_neighbours_equal_a_window_over_the_whole_key(spark, share):
     df = spark.range(400).select(
         F.expr("if(id % 3 = 0, 'hot', concat('k', id % 7))").alias("k"),
         F.expr("timestamp_seconds(1700000000 + id * 1700)").alias("ts"),
@@ -102,5 +97,15 @@ def test_neighbours_equal_a_window_over_the_whole_key(spark, bucket, share):
     )
     hot = find_hot(df, ["k"], share, 1)
     assert (hot is None) == (share == 1.0)
-    got = with_neighbours(df, ["k"], "ts", F.struct("s"), hot, bucket)
+    got = with_neighbours(df, ["k"], "ts", F.struct("s"), hot)
     assert sorted(got.select(want.columns).collect(), key=str) == sorted(want.collect(), key=str)
+
+
+@pytest.mark.parametrize("minutes", [1, 15, 30, 60, 1440])
+def test_a_hot_key_is_cut_by_rows_whatever_its_cadence(spark, minutes):
+    df = spark.range(20_000).select(
+        F.lit("hot").alias("k"), F.expr(f"timestamp_seconds(1700000000 + id * {60 * minutes})").alias("ts")
+    )
+    hot = hot_keys(df, ["k"], 0.1, 10)
+    sizes = [r["count"] for r in _cells(df, ["k"], "ts", hot).groupBy("_cell").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 2 * 20_000 / 10

@@ -17,15 +17,19 @@ def _sortable(data_type: T.DataType) -> bool:
     return not isinstance(data_type, (T.MapType, T.VariantType))
 
 
-def recency_order(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> list[Column]:
-    """Newest first, then every other sortable column, so that ties have one answer."""
+def recency_names(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> list[str]:
+    """Columns that decide which row of a key is newest: the given ones, then every other
+    sortable column, so that ties have one answer."""
     present = [c for c in newest_first if c in df.columns and c not in key]
-    rest = [
+    return present + [
         f.name
         for f in df.schema.fields
         if f.name not in key and f.name not in present and _sortable(f.dataType)
     ]
-    return [F.col(c).desc_nulls_last() for c in (*present, *rest)]
+
+
+def recency_order(df: DataFrame, key: Sequence[str], newest_first: Sequence[str]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() for c in recency_names(df, key, newest_first)]
 
 
 def latest_per_key(

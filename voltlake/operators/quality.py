@@ -49,9 +49,28 @@ def _result(check: str, df: DataFrame, checked, failed) -> DataFrame:
     )
 
 
-def not_null(df: DataFrame, column: str) -> DataFrame:
+def column_checks(
+    df: DataFrame, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None
+) -> DataFrame:
+    """Not-null and accepted-values tests of one table, all in one scan of it."""
+    accepted = dict(accepted or {})
     rows = F.count(F.lit(1))
-    return _result(f"not_null({column})", df.select(column), rows, rows - F.count(column))
+    tests = {f"not_null({c})": (rows, rows - F.count(c)) for c in not_null}
+    # Nulls are the business of ``not_null`` and pass here.
+    tests |= {
+        f"accepted_values({c})": (F.count(c), F.count_if(~F.col(c).isin(*values)))
+        for c, values in accepted.items()
+    }
+    results = [
+        F.struct(F.lit(name).alias("check"), checked.alias("n_checked"), failed.alias("n_failed"))
+        for name, (checked, failed) in tests.items()
+    ]
+    used = list(dict.fromkeys([*not_null, *accepted]))
+    return df.select(*used).agg(F.array(*results).alias("_results")).select(F.inline("_results"))
+
+
+def not_null(df: DataFrame, *columns: str) -> DataFrame:
+    return column_checks(df, not_null=columns)
 
 
 def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -64,9 +83,7 @@ def unique(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def accepted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """Nulls are the business of ``not_null`` and pass here."""
-    outside = F.count_if(~F.col(column).isin(*values))
-    return _result(f"accepted_values({column})", df.select(column), F.count(column), outside)
+    return column_checks(df, accepted={column: values})
 
 
 def relationships(

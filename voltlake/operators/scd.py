@@ -18,7 +18,6 @@ def scd2_history(
     ts: str,
     tracked: Sequence[str],
     tie_break: Sequence[str] | None = None,
-    bucket: str = "hour",
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Versions of every key: ``effective_from`` up to, not including, ``effective_to``.
@@ -40,14 +39,14 @@ def scd2_history(
     # A version starts where the state differs from the one before. The key's last
     # observation stays as well, to tell how long the current version was seen.
     observed = F.struct("effective_from", "_state")
-    seen = with_neighbours(states, key, "effective_from", observed, hot, bucket)
+    seen = with_neighbours(states, key, "effective_from", observed, hot)
     starts = F.col("_before").isNull() | ~F.col("_state").eqNullSafe(F.col("_before._state"))
     marked = seen.select(
         *key, "effective_from", "_state", starts.alias("_starts"), F.col("_after").isNull().alias("_last")
     ).filter("_starts OR _last")
 
     following = F.struct("effective_from", "_starts")
-    versions = with_neighbours(marked, key, "effective_from", following, hot, bucket)
+    versions = with_neighbours(marked, key, "effective_from", following, hot)
     effective_to = F.when(F.col("_after._starts"), F.col("_after.effective_from"))
     last_seen = F.coalesce("_after.effective_from", "effective_from")
     return versions.filter("_starts").select(
@@ -68,7 +67,6 @@ def scd2_refresh(
     ts: str,
     tracked: Sequence[str],
     tie_break: Sequence[str] | None = None,
-    bucket: str = "hour",
 ) -> DataFrame:
     """``dimension`` after ``batch``, equal to a rebuild from ``history``.
 
@@ -106,7 +104,7 @@ def scd2_refresh(
     )
     again = spread_join(history.select(*columns), late, keys, [ts], "left_semi")
     rebuilt = [
-        scd2_history(rows, keys, ts, tracked, tie_break, bucket) for rows in (forward, again)
+        scd2_history(rows, keys, ts, tracked, tie_break) for rows in (forward, again)
     ]
     return kept.unionByName(rebuilt[0]).unionByName(rebuilt[1])
 

@@ -14,6 +14,7 @@ from voltlake.functions.columns import all_of
 # 100,000, and the slices of all of them together at twice that.
 HOT_SHARE = 0.00001
 HOT_ROWS = 100_000
+CUTS = 256
 
 
 def hot_keys(
@@ -41,13 +42,6 @@ def find_hot(
     return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate lets it broadcast ``df`` by default."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -60,23 +54,21 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join in which the rows of a hot left key go to as many tasks as they need.
 
-    A right side that Spark estimates below its broadcast threshold joins without a
-    shuffle, where hot keys do no harm, and without hot keys the join is an ordinary
-    one. Otherwise only hot keys are cut into slices and only their right rows, of which
-    there should be few per key, are repeated.
+    Without ``counted`` this is an ordinary join, whose large partitions Spark splits as it
+    runs. ``counted`` has the key frequencies of ``left``, and is counted now: give a
+    published table, not a computed frame, where a hot key is known to be too much for
+    that. Then only hot keys are cut into slices and only their right rows, of which there
+    should be few per key, are repeated.
     The slice is a hash of ``spread_by``: a re-run task gives a row the same slice.
     A hot null key is spread without being repeated, as it matches nothing.
 
-    ``counted`` is a cheaper frame with the key frequencies of ``left``, used to find
-    the hot keys; a wrong guess costs time, not rows.
+    A wrong guess of the hot keys costs time, not rows.
     ``how`` is inner, left, left_semi or left_anti (the right side is repeated).
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     keys = list(on)
-    if fits_broadcast(right):
-        return left.join(right, keys, how)
-    hot = find_hot(left if counted is None else counted, keys, share, rows)
+    hot = None if counted is None else find_hot(counted, keys, share, rows)
     if hot is None:
         return left.join(right, keys, how)
     flagged = F.broadcast(hot)
@@ -100,21 +92,39 @@ def _same(keys: Sequence[str]) -> Column:
     return all_of([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
 
 
+def _cells(df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame) -> DataFrame:
+    """Adds ``_cell``: null for ordinary keys, else a stretch of time of the hot key that holds
+    about as many rows as every other, whatever its rows' distances in time."""
+    flagged = F.broadcast(hot)
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = [k / CUTS for k in range(1, CUTS)]
+    stretches = (
+        df.select(*keys, at.alias("_at"))
+        .join(flagged, keys, "left_semi")
+        .groupBy(*keys)
+        .agg(F.percentile_approx("_at", cuts, 100 * CUTS).alias("_cuts"))
+        .join(flagged, keys)
+    )
+    before = F.size(F.filter("_cuts", lambda cut: cut <= at))
+    per_slice = F.greatest(F.lit(1.0), F.lit(CUTS) / F.col("_slices"))
+    # CUTS values for each of the few hot keys.
+    return (
+        df.join(F.broadcast(stretches), keys, "left")
+        .withColumn("_cell", F.when(F.col("_cuts").isNotNull(), F.floor(before / per_slice)))
+        .drop("_cuts", "_slices")
+    )
+
+
 def with_neighbours(
-    df: DataFrame,
-    key: Sequence[str],
-    ts: str,
-    value: Column,
-    hot: DataFrame | None = None,
-    bucket: str = "hour",
+    df: DataFrame, key: Sequence[str], ts: str, value: Column, hot: DataFrame | None = None
 ) -> DataFrame:
     """Adds ``value`` of the key's row before and after in time, as ``_before`` and ``_after``.
 
-    A plain window would put a key of ``hot`` (see ``find_hot``) into one task. The
-    windows of such a key cover one time bucket each instead. The first and last rows
-    of all windows then meet in a second window per key, which knows what lies across
-    the borders. The same shuffled rows feed both steps, and only border rows move
-    again. Without hot keys there is one window per key and nothing else.
+    A plain window would put a key of ``hot`` (see ``find_hot``) into one task. The rows of
+    such a key are cut by time into as many stretches of about equal size as it has slices,
+    ``CUTS`` at most, and the windows cover one stretch each. The first and last rows of all
+    windows then meet in a second window per key, which knows what lies across the borders:
+    two rows for each stretch. Without hot keys there is one window per key and nothing else.
 
     (key, ts) must be unique; key, ts and ``value`` must not be null.
     """
@@ -126,19 +136,10 @@ def with_neighbours(
         return valued.withColumns(
             {"_before": before.over(per_key), "_after": after.over(per_key)}
         ).drop("_value")
-    whole = F.lit(None).cast("timestamp")
-    cells = (
-        valued.join(F.broadcast(hot), keys, "left")
-        .withColumn(
-            "_bucket",
-            F.when(F.col("_slices").isNotNull(), F.date_trunc(bucket, F.col(ts))).otherwise(whole),
-        )
-        .drop("_slices")
-    )
-    per_cell = Window.partitionBy(*keys, "_bucket").orderBy(ts)
-    near = cells.withColumns(
+    per_cell = Window.partitionBy(*keys, "_cell").orderBy(ts)
+    near = _cells(valued, keys, ts, hot).withColumns(
         {"_before": before.over(per_cell), "_after": after.over(per_cell)}
-    ).drop("_bucket")
+    ).drop("_cell")
     at_border = F.col("_before").isNull() | F.col("_after").isNull()
     border = near.filter(at_border).withColumns(
         {

@@ -144,19 +144,24 @@ def with_weather(readings: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def fact_energy(
-    energy: DataFrame, weather: DataFrame, device: DataFrame, grid: DataFrame, tariff: DataFrame
+    energy: DataFrame,
+    weather: DataFrame,
+    device: DataFrame,
+    grid: DataFrame,
+    tariff: DataFrame,
+    published: bool = False,
 ) -> DataFrame:
     """One row per (household, timestamp) of the energy readings.
 
     Devices, feeders and tariffs have no time, so they are summed per household
-    first; that join is spread because a household may own a large part of the
-    readings.
+    first. A household may own a large part of the readings: with ``published`` inputs its
+    share is counted on the energy table and the join spread; otherwise Spark splits it.
     """
     observed = with_weather(energy_readings(energy), weather)
     profile = household_profile(device, grid, tariff)
     return spread_join(
         observed, profile, ["household_id"], ["timestamp"], "left",
-        counted=energy.select("household_id"),
+        counted=energy.select("household_id") if published else None,
     )
 
 

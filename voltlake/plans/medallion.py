@@ -98,7 +98,8 @@ def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
             "dim_grid": lambda: publish("dim_grid", gold.dim_grid(grid)),
             "dim_tariff": lambda: publish("dim_tariff", gold.dim_tariff(tariff)),
             "fact_energy": lambda: publish(
-                "fact_energy", gold.fact_energy(energy, weather, device, grid, tariff), ("month_key",)
+                "fact_energy", gold.fact_energy(energy, weather, device, grid, tariff, published=True),
+                ("month_key",)
             ),
         },
     )

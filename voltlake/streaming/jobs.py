@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlake.operators import refine as R
+from voltlake.operators.dedup import recency_names
 from voltlake.sources.readers import with_lineage
 from voltlake.specs import WATERMARK_COLUMN, WATERMARK_DELAY, TableSpec
 
@@ -49,13 +50,25 @@ def first_per_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.dropDuplicatesWithinWatermark(list(key))
 
 
-def refine_stream(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The refine steps on a stream: the first reading of a key within the delay is kept.
+def newest_per_key(
+    df: DataFrame, key: Sequence[str], ts: str = WATERMARK_COLUMN, delay: str = WATERMARK_DELAY
+) -> DataFrame:
+    """Newest row of each key, once no further copy can come.
 
-    A stream cannot wait for the newest copy of a key; the batch job settles that.
+    Copies that follow each other within ``delay`` are one reading. Its newest row, by the same
+    order as in the batch job, appears when the watermark has passed the delay after the last
+    copy; so the result does not depend on how the input is cut into micro-batches.
     """
+    order = recency_names(df, key, [ts])
+    session = F.session_window(ts, delay).alias("_session")
+    newest = F.max(F.struct(*order)).alias("_newest")
+    return df.groupBy(session, *key).agg(newest).select(*key, "_newest.*").select(df.columns)
+
+
+def refine_stream(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The refine steps on a stream; of the copies of a key the newest is kept, as in a batch."""
     prepared = R.standardise(R.convert_types(df, spec), spec)
-    unique = first_per_key(with_event_time(prepared), spec.key)
+    unique = newest_per_key(with_event_time(prepared), spec.key)
     valid = R.validate(R.fill_measures(unique, spec), spec)
     return R.add_audit_columns(R.add_key(valid, spec))
 
@@ -73,13 +86,21 @@ def daily_usage(df: DataFrame, by: Sequence[str], value: str, ts: str = WATERMAR
     )
 
 
-def run_to_files(df: DataFrame, path: str, checkpoint: str) -> None:
-    """Appends the stream's new rows to Parquet files, each exactly once over all restarts."""
-    (
+def run_to_files(df: DataFrame, path: str, checkpoint: str) -> int:
+    """Appends the stream's new rows to Parquet files, each exactly once over all restarts.
+
+    Returns how many rows came too late for their state and were left out.
+    """
+    query = (
         df.writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
-        .awaitTermination()
+    )
+    query.awaitTermination()
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress
+        for state in progress["stateOperators"]
     )

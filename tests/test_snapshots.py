@@ -167,3 +167,22 @@ def test_partitioned_table_prunes(spark, path):
     assert one.count() == 250
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month_key" in plan
+
+
+def test_a_partitioned_table_survives_appends_compaction_and_clustering(spark, path):
+    def month(k):
+        return spark.range(k * 100, k * 100 + 100).selectExpr("id", f"id % 7 AS v", f"{202401 + k} AS month_key")
+
+    def pruned():
+        plan = S.read_snapshot(spark, path).filter("month_key = 202402")._jdf.queryExecution().executedPlan().toString()
+        return "month_key" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+    for k in range(3):
+        S.publish(spark, month(k).repartition(4), path, partition_by=["month_key"])
+    S.publish(spark, month(1).repartition(4), path, partition_by=["month_key"])
+    want = rows(S.read_snapshot(spark, path))
+    assert len(want) == 400 and pruned()
+    S.compact(spark, path)
+    assert rows(S.read_snapshot(spark, path)) == want and pruned()
+    S.cluster(spark, path, ["v"])
+    assert rows(S.read_snapshot(spark, path)) == want and pruned()

@@ -96,7 +96,15 @@ def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema_json:
     schema = _schema(schema_json)
     if not dirs:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/{d}" for d in dirs])
+    # Each write is a partition of the table's data folder, and may have partitions of its own.
+    reader = spark.read.schema(schema).option("basePath", f"{path}/data")
+    return reader.parquet(*[f"{path}/{d}" for d in dirs]).select(schema.names)
+
+
+def _partition_columns(df: DataFrame) -> list[str]:
+    """The columns a table's files are partitioned by, from where a file of it lies."""
+    folders = next(iter(df.inputFiles()), "").split("/data/", 1)[-1].split("/")[1:-1]
+    return [f.split("=", 1)[0] for f in folders]
 
 
 def _schema(schema_json: str) -> T.StructType:
@@ -141,7 +149,7 @@ def _write(
     spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
 ) -> tuple[dict[str, tuple[int, int]], int]:
     """Writes a new data folder; returns it with its size, and the rows the write counted."""
-    folder = f"data/{uuid.uuid4().hex}"
+    folder = f"data/load={uuid.uuid4().hex}"
     counted = Observation()
     # Observed directly below the write, where every row is counted exactly once.
     writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write
@@ -183,8 +191,9 @@ def publish(
 def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrites folders that hold more files than their bytes need; others stay as they are.
 
-    Whole scan partitions are merged, so nothing is shuffled. Returns the version,
-    which is the old one when there was nothing to do.
+    Whole scan partitions are merged, so nothing is shuffled, unless the table is partitioned:
+    then each partition is gathered and stays one. Returns the version, which is the old one
+    when there was nothing to do.
     """
     last = _require(spark, path, None)
     sizes = _sizes(last)
@@ -196,7 +205,9 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     if sum(n for n, _ in loose.values()) <= files:
         return last["version"]
     small = _read_dirs(spark, path, list(loose), last["schema_json"])
-    written, _ = _write(spark, small.coalesce(files), path)
+    partition_by = _partition_columns(small)
+    merged = small.hint("rebalance", *partition_by) if partition_by else small.coalesce(files)
+    written, _ = _write(spark, merged, path, partition_by)
     kept = {d: size for d, size in sizes.items() if d in full}
     return _commit(
         spark, path, "OPTIMIZE", {**kept, **written}, _schema(last["schema_json"]), last["n_rows"]
@@ -244,7 +255,10 @@ def cluster(
     last = _require(spark, path, None)
     df = _read_dirs(spark, path, list(_sizes(last)), last["schema_json"])
     files = max(1, math.ceil(last["n_bytes"] / target_bytes))
-    ordered = [F.col("_z"), *[F.col(c) for c in columns]]
+    partition_by = _partition_columns(df)
+    ordered = [F.col(c) for c in (*partition_by, "_z", *columns)]
+    # Twice as many cells in each column as there are files, so that files can be told apart.
+    bits = max(bits, math.ceil(math.log2(2 * files)))
     whole_row = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
     laid_out = (
         df.withColumn("_z", cluster_value(df, columns, last["n_rows"], bits))
@@ -252,7 +266,7 @@ def cluster(
         .sortWithinPartitions(*ordered)
         .drop("_z")
     )
-    written, n_rows = _write(spark, laid_out, path)
+    written, n_rows = _write(spark, laid_out, path, partition_by)
     return _commit(
         spark, path, f"ZORDER ({', '.join(columns)})", written,
         _schema(last["schema_json"]), n_rows,

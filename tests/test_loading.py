@@ -106,9 +106,29 @@ def test_whole_run_from_csv_files_to_gates(spark, root):
     row = fact.filter("household_id = 'H1'").first()
     assert row["n_devices"] == row["n_feeders"] == row["n_billing_cycles"] == 1
     assert row["condition_type"] == "CONDITION_TYPE X" and row["month_key"] == 202402
+    features, history = (
+        snapshots.read_snapshot(spark, loading.gold_path(root, n)) for n in ("forecast_features", "household_history")
+    )
+    assert features.count() > 0 and history.filter("is_current").count() == 3
+    for spec in SPECS.values():
+        if spec.ranges:
+            left_out = snapshots.read_snapshot(spark, medallion.rejects_path(root, spec))
+            assert "failed_rules" in left_out.columns
+    assert medallion.column_tests(spark, root).filter("n_failed > 0").isEmpty()
     # A second run appends the same readings to Bronze; Silver and Gold stay the same.
     again = medallion.run(spark, f"{root}/raw", root)
     assert again["bronze.bronze_energy_usage"] == 6
     assert {k: v for k, v in again.items() if not k.startswith("bronze")} == {
         k: v for k, v in counts.items() if not k.startswith("bronze")
     }
+
+
+def test_a_key_that_is_not_unique_fails_the_run(spark, root):
+    for name in SPECS:
+        raw(spark, name, {}, {}, {}).write.option("header", True).csv(f"{root}/csv/{name}.csv")
+    medallion.convert_csv(spark, f"{root}/csv", f"{root}/raw")
+    medallion.run(spark, f"{root}/raw", root)
+    path = loading.silver_path(root, SPECS["grid_load"])
+    snapshots.publish(spark, snapshots.read_snapshot(spark, path).limit(1), path)
+    with pytest.raises(Exception, match=r"unique\(.*1 rows"):
+        medallion.run_gates(spark, root)

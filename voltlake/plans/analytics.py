@@ -34,7 +34,11 @@ def weather_impact(fact: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("n_readings"),
             F.avg("energy_usage_kwh").alias("avg_kwh"),
             F.avg("temperature_celsius").alias("avg_temperature"),
-            F.corr("temperature_celsius", "energy_usage_kwh").alias("correlation"),
+            # Null, not an error, where one of the two never changes.
+            F.try_divide(
+                F.covar_pop("temperature_celsius", "energy_usage_kwh"),
+                F.stddev_pop("temperature_celsius") * F.stddev_pop("energy_usage_kwh"),
+            ).alias("correlation"),
             F.regr_slope("energy_usage_kwh", "temperature_celsius").alias("kwh_per_degree"),
         )
     )

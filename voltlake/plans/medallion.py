@@ -9,8 +9,9 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from voltlake.operators import quality
-from voltlake.operators.refine import refine
-from voltlake.plans import gold
+from voltlake.operators.refine import refine, rejects
+from voltlake.operators.scd import scd2_history
+from voltlake.plans import analytics, gold
 from voltlake.session import build_session, side_by_side
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, RETENTION_HOURS, SPECS, TableSpec
@@ -43,12 +44,19 @@ def run_bronze(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
 
 
 def refresh_silver(spark: SparkSession, spec: TableSpec, root: str) -> int:
-    """Rebuilds one Silver table from its Bronze table as a new version."""
+    """Rebuilds one Silver table from its Bronze table as a new version, and beside it the table
+    of the rows left out, with the rules each broke."""
     bronze = snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
     path = loading.silver_path(root, spec)
+    if spec.ranges:
+        snapshots.publish(spark, rejects(bronze, spec), rejects_path(root, spec), "overwrite")
     return snapshots.publish(spark, refine(bronze, spec), path, "overwrite")[1]
 
 
+def rejects_path(root: str, spec: TableSpec) -> str:
+    return f"{root}/rejects/{spec.name}"
+
+
 def run_silver(spark: SparkSession, root: str) -> dict[str, int]:
     return side_by_side(
         spark, {name: partial(refresh_silver, spark, spec, root) for name, spec in SPECS.items()}
@@ -117,8 +125,50 @@ def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
     )
 
 
+def run_analytics(spark: SparkSession, root: str) -> dict[str, int]:
+    """Publishes histories, dashboards and features from the published tables. They may be empty."""
+    silver = silver_tables(spark, root)
+    fact, households = (
+        snapshots.read_snapshot(spark, loading.gold_path(root, name)) for name in ("fact_energy", "dim_household")
+    )
+    readings = gold.energy_readings(silver["energy_usage"])
+    with_weather = gold.with_weather(readings, silver["weather_stream"])
+    timed = silver["energy_usage"].filter("household_id IS NOT NULL AND timestamp IS NOT NULL")
+    frames = {
+        "household_history": scd2_history(
+            timed, ["household_id"], "timestamp", list(gold.HOUSEHOLD_ATTRIBUTES)
+        ),
+        "consumption_by_segment": analytics.consumption_by_segment(fact),
+        "weather_impact": analytics.weather_impact(with_weather),
+        "device_health": analytics.device_health(silver["device_metrics"]),
+        "billing_analytics": analytics.billing_analytics(silver["tariff_metrics"], households),
+        "forecast_features": analytics.forecast_features(fact),
+    }
+    return side_by_side(
+        spark,
+        {
+            name: lambda name=name, df=df: snapshots.publish(
+                spark, df, loading.gold_path(root, name), "overwrite"
+            )[1]
+            for name, df in frames.items()
+        },
+    )
+
+
+def column_tests(spark: SparkSession, root: str) -> DataFrame:
+    """Unique natural keys in Silver, and households of the fact in their dimension."""
+    silver = silver_tables(spark, root)
+    fact, households = (
+        snapshots.read_snapshot(spark, loading.gold_path(root, name)) for name in ("fact_energy", "dim_household")
+    )
+    checks = [quality.unique(silver[name], spec.key) for name, spec in SPECS.items()]
+    checks.append(quality.unique(fact, ["household_id", "timestamp"]))
+    checks.append(quality.relationships(fact, "household_id", households))
+    return quality.run_checks(checks)
+
+
 def run_gates(spark: SparkSession, root: str) -> dict[str, int]:
-    """Every table of every layer and the audit log must hold rows."""
+    """Every table of every layer and the audit log must hold rows, and the column tests pass."""
     tables = {
         f"bronze.{spec.bronze_name}": snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
         for spec in SPECS.values()
@@ -129,7 +179,9 @@ def run_gates(spark: SparkSession, root: str) -> dict[str, int]:
         for name in GOLD_TABLES
     }
     quality.require_not_empty(loading.read_audit(spark, loading.audit_path(root)), "bronze.audit_log")
-    return quality.require_rows(tables)
+    counts = quality.require_rows(tables)
+    quality.require_passed(column_tests(spark, root))
+    return counts
 
 
 def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
@@ -139,6 +191,7 @@ def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
     run_silver(spark, root)
     maintain_silver(spark, root)
     run_gold(spark, root)
+    run_analytics(spark, root)
     return run_gates(spark, root)
 
 

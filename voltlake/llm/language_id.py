@@ -9,7 +9,7 @@ weighted by its share of the text. They are fitted on a bounded sample of labell
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -122,19 +122,18 @@ def _passages(text: str, size: int = 60) -> list[str]:
 
 
 def fit_rows(
-    examples: list[tuple[str, str]], families: Mapping[str, tuple[str, ...]] = FAMILIES
+    examples: Iterable[tuple[str, str]], families: Mapping[str, tuple[str, ...]] = FAMILIES
 ) -> LanguageModel:
     """Fits all machines on (text, language) pairs, which must hold one language at least."""
     cut = [(p, lang) for text, lang in sorted(examples) for p in _passages(text) if p.strip()]
-    grams, starts = byte_grams([t for t, _ in cut], BITS)
-    owner = np.repeat(np.arange(len(cut)), np.diff(starts))
-    keys, counts = np.unique(
-        (owner[:, None].astype(np.int64) << BITS | grams).ravel(), return_counts=True
-    )
-    rows, features = (keys >> BITS).astype(np.int64), (keys & ((1 << BITS) - 1)).astype(np.int64)
-    totals = np.maximum(np.diff(starts), 1)
+    # One text after the other, so that no more than its distinct grams are kept of each.
+    kept = [np.unique(byte_grams([t], BITS)[0], return_counts=True) for t, _ in cut]
+    sizes = np.array([len(f) for f, _ in kept])
+    rows = np.repeat(np.arange(len(cut), dtype=np.int32), sizes)
+    features = np.concatenate([f for f, _ in kept]).astype(np.int32)
+    values = np.concatenate([c / c.sum() for _, c in kept]).astype(np.float32) * 4
+    del kept
     # Scaled so that a text's feature vector has a length of about one.
-    values = counts / totals[rows]
     length = np.sqrt(np.bincount(rows, values**2, minlength=len(cut)))
     scale = 1.0 / max(float(np.median(length)), 1e-9)
     langs = np.array([lang for _, lang in cut], dtype=object)
@@ -165,7 +164,7 @@ def fit_rows(
 def fit(
     docs: DataFrame,
     learn: Column,
-    sample: int = 600,
+    sample: int = 300,
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",

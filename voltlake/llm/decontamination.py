@@ -42,8 +42,8 @@ _LITERAL, _NUMBER, _UNIT, _CAPITAL, _STOP = range(5)
 _U64 = np.uint64
 
 
-def _token(word: str) -> tuple[int, int]:
-    """Hash and kind of a token, without its surroundings."""
+def _token(word: str) -> int:
+    """Hash and kind (the last three bits) of a token, without its surroundings."""
     if word[0].isdigit():
         kind = _NUMBER
     elif word in ".!?\n":
@@ -52,7 +52,7 @@ def _token(word: str) -> tuple[int, int]:
         kind = _UNIT
     else:
         kind = _CAPITAL if word[0].isupper() else _LITERAL
-    return xxhash.xxh64_intdigest(word.lower().encode()) >> 1 | 1, kind
+    return xxhash.xxh64_intdigest(word.lower().encode()) >> 4 << 3 | kind
 
 
 class Canonicaliser:
@@ -64,9 +64,9 @@ class Canonicaliser:
         words = _TOKEN.findall(text)
         if not words:
             return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
-        told = np.array(list(map(self._memo.__getitem__, words)), dtype=np.int64)
+        told = np.fromiter(map(self._memo.__getitem__, words), dtype=np.int64, count=len(words))
         self._memo.age(words)
-        hashes, kinds = told[:, 0].astype(np.uint64), told[:, 1]
+        hashes, kinds = (told >> 3).astype(np.uint64), told & 7
         before = np.concatenate(([_STOP], kinds[:-1]))
         slot = np.zeros(len(kinds), dtype=np.int64)
         slot[kinds == _NUMBER] = _NUMBER

@@ -1,10 +1,10 @@
 """Benchmark decontamination by template canonicalisation.
 
-Numbers, units after a number, and names inside a sentence become typed placeholders, so that a
-question keeps its template when its parameters are changed. Windows of eight such tokens are
-hash-joined between documents and benchmark items. A match is believed if enough windows of an
-item follow each other in a document and the slots agree: each value of the item stands for one
-value of the document throughout, and the other way round.
+Numbers, units after a number, and names inside a sentence become typed placeholders, equal ones in
+a row one placeholder, so that a question keeps its template when its parameters are changed.
+Windows of eight such tokens are hash-joined between documents and benchmark items; texts of fewer
+tokens are one window as a whole. The windows found are chained in rising order, over places where words were put in
+or left out. Each value of the item must stand for one value of the document, and the other way round.
 
 Before the join a fixed-size bit set of the benchmark's windows goes to every task, and only
 windows that can be in the benchmark leave it. Its size does not grow with either side; it only
@@ -29,6 +29,9 @@ from voltlake.llm.superminhash import mix64
 
 WINDOW = 8
 LITERALS = 4  # a window of placeholders only says nothing
+COVERED = 0.75  # share of an item's tokens that is enough, however few windows are whole
+RUN = 20  # tokens in a row that are enough, however long the item is
+SHIFT = 0.01  # what a change of the offset costs a chain, in windows
 BITS = 22
 # Common units of measure, money and time.
 UNITS = frozenset(
@@ -75,74 +78,214 @@ class Canonicaliser:
         kept = kinds != _STOP
         return hashes[kept], slot[kept]
 
-    def windows(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Template hash of each window of a text, and the slot values in it (0: a literal).
-
-        A text of fewer tokens is one window as a whole. Windows with too few literals get the
-        hash 0.
-        """
-        hashes, slot = self.tokens(text)
-        size = min(WINDOW, len(hashes))
-        if not size:
-            return np.zeros(0, dtype=np.uint64), np.zeros((0, WINDOW), dtype=np.int64)
-        canonical = np.where(slot > 0, slot.astype(np.uint64), hashes)
-        count = len(hashes) - size + 1
-        total, literals, factor = np.full(count, size, dtype=np.uint64), np.zeros(count, np.int64), 1
-        values = np.zeros((count, WINDOW), dtype=np.int64)
+
+def _window(count: int) -> int:
+    """Tokens of a window of an item with so many: one changed word leaves a window whole from 14 on."""
+    return WINDOW - 1 if 2 * WINDOW - 2 <= count <= 2 * WINDOW else min(WINDOW, count)
+
+
+def _collapsed(hashes: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First token, kind and value (0: a literal) of each literal or run of equal placeholders."""
+    begins = np.ones(len(slot), dtype=bool)
+    begins[1:] = (slot[1:] != slot[:-1]) | (slot[1:] == 0)
+    starts = np.flatnonzero(begins)
+    kinds, values = slot[starts], hashes[starts]
+    if len(starts) < len(slot):
+        place = (np.arange(len(slot)) - starts[np.cumsum(begins) - 1]).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            runs = np.add.reduceat(mix64(hashes + (place << _U64(60))), starts) >> _U64(4)
+        values = np.where(np.diff(starts, append=len(slot)) > 1, runs, values)
+    return starts, kinds, np.where(kinds > 0, values.astype(np.int64) << 3 | kinds, 0)
+
+
+def _rolled(mixed: np.ndarray, size: int, kind: int) -> np.ndarray:
+    """Hash of each window of mixed tokens; windows of different kinds or sizes never meet."""
+    count, factor = len(mixed) - size + 1, 1
+    total = np.full(count, 2 * size + kind, dtype=np.uint64)
+    with np.errstate(over="ignore"):
         for k in range(size):
             factor = factor * 0x9E3779B97F4A7C15 % (1 << 64)
-            with np.errstate(over="ignore"):
-                total += mix64(canonical[k : k + count]) * _U64(factor)
-            literals += slot[k : k + count] == 0
-            values[:, k] = np.where(slot[k : k + count] > 0, hashes[k : k + count].astype(np.int64), 0)
-        total = mix64(total)
-        total[literals < min(LITERALS, size)] = 0
-        return total, values
+            total += mixed[k : k + count] * _U64(factor)
+    return mix64(total)
+
+
+def _literals(slot: np.ndarray, size: int) -> np.ndarray:
+    """How many tokens of each window are literals."""
+    before = np.concatenate(([0], np.cumsum(slot == 0)))
+    return before[size:] - before[:-size]
 
 
-_SHAPE = "window long, place int, windows int, slots array<long>"
+_TEMPLATE, _RAW = range(2)
+_COLUMNS = ["kind", "size", "window", "place", "at", "span", "slots", "tokens", "last", "templates", "windows"]
+_SHAPE = (
+    "kind int, size int, window long, place int, at int, span int, slots array<long>, tokens int, last int, "
+    "templates int, windows int"
+)
+
 
+def _found(hashes: np.ndarray, slot: np.ndarray, sizes, bits) -> list[tuple]:
+    """(kind, size, hashes, first tokens, places, tokens, slots) of the windows of a text that may matter.
+
+    Without ``sizes`` the text is an item.
+    """
+    starts, kinds, values = _collapsed(hashes, slot)
+    ends = np.append(starts, len(hashes))
+    found = []
+    for kind, flags in ((_TEMPLATE, kinds),):
+        wanted_sizes = [_window(len(flags))] if sizes is None else [s for k, s in sizes if k == kind and (WINDOW - 1 <= s <= len(flags) or s == len(flags))]
+        if not wanted_sizes:
+            continue
+        mixed = mix64(np.where(kinds > 0, kinds.astype(np.uint64), hashes[starts]) if kind == _TEMPLATE else hashes)
+        for size in wanted_sizes:
+            rolled = _rolled(mixed, size, kind)
+            if bits is not None:
+                at = (rolled >> _U64(64 - BITS)).astype(np.int64)
+                wanted = (bits[at >> 3] >> (at & 7) & 1).astype(bool)
+            else:
+                wanted = np.ones(len(rolled), dtype=bool)
+            if kind == _TEMPLATE:
+                wanted &= _literals(flags, size) >= min(LITERALS, size)
+            elif sizes is None:
+                wanted &= len(hashes) < WINDOW
+            kept = np.flatnonzero(wanted)
+            if not len(kept):
+                continue
+            slots = np.zeros((len(kept), WINDOW), dtype=np.int64)
+            if kind == _TEMPLATE:
+                slots[:, :size] = values[kept[:, None] + np.arange(size)]
+                place, span = starts[kept], ends[kept + size] - starts[kept]
+            else:
+                place, span = kept, np.full(len(kept), size)
+            found.append((kind, size, rolled[kept], place, kept, span, slots))
+    return found
 
-def _windows(source: DataFrame, id_name: str, allowed=None) -> DataFrame:
-    """(id, window, place, windows of the text, slots) of each window that may matter."""
+
+def _windows(source: DataFrame, id_name: str, allowed=None, sizes=None) -> DataFrame:
+    """The id and what `_SHAPE` says of each window that may matter: where it begins in tokens
+    (place) and in runs (at), its tokens (span), and counts of the text's tokens, runs and windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonicaliser = Canonicaliser()
         bits = None if allowed is None else np.frombuffer(allowed.value, dtype=np.uint8)
         for batch in batches:
             for part in in_pieces(batch):
-                owner, found, places, sizes, slots = [], [], [], [], []
+                owner, parts = [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
-                    hashes, values = canonicaliser.windows(text)
-                    wanted = hashes != 0
-                    if bits is not None:
-                        at = (hashes >> _U64(64 - BITS)).astype(np.int64)
-                        wanted &= (bits[at >> 3] >> (at & 7) & 1).astype(bool)
-                    kept = np.flatnonzero(wanted)
-                    if len(kept):
-                        owner.append(np.full(len(kept), row))
-                        found.append(hashes[kept])
-                        places.append(kept)
-                        sizes.append(np.full(len(kept), len(hashes)))
-                        slots.append(values[kept])
+                    hashes, slot = canonicaliser.tokens(text)
+                    if not len(hashes):
+                        continue
+                    found = _found(hashes, slot, sizes, bits)
+                    if not found:
+                        continue
+                    last = len(_collapsed(hashes, slot)[0]) - 1
+                    templates = sum(len(f[2]) for f in found if f[0] == _TEMPLATE)
+                    windows = len(set().union(*(f[3].tolist() for f in found)))
+                    for kind, size, rolled, place, at, span, slots in found:
+                        count = len(rolled)
+                        owner.append(np.full(count, row))
+                        parts.append(
+                            (np.full(count, kind), np.full(count, size), rolled.view(np.int64), place, at, span, slots)
+                            + tuple(np.full(count, x) for x in (len(hashes), last, templates, windows))
+                        )
                 if not owner:
                     continue
-                flat = np.concatenate(slots)
-                ends = np.arange(0, flat.size + 1, WINDOW, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column("doc_id").take(pa.array(np.concatenate(owner))),
-                        pa.array(np.concatenate(found).view(np.int64)),
-                        pa.array(np.concatenate(places).astype(np.int32)),
-                        pa.array(np.concatenate(sizes).astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())),
-                    ],
-                    [id_name, "window", "place", "windows", "slots"],
-                )
+                columns = []
+                for name, *arrays in zip(_COLUMNS, *parts):
+                    flat = np.concatenate(arrays)
+                    if name == "slots":
+                        ends = np.arange(0, flat.size + 1, WINDOW, dtype=np.int32)
+                        columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())))
+                    else:
+                        columns.append(pa.array(flat if name == "window" else flat.astype(np.int32)))
+                ids = part.column("doc_id").take(pa.array(np.concatenate(owner)))
+                yield pa.RecordBatch.from_arrays([ids, *columns], [id_name, *_COLUMNS])
 
     return source.mapInArrow(run, f"{id_name} {source.dtypes[0][1]}, {_SHAPE}")
 
 
+def _chain(place: np.ndarray, there: np.ndarray, tokens: int) -> np.ndarray:
+    """Indexes of the longest chain of windows that rises in the item and in the document.
+
+    From one window to the next the offset moves by no more than the item's length; of equally long
+    chains the one with the fewest moves is taken. The points come in the order of ``there``.
+    """
+    shift = there - place
+    if (shift == shift[0]).all():
+        return np.arange(len(place))
+    best, back = np.ones(len(place)), np.full(len(place), -1)
+    low = np.searchsorted(there, there - 2 * tokens)
+    for i in range(1, len(place)):
+        j = slice(low[i], i)
+        moved = np.abs(shift[j] - shift[i])
+        gain = np.where((place[j] < place[i]) & (there[j] < there[i]) & (moved <= tokens), best[j] - SHIFT * (moved > 0), 0)
+        if len(gain) and gain.max() > 0:
+            back[i] = low[i] + gain.argmax()
+            best[i] = 1 + gain.max()
+    chain, i = [], int(best.argmax())
+    while i >= 0:
+        chain.append(i)
+        i = back[i]
+    return np.array(chain[::-1])
+
+
+def _judged(rows: dict, chosen: np.ndarray, share: float) -> tuple | None:
+    """matched, slots and verbatim of a chain of windows, or nothing if it is too little."""
+    tokens, last = int(rows["tokens"].max()), int(rows["last"][0])
+    # Rows that repeat an id say the same window twice.
+    chosen = chosen[np.sort(np.unique(rows["place"][chosen] * 2 + rows["kind"][chosen], return_index=True)[1])]
+    mine, theirs = rows["slots"][chosen], rows["doc_slots"][chosen]
+    run = rows["at"][chosen][:, None] + np.arange(WINDOW)
+    # A run at the edge of the item may go on in the document.
+    edge = (mine & 7 != _UNIT) & ((run == 0) | (run == last) | (run == 1) & (mine & 7 == _CAPITAL))
+    checked = (mine != 0) & ~edge
+    pairs = np.unique(np.stack([mine[checked], theirs[checked]], axis=1), axis=0)
+    values, counts = np.unique(pairs[:, 0], return_counts=True)
+    if (counts > 1).any() or len(np.unique(pairs[:, 1])) < len(pairs):
+        return None
+    place, span, kind = rows["place"][chosen], rows["span"][chosen], rows["kind"][chosen]
+    covered = np.zeros(tokens, dtype=bool)
+    longest = 0
+    for which in (_TEMPLATE, _RAW):
+        of = kind == which
+        at, there, first, end = (x[of] for x in (rows["at"][chosen], rows["doc_at"][chosen], place, place + span))
+        for a, b in zip(first, end):
+            covered[a:b] = True
+        broken = np.flatnonzero((np.diff(at) != 1) | (np.diff(there) != 1)) + 1
+        if len(at):
+            longest = max(longest, (end[np.append(broken - 1, len(at) - 1)] - first[np.append(0, broken)]).max())
+    matched, templates = len(np.unique(place)), int((kind == _TEMPLATE).sum())
+    enough = (
+        matched >= share * rows["windows"][0]
+        or templates > 0 and templates >= share * rows["templates"][0]
+        or covered.sum() >= max(share, COVERED) * tokens
+        or longest >= RUN
+    )
+    if not enough:
+        return None
+    pairs = np.unique(np.stack([mine[mine != 0], theirs[mine != 0]], axis=1), axis=0)
+    return matched, len(pairs), bool((pairs[:, 0] == pairs[:, 1]).all())
+
+
+def _best(table: pa.Table, share: float) -> tuple | None:
+    """What is to be said of one item in one document, or nothing."""
+    names = ["kind", "place", "at", "span", "tokens", "last", "templates", "windows", "doc_place", "doc_at"]
+    rows = {n: table.column(n).to_numpy() for n in names}
+    for name in ("slots", "doc_slots"):
+        rows[name] = table.column(name).combine_chunks().flatten().to_numpy().reshape(-1, WINDOW)
+    order = np.lexsort((rows["kind"], rows["place"], rows["doc_place"]))
+    rows = {n: v[order] for n, v in rows.items()}
+    while len(order):
+        point = np.stack([rows["doc_place"], rows["place"]], axis=1).astype(np.int64)
+        points, of = np.unique(point, axis=0, return_inverse=True)
+        taken = np.isin(of.ravel(), _chain(points[:, 1], points[:, 0], int(rows["tokens"][0])))
+        found = _judged(rows, np.flatnonzero(taken), share)
+        if found:
+            return found
+        order = order[~taken]  # the next occurrence
+        rows = {n: v[~taken] for n, v in rows.items()}
+    return None
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -154,12 +297,15 @@ def contaminated(
 ) -> DataFrame:
     """doc_id, item_id, matched, windows, slots, verbatim of each item found in a document.
 
-    An item is found if ``share`` of its windows stand in the document in its order with
-    consistent slots; ``slots`` counts the distinct parameters, ``verbatim`` says that all have
-    the item's own values. Texts are read whole; a null or empty text, a null id, and an item
-    without a window of at least four literals (or all its tokens, if shorter) are never found.
-    Rows that repeat an id are one document or item. Empty tables give no rows; other columns
-    play no part.
+    An item is found if ``share`` of its windows, or of those that are templates, stand in the
+    document in rising order, words put in or left out between them or not; or if these windows hold
+    three quarters of its tokens, or twenty tokens in a row. Each value of
+    the item must stand for one value of the document, and the other way round. An item of 13 tokens or fewer needs eight
+    in a row, or all. ``slots`` counts the distinct parameters, ``verbatim`` says that all have the
+    item's own values; a name that runs on in the document beyond the item is another value. Windows
+    of fewer than four literals (or all its tokens, if shorter) are not looked for.
+    Texts are read whole; a null or empty text and a null id are never found. Rows that repeat an id
+    are one document or item. Empty tables give no rows; other columns play no part.
     """
     spark = docs.sparkSession
     items = texts(benchmark, item_col, item_text_col).filter("doc_id IS NOT NULL")
@@ -169,29 +315,26 @@ def contaminated(
     at = places.toPandas()["bit"].to_numpy(dtype=np.int64)  # 2 ** BITS at most
     bits[at] = True
     allowed = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
+    sizes = [tuple(r) for r in wanted.select("kind", "size").distinct().collect()]  # 2 * WINDOW at most
     known = texts(docs, id_col, text_col).filter("doc_id IS NOT NULL")
-    here = _windows(known, "doc_id", allowed).select(
-        "doc_id", "window", F.col("place").alias("doc_place"), F.col("slots").alias("doc_slots")
+    here = _windows(known, "doc_id", allowed, sizes).select(
+        "doc_id", "window", F.col("place").alias("doc_place"), F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots")
     )
-    pairs = F.filter(F.arrays_zip(F.col("slots").alias("item"), F.col("doc_slots").alias("doc")), lambda p: p["item"] != 0)
-    aligned = (
-        here.join(wanted, "window")
-        .groupBy("doc_id", "item_id", (F.col("doc_place") - F.col("place")).alias("shift"))
-        .agg(
-            F.count_distinct("place").alias("matched"),
-            F.max("windows").alias("windows"),
-            # No more than an item has windows.
-            F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"),
+    types = f"doc_id {known.dtypes[0][1]}, item_id {items.dtypes[0][1]}"
+
+    def judge(table: pa.Table) -> pa.Table:
+        found = _best(table, share)
+        ids = table.select(["doc_id", "item_id"]).slice(0, 1 if found else 0)
+        matched, slots, verbatim = ([x] if found else [] for x in found or (0, 0, False))
+        return (
+            ids.append_column("matched", pa.array(matched, pa.int64()))
+            .append_column("windows", table.column("windows").slice(0, len(ids)))
+            .append_column("slots", pa.array(slots, pa.int32()))
+            .append_column("verbatim", pa.array(verbatim, pa.bool_()))
         )
-    )
-    slots = F.size("pairs")
-    consistent = (slots == F.size(F.array_distinct(F.col("pairs.item")))) & (
-        slots == F.size(F.array_distinct(F.col("pairs.doc")))
-    )
-    best = F.max(F.struct("matched", "windows", slots.alias("slots"), F.forall("pairs", lambda p: p["item"] == p["doc"]).alias("verbatim")))
+
     return (
-        aligned.filter(consistent & (F.col("matched") >= F.lit(share) * F.col("windows")))
+        here.join(wanted, "window")
         .groupBy("doc_id", "item_id")
-        .agg(best.alias("best"))
-        .select("doc_id", "item_id", "best.*")
+        .applyInArrow(judge, f"{types}, matched long, windows int, slots int, verbatim boolean")
     )

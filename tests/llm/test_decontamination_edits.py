@@ -32,3 +32,9 @@ def test_edits_in_the_middle_are_found(spark):
     assert expected <= set(found(spark, docs, items))
     far = [(1, f"{' '.join(items[3][1].split()[:9])} {prose(9, 300)} {' '.join(items[3][1].split()[11:])}")]
     assert found(spark, far, items[3:4]) == {}
+
+
+def test_items_of_few_tokens_are_found(spark):
+    items = [(1, "What is the capital of France?"), (2, "tiny item"), (3, "Never said so")]
+    docs = [(1, "What is the capital of France?"), (2, "He asked: What is the capital of France? And"), (3, "a tiny item here")]
+    assert set(found(spark, docs, items)) == {(1, 1), (2, 1), (3, 2)}

@@ -2,8 +2,8 @@
 
 Numbers, units after a number, and names inside a sentence become typed placeholders, equal ones in
 a row one placeholder, so that a question keeps its template when its parameters are changed.
-Windows of eight such tokens are hash-joined between documents and benchmark items; texts of fewer
-tokens are one window as a whole. The windows found are chained in rising order, over places where words were put in
+Windows of eight such tokens are hash-joined between documents and benchmark items; items of fewer
+tokens are one window of their own length. The windows found are chained in rising order, over places where words were put in
 or left out. Each value of the item must stand for one value of the document, and the other way round.
 
 Before the join a fixed-size bit set of the benchmark's windows goes to every task, and only
@@ -131,8 +131,8 @@ def _found(hashes: np.ndarray, slot: np.ndarray, sizes, bits) -> list[tuple]:
     starts, kinds, values = _collapsed(hashes, slot)
     ends = np.append(starts, len(hashes))
     found = []
-    for kind, flags in ((_TEMPLATE, kinds),):
-        wanted_sizes = [_window(len(flags))] if sizes is None else [s for k, s in sizes if k == kind and (WINDOW - 1 <= s <= len(flags) or s == len(flags))]
+    for kind, flags in ((_TEMPLATE, kinds), (_RAW, slot)):
+        wanted_sizes = [_window(len(flags))] if sizes is None else [s for k, s in sizes if k == kind and s <= len(flags)]
         if not wanted_sizes:
             continue
         mixed = mix64(np.where(kinds > 0, kinds.astype(np.uint64), hashes[starts]) if kind == _TEMPLATE else hashes)

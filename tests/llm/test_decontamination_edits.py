@@ -38,3 +38,15 @@ def test_items_of_few_tokens_are_found(spark):
     items = [(1, "What is the capital of France?"), (2, "tiny item"), (3, "Never said so")]
     docs = [(1, "What is the capital of France?"), (2, "He asked: What is the capital of France? And"), (3, "a tiny item here")]
     assert set(found(spark, docs, items)) == {(1, 1), (2, 1), (3, 2)}
+
+
+def test_copies_with_few_literals_are_found(spark):
+    items = [
+        (1, "Compute 12 34 56 km 78 90 12 and 11 plus 17 times 9 minus 4 5 6 7"),
+        (2, "THE QUICK BROWN FOX JUMPS OVER THE LAZY DOG AND RUNS AWAY"),
+        (3, "1 2 3 4 5 6 7 8 9 10"),
+        (4, "we read that the old table now shows 3 4 5 km 7 km 9 km 12 km 15 km 18 km 21 km 24 km 27 km 30 km 33 km 36 km"),
+    ]
+    docs = [(k, f"In Table 5 {text} 77 Then") for k, text in items]
+    changed = [(5, items[3][1].replace("7", "8").replace("3", "6"))]  # its template
+    assert set(found(spark, docs + changed, items)) == {(k, k) for k, _ in items} | {(5, 4)}

@@ -3,7 +3,8 @@
 Numbers, units after a number, and names inside a sentence become typed placeholders, equal ones in
 a row one placeholder, so that a question keeps its template when its parameters are changed.
 Windows of eight such tokens are hash-joined between documents and benchmark items; items of fewer
-tokens are one window of their own length. The windows found are chained in rising order, over places where words were put in
+tokens are one window of their own length. Windows of an item with too few literals are joined as
+they are written. The windows found are chained in rising order, over places where words were put in
 or left out. Each value of the item must stand for one value of the document, and the other way round.
 
 Before the join a fixed-size bit set of the benchmark's windows goes to every task, and only
@@ -146,7 +147,7 @@ def _found(hashes: np.ndarray, slot: np.ndarray, sizes, bits) -> list[tuple]:
             if kind == _TEMPLATE:
                 wanted &= _literals(flags, size) >= min(LITERALS, size)
             elif sizes is None:
-                wanted &= len(hashes) < WINDOW
+                wanted &= (_literals(flags, size) < min(LITERALS, size)) | (len(hashes) < WINDOW)
             kept = np.flatnonzero(wanted)
             if not len(kept):
                 continue
@@ -303,7 +304,7 @@ def contaminated(
     the item must stand for one value of the document, and the other way round. An item of 13 tokens or fewer needs eight
     in a row, or all. ``slots`` counts the distinct parameters, ``verbatim`` says that all have the
     item's own values; a name that runs on in the document beyond the item is another value. Windows
-    of fewer than four literals (or all its tokens, if shorter) are not looked for.
+    of fewer than four literals (or all its tokens, if shorter) are only found as they are written.
     Texts are read whole; a null or empty text and a null id are never found. Rows that repeat an id
     are one document or item. Empty tables give no rows; other columns play no part.
     """

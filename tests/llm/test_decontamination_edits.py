@@ -50,3 +50,12 @@ def test_copies_with_few_literals_are_found(spark):
     docs = [(k, f"In Table 5 {text} 77 Then") for k, text in items]
     changed = [(5, items[3][1].replace("7", "8").replace("3", "6"))]  # its template
     assert set(found(spark, docs + changed, items)) == {(k, k) for k, _ in items} | {(5, 4)}
+
+
+def test_a_torn_slot_costs_its_windows_only(spark):
+    apples = "the old farmer has 3 apples and 5 pears in his small wooden basket near the door"
+    long = f"{prose(1, 20)} the man Tom {prose(2, 20)} the man Tom {prose(3, 20)}"
+    docs = [(1, apples.replace("3", "4").replace("5", "4")), (2, long.replace("Tom", "Tim", 1))]
+    matches = found(spark, docs, [(1, apples), (2, long)])
+    assert set(matches) == {(1, 1), (2, 2)}
+    assert matches[2, 2].matched < matches[2, 2].windows

@@ -5,7 +5,8 @@ a row one placeholder, so that a question keeps its template when its parameters
 Windows of eight such tokens are hash-joined between documents and benchmark items; items of fewer
 tokens are one window of their own length. Windows of an item with too few literals are joined as
 they are written. The windows found are chained in rising order, over places where words were put in
-or left out. Each value of the item must stand for one value of the document, and the other way round.
+or left out. Windows in which a value of the item stands for several values of the document do not
+count.
 
 Before the join a fixed-size bit set of the benchmark's windows goes to every task, and only
 windows that can be in the benchmark leave it. Its size does not grow with either side; it only
@@ -241,7 +242,9 @@ def _judged(rows: dict, chosen: np.ndarray, share: float) -> tuple | None:
     checked = (mine != 0) & ~edge
     pairs = np.unique(np.stack([mine[checked], theirs[checked]], axis=1), axis=0)
     values, counts = np.unique(pairs[:, 0], return_counts=True)
-    if (counts > 1).any() or len(np.unique(pairs[:, 1])) < len(pairs):
+    torn = (checked & np.isin(mine, values[counts > 1])).any(axis=1)
+    chosen, mine, theirs = chosen[~torn], mine[~torn], theirs[~torn]
+    if not len(chosen):
         return None
     place, span, kind = rows["place"][chosen], rows["span"][chosen], rows["kind"][chosen]
     covered = np.zeros(tokens, dtype=bool)
@@ -300,8 +303,8 @@ def contaminated(
 
     An item is found if ``share`` of its windows, or of those that are templates, stand in the
     document in rising order, words put in or left out between them or not; or if these windows hold
-    three quarters of its tokens, or twenty tokens in a row. Each value of
-    the item must stand for one value of the document, and the other way round. An item of 13 tokens or fewer needs eight
+    three quarters of its tokens, or twenty tokens in a row. Windows with a value of the item that
+    stands for several values of the document do not count. An item of 13 tokens or fewer needs eight
     in a row, or all. ``slots`` counts the distinct parameters, ``verbatim`` says that all have the
     item's own values; a name that runs on in the document beyond the item is another value. Windows
     of fewer than four literals (or all its tokens, if shorter) are only found as they are written.

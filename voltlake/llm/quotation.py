@@ -30,11 +30,23 @@ def _hashed(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _units(text: Column) -> Column:
+    """A text as a whole, its paragraphs and its lines."""
+    return F.array_union(F.array(text), F.array_union(F.split(text, r"\n\s*\n"), F.split(text, "\n")))
+
+
 def parsed_lines(quoting: DataFrame) -> DataFrame:
-    """The lines of messages with quotes: line, level, content (without marks), attribution."""
+    """The lines of messages with quotes: line, level, content (without marks), attribution.
+
+    An attribution stands above a deeper line, or has only blank lines between.
+    """
     lines = quoting.select(*MESSAGE, F.posexplode(F.split("said", "\n")).alias("line", "raw"))
     marks = F.regexp_extract("raw", QUOTE, 0)
-    following = F.lead("level", 1, 0).over(Window.partitionBy(*MESSAGE).orderBy("line"))
+    # Backwards, as Spark reads a window up to the end anew for every row.
+    upwards = Window.partitionBy(*MESSAGE).orderBy(F.desc("line"))
+    filled = F.when(normalised(F.col("content")) != "", F.col("level"))
+    below = F.last(filled, ignorenulls=True).over(upwards.rowsBetween(Window.unboundedPreceding, -1))
+    following = F.greatest(F.lag("level", 1, 0).over(upwards), F.coalesce(below, F.lit(0)))
     return (
         lines.withColumn("level", F.length(F.regexp_replace(marks, "[^>]", "")))
         .withColumn("content", F.trim(F.regexp_replace("raw", QUOTE, "")))
@@ -43,7 +55,7 @@ def parsed_lines(quoting: DataFrame) -> DataFrame:
 
 
 def passages(lines: DataFrame) -> DataFrame:
-    """Quoted passages: lines of one level that follow each other, and each line of them."""
+    """Quoted passages: lines of one level that follow each other, and the paragraphs and lines of them."""
     order = Window.partitionBy(*MESSAGE).orderBy("line")
     begins = (F.col("level") != F.lag("level", 1, -1).over(order)).cast("int")
     quoted = (
@@ -54,10 +66,10 @@ def passages(lines: DataFrame) -> DataFrame:
     whole = (
         quoted.groupBy(*MESSAGE, "passage", "level")
         .agg(F.sort_array(F.collect_list(F.struct("line", "content"))).alias("parts"))
-        .select(*MESSAGE, "level", F.array_join(F.col("parts.content"), " ").alias("content"))
+        .select(*MESSAGE, "level", F.array_join(F.col("parts.content"), "\n").alias("content"))
     )
     return (
-        whole.union(quoted.select(*MESSAGE, "level", "content"))
+        whole.select(*MESSAGE, "level", F.explode(_units(F.col("content"))).alias("content"))
         .withColumn("content", normalised(F.col("content")))
         .filter("content != ''")
         .select(*MESSAGE, "level", F.length("content").alias("size"), _hashed(F.col("content")).alias("hash"))
@@ -67,11 +79,8 @@ def passages(lines: DataFrame) -> DataFrame:
 
 def originals(bodies: DataFrame) -> DataFrame:
     """What a message itself says: its body, its paragraphs and its lines, hashed."""
-    units = F.array_union(
-        F.array(F.col("body")), F.array_union(F.split("body", r"\n[ \t]*\n"), F.split("body", "\n"))
-    )
     return (
-        bodies.select("conv_id", "turn", F.explode(units).alias("content"))
+        bodies.select("conv_id", "turn", F.explode(_units(F.col("body"))).alias("content"))
         .withColumn("content", normalised(F.col("content")))
         .filter("content != ''")
         .select("conv_id", "turn", _hashed(F.col("content")).alias("hash"))
@@ -108,8 +117,8 @@ def reply_order(
     """conv_id, turn, role, parent_turn, branch, quotes, linked, body, copies of every message.
 
     ``body`` is the text without quoted lines and the lines that announce them; a text without
-    quotes is left as it is, null counts as empty. ``quotes`` counts distinct quoted passages and
-    lines, ``linked`` those found in an earlier message of the conversation. parent_turn is the
+    quotes is left as it is, null counts as empty. ``quotes`` counts distinct quoted passages, their
+    paragraphs and lines, ``linked`` those found in an earlier message of the conversation. parent_turn is the
     earlier turn that the first quote level matches in most characters (of equal ones the latest),
     else the turn before; null for a first turn. ``branch`` is the turn at which a line of first
     replies begins: ordering a conversation by branch and turn gives every reply after what it

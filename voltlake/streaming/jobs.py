@@ -17,6 +17,8 @@ from voltlake.operators.dedup import recency_names
 from voltlake.sources.readers import with_lineage
 from voltlake.specs import WATERMARK_COLUMN, WATERMARK_DELAY, TableSpec
 
+REPORTS = 1000  # more micro-batches than can end in a second
+
 
 def stream_files(
     spark: SparkSession,
@@ -91,16 +93,25 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str) -> int:
 
     Returns how many rows came too late for their state and were left out.
     """
-    query = (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
-    return sum(
-        state["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for state in progress["stateOperators"]
-    )
+    conf, retention = df.sparkSession.conf, "spark.sql.streaming.numRecentProgressUpdates"
+    kept = conf.get(retention)
+    # Reports are read while the query runs, as only so many are kept.
+    conf.set(retention, str(REPORTS))
+    try:
+        query = (
+            df.writeStream.format("parquet")
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+        late, seen, ended = 0, -1, False
+        while not ended:
+            ended = query.awaitTermination(1)
+            for progress in query.recentProgress:
+                if progress["batchId"] > seen:
+                    seen = progress["batchId"]
+                    late += sum(state["numRowsDroppedByWatermark"] for state in progress["stateOperators"])
+    finally:
+        conf.set(retention, kept)
+    return late

@@ -32,6 +32,7 @@ from voltlake.llm.rank_bpe import in_pieces
 from voltlake.llm.superminhash import mix64
 
 BLOCK_BYTES = 12 << 20
+SHARD_BYTES = 1 << 25  # of text whose words and pairs one shard counts, so that its group stays small
 BUCKETS = 24  # contexts by the binary logarithm of their count
 STEPS = 8  # per doubling, in which the evidence for the mixture weights is gathered
 LEAST = 2 * BUCKETS * STEPS
@@ -286,9 +287,12 @@ def score_texts(
     and are scored each time, null ids are carried along, an empty table gives no rows, other
     columns play no part. Without training text every estimate is uniform. Rows must come in the
     same order each time they are read, as those of files do; anything else is noticed and raised.
+    Without ``shards`` there is one for each 32 MB of text, and no fewer than shuffle partitions.
     """
     spark = docs.sparkSession
-    shards = shards or max(12, shuffle_partitions(spark))
+    if not shards:
+        size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+        shards = max(12, shuffle_partitions(spark), -(-size // SHARD_BYTES))
     role = F.when(held_out, OTHER).when(deleted, DELETED).otherwise(LEARNED)
     source = texts(docs.withColumn("__role", role), id_col, text_col, "__role").withColumnRenamed("__role", "role")
     kind = source.schema["doc_id"].dataType

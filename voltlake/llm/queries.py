@@ -13,6 +13,7 @@ from voltlake.llm import (
     decontamination,
     interpolated_lm,
     language_id,
+    mixing,
     near_dedup,
     prefix_counts,
     quotation,
@@ -95,10 +96,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_token_files, op2_interpolated_lm, op3_toxicity, op4_near_dedup, op5_decontamination,
         op6_rank_bpe, op7_language_id, op8_prefix_counts, op9_quotation, op10_exact_dedup,
+        op13_mixing,
     )
     return {f.__name__: f for f in found}
 

@@ -20,6 +20,7 @@ from voltlake.llm import (
     rank_bpe,
     token_files,
     toxicity,
+    whitening,
 )
 from voltlake.llm.common import is_fold, work_dir
 from voltlake.llm.exact_dedup import exact_groups
@@ -96,6 +97,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"), weights=(5, 2, 1))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -105,7 +110,7 @@ def queries() -> dict[str, Query]:
     found = (
         op1_token_files, op2_interpolated_lm, op3_toxicity, op4_near_dedup, op5_decontamination,
         op6_rank_bpe, op7_language_id, op8_prefix_counts, op9_quotation, op10_exact_dedup,
-        op13_mixing,
+        op12_whitening, op13_mixing,
     )
     return {f.__name__: f for f in found}
 

@@ -20,7 +20,7 @@ def found(spark, sf_dir):
     return {name: query(spark, sf_dir).toPandas() for name, query in queries.queries().items()}
 
 
-@pytest.mark.parametrize("name", [n for n in queries.queries() if not n.startswith(("op5", "op9"))])
+@pytest.mark.parametrize("name", [n for n in queries.queries() if not n.startswith(("op5", "op9", "op11", "op12"))])
 def test_one_row_per_document(spark, sf_dir, found, name):
     ids = sorted(r.doc_id for r in table(spark, sf_dir, "documents").select("doc_id").collect())
     assert sorted(found[name].doc_id) == ids
@@ -29,13 +29,12 @@ def test_one_row_per_document(spark, sf_dir, found, name):
 @pytest.mark.parametrize("name", queries.oracle_sql())
 def test_sql(sf_dir, found, name):
     with duckdb.connect() as db:
-        db.sql(f"CREATE VIEW documents AS FROM '{sf_dir}/documents.parquet'")
+        for name_of_table in ("documents", "conversations"):
+            db.sql(f"CREATE VIEW {name_of_table} AS FROM '{sf_dir}/{name_of_table}.parquet'")
         expected = db.sql(queries.oracle_sql()[name]).df()[list(found[name].columns)]
     key = list(found[name].columns)
-    assert (
-        found[name].sort_values(key).astype(str).to_numpy().tolist()
-        == expected.sort_values(key).astype(str).to_numpy().tolist()
-    )
+    ours, theirs = (t.sort_values(key).convert_dtypes().astype(str).to_numpy().tolist() for t in (found[name], expected))
+    assert ours == theirs
 
 
 def test_held_out_quality(spark, sf_dir, found):

@@ -70,6 +70,52 @@ SELECT o_custkey, o_orderstatus, o_orderpriority, effective_from, effective_to,
   effective_to IS NULL AS is_current, CASE WHEN effective_to IS NULL THEN newest END AS last_seen
 FROM versions"""
 
+SCD2_SNAPSHOTS = """
+WITH years AS (SELECT unnest(generate_series(1995, 2001)) AS y),
+states AS (
+  SELECT o_custkey, y, o_orderstatus, o_orderpriority FROM (
+    SELECT *, year(o_orderdate) AS y, row_number() OVER (
+      PARTITION BY o_custkey, year(o_orderdate) ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders)
+  WHERE rn = 1),
+every AS (
+  SELECT c.o_custkey, years.y, s.y IS NOT NULL AS here, s.o_orderstatus, s.o_orderpriority
+  FROM (SELECT DISTINCT o_custkey FROM states) c CROSS JOIN years LEFT JOIN states s ON s.o_custkey = c.o_custkey AND s.y = years.y),
+marked AS (
+  SELECT *, coalesce(lag(here) OVER w <> here OR lag(o_orderstatus) OVER w IS DISTINCT FROM o_orderstatus
+      OR lag(o_orderpriority) OVER w IS DISTINCT FROM o_orderpriority, true) AS starts
+  FROM every WINDOW w AS (PARTITION BY o_custkey ORDER BY y)),
+periods AS (
+  SELECT *, lead(y) OVER (PARTITION BY o_custkey ORDER BY y) AS next FROM marked WHERE starts)
+SELECT o_custkey, o_orderstatus, o_orderpriority, make_date(y, 12, 31) AS effective_from,
+  make_date(next, 12, 31) AS effective_to, next IS NULL AS is_current,
+  CASE WHEN next IS NULL THEN DATE '2001-12-31' END AS last_seen
+FROM periods WHERE here"""
+
+TERMS = "tariff_plan_type, unit_rate, peak_rate, offpeak_rate"
+
+
+def _tariff_history() -> str:
+    terms = TERMS.split(", ")
+    changed = " OR ".join(f"lag({c}) OVER w IS DISTINCT FROM {c}" for c in terms)
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ("billing_cycle", *terms))
+    return f"""{D.silver('tariff_metrics')},
+billed AS (
+  SELECT * REPLACE (TIMESTAMP '2024-01-01' + to_hours((date_diff('day', DATE '1970-01-01', reading_timestamp::DATE) * 7) % 720) AS reading_timestamp)
+  FROM tariff_metrics WHERE household_id IS NOT NULL),
+one AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY household_id, reading_timestamp ORDER BY {order}) AS rn FROM billed)
+  WHERE rn = 1),
+starts AS (
+  SELECT *, coalesce({changed} OR lag(household_id) OVER w IS NULL, true) AS begins,
+    max(reading_timestamp) OVER (PARTITION BY household_id) AS newest
+  FROM one WINDOW w AS (PARTITION BY household_id ORDER BY reading_timestamp)),
+history AS (
+  SELECT household_id, {TERMS}, reading_timestamp AS effective_from,
+    lead(reading_timestamp) OVER v AS effective_to, lead(reading_timestamp) OVER v IS NULL AS is_current,
+    CASE WHEN lead(reading_timestamp) OVER v IS NULL THEN newest END AS last_seen
+  FROM starts WHERE begins WINDOW v AS (PARTITION BY household_id ORDER BY reading_timestamp))"""
+
+
 COUNT_CHECKS = "CAST({0} AS BIGINT) AS n_checked, CAST({1} AS BIGINT) AS n_failed"
 
 
@@ -87,6 +133,8 @@ def oracle_sql() -> dict[str, str]:
         "monthly_summary": _summary("month_key"),
         "yearly_summary": _summary("CAST(month_key // 100 AS INTEGER) AS year"),
         "incremental_mart": _summary("date_key"),
+        "monthly_rollup": _summary("month_key"),
+        "yearly_rollup": _summary("CAST(month_key // 100 AS INTEGER) AS year"),
     }
     for name, t in D.TABLES.items():
         sql[f"ingest_{name}"] = f"WITH {RAW[name]} SELECT *, true AS has_lineage FROM raw_{name}"
@@ -227,6 +275,13 @@ WITH {D.silver('weather_stream')} SELECT DISTINCT weather_region, weather_city,
     sql["fact_energy"] = f"WITH {D.FACT} SELECT r.*, p.* EXCLUDE (household_id) FROM readings r LEFT JOIN profile p USING (household_id)"
     sql["scd2_history"] = SCD2
     sql["scd2_incremental"] = SCD2
+    sql["scd2_snapshots"] = SCD2_SNAPSHOTS
+    sql["tariff_history"] = f"WITH {_tariff_history()} SELECT * FROM history"
+    sql["fact_tariff"] = f"""
+WITH {D.silver('energy_usage')}, {_tariff_history()}
+SELECT e.household_id, e."timestamp", e.energy_usage_kwh, h.effective_from AS tariff_since, {TERMS}
+FROM energy_usage e ASOF LEFT JOIN history h
+  ON h.household_id = e.household_id AND h.effective_from <= e."timestamp" """
     sql["executive_dashboard"] = f"""
 WITH {D.FACT_READINGS}
 SELECT region_name, customer_category, CAST(grouping(region_name, customer_category) AS INTEGER) AS level,

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalogue import standins
@@ -13,8 +14,8 @@ from catalogue.standins import RAW, TABLES, table
 from voltlake.functions import columns as C
 from voltlake.operators import quality, refine as R, scd
 from voltlake.operators.dedup import latest_per_key
-from voltlake.plans import analytics, gold
-from voltlake.session import side_by_side, work_dir
+from voltlake.plans import analytics, gold, marts
+from voltlake.session import side_by_side, stored, work_dir
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import SPECS
 from voltlake.streaming import jobs
@@ -406,19 +407,33 @@ def _over_readings(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_readings(spark, sf_dir))
 
 
+def _arrived_late() -> Column:
+    """Readings from the 20th on, and some late ones of the 3rd, so that an old day changes too."""
+    day = F.dayofmonth("timestamp")
+    return F.coalesce((day >= 20) | ((day == 3) & (F.col("meter_type") == "CLICK")), F.lit(False))
+
+
+def _refreshed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage states of the readings before the 20th, refreshed by the days of the later ones."""
+    root = work_dir(spark, "marts")
+    readings = stored(_readings(spark, sf_dir), "readings", ("month_key",))
+    before, batch = readings.filter(~_arrived_late()), readings.filter(_arrived_late())
+    marts.refresh_states(before, marts.touched_days(before), root)
+    marts.refresh_states(readings, marts.touched_days(batch), root)
+    return marts.read_states(spark, root)
+
+
 def incremental_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The daily mart of the readings before the 20th, refreshed with the later ones.
-
-    Some late readings of the 3rd belong to the batch, so an old day changes too.
-    """
-    fact = _readings(spark, sf_dir)
-    arrived_late = F.coalesce(
-        (F.dayofmonth("timestamp") >= 20)
-        | ((F.dayofmonth("timestamp") == 3) & (F.col("meter_type") == "CLICK")),
-        F.lit(False),
-    )
-    mart = gold.daily_summary(fact.filter(~arrived_late))
-    return gold.refresh_daily_summary(mart, fact, fact.filter(arrived_late))
+    return marts.daily_summary(_refreshed_states(spark, sf_dir))
+
+
+def monthly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months out of the published days alone."""
+    return marts.monthly_summary(_refreshed_states(spark, sf_dir))
+
+
+def yearly_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.yearly_summary(_refreshed_states(spark, sf_dir))
 
 
 ORDER_HISTORY = {
@@ -430,7 +445,8 @@ ORDER_HISTORY = {
 
 
 def scd2_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd.scd2_history(table(spark, sf_dir, "orders"), **ORDER_HISTORY)
+    orders = table(spark, sf_dir, "orders")
+    return scd.scd2_history(orders, **ORDER_HISTORY, counted=orders)
 
 
 def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -444,6 +460,49 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scd.scd2_refresh(before, orders.filter(in_batch), orders, **ORDER_HISTORY)
 
 
+SNAPSHOT_YEARS = range(1995, 2002)
+
+
+def scd2_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History by a snapshot of each year's customers, with the state of their last order in it:
+    who does not order in a year vanishes and may come back."""
+    orders = table(spark, sf_dir, "orders")
+    root, states = work_dir(spark, "scd2"), ["o_orderstatus", "o_orderpriority"]
+    dimension = spark.createDataFrame(
+        [], "o_custkey LONG, o_orderstatus STRING, o_orderpriority STRING, effective_from DATE, "
+        "effective_to DATE, is_current BOOLEAN, last_seen DATE",
+    )
+    for year in SNAPSHOT_YEARS:
+        placed = orders.filter(F.year("o_orderdate") == year)
+        snapshot = latest_per_key(
+            placed.select("o_custkey", *states, "o_orderdate", "o_orderkey"), ["o_custkey"], ["o_orderdate", "o_orderkey"]
+        )
+        after = scd.scd2_snapshot(dimension, snapshot, ["o_custkey"], states, date(year, 12, 31))
+        # Each history is published before the next snapshot is met with it.
+        path = f"{root}/history-{year}"
+        after.write.parquet(path)
+        dimension = spark.read.schema(dimension.schema).parquet(path)
+    return dimension
+
+
+def _tariffs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver tariffs with their bills dealt over the month of the readings."""
+    tariff = silver(spark, sf_dir, "tariff_metrics")
+    hours = F.pmod(F.unix_date(F.col("reading_timestamp").cast("date")) * 7, F.lit(720))
+    moved = F.expr("TIMESTAMP '2024-01-01 00:00:00'") + F.make_dt_interval(hours=hours)
+    return tariff.withColumn("reading_timestamp", moved)
+
+
+def tariff_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(gold.tariff_history(_tariffs(spark, sf_dir)))
+
+
+def fact_tariff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every reading with the tariff that held at its time."""
+    found = gold.with_tariff(_readings(spark, sf_dir), gold.tariff_history(_tariffs(spark, sf_dir)))
+    return _compared(found.select("household_id", "timestamp", "energy_usage_kwh", "tariff_since", *gold.TARIFF_TERMS))
+
+
 # --- Dashboards and features
 
 
@@ -576,7 +635,8 @@ def queries() -> dict[str, Query]:
             snapshot_history, compact_same_rows, zorder_same_rows, expire_same_rows,
             gate_row_counts, dq_not_null, dq_unique, dq_accepted, dq_relationships, dim_date,
             dim_household, dim_weather, dim_device, dim_grid, dim_tariff, fact_energy,
-            incremental_mart, scd2_history, scd2_incremental, weather_impact, device_health,
+            incremental_mart, monthly_rollup, yearly_rollup, scd2_history, scd2_incremental, scd2_snapshots,
+            tariff_history, fact_tariff, weather_impact, device_health,
             worst_devices, billing_analytics, forecast_error, stream_ingest, stream_dedup,
             stream_silver, stream_daily,
         )

@@ -2,12 +2,9 @@ import datetime as dt
 
 import pytest
 from fixtures import raw
-from pyspark.sql import functions as F
 
 from voltlake.operators.refine import refine
 from voltlake.plans import analytics, gold
-from voltlake.session import work_dir
-from voltlake.sources import snapshots
 from voltlake.specs import SPECS
 
 
@@ -76,26 +73,6 @@ def test_household_takes_the_newest_attributes(spark):
     assert row["meter_type"] == "NEW"
 
 
-def test_refresh_recomputes_touched_days_and_prunes_the_rest(spark, fact):
-    path = f"{work_dir(spark, 'fact')}/fact_energy"
-    later = fact.withColumns(
-        {"date_key": F.col("date_key") + 100, "month_key": F.col("month_key") + 1}
-    )
-    snapshots.publish(spark, fact.unionByName(later), path, partition_by=("month_key",))
-    stored = snapshots.read_snapshot(spark, path)
-    for batch in (stored.filter("date_key = 20240201"), stored.filter("date_key IS NULL")):
-        mart = gold.daily_summary(stored).withColumn("n_readings", F.lit(-1).cast("long"))
-        refreshed = gold.refresh_daily_summary(mart, stored, batch)
-        days = {r["date_key"] for r in batch.collect()}
-        fresh = {r["date_key"] for r in refreshed.filter("n_readings > 0").collect()}
-        assert fresh == days
-        assert refreshed.count() == gold.daily_summary(stored).count()
-    plan = gold.refresh_daily_summary(
-        gold.daily_summary(stored), stored, stored.filter("date_key = 20240201")
-    )._jdf.queryExecution().executedPlan().toString()
-    assert "202402" in plan.split("PartitionFilters: [")[2].split("]")[0]
-
-
 def test_features_and_billing(spark, fact):
     rows = analytics.forecast_features(fact).orderBy("household_id", "date").collect()
     assert [(r["household_id"], r["kwh"], r["kwh_lag_1"], r["kwh_mean_7"]) for r in rows] == [

@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 
 from voltlake.plans import medallion
 from voltlake.session import work_dir
-from voltlake.sources import loading, readers, snapshots
+from voltlake.sources import ledger, loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, SPECS
 
 
@@ -23,18 +23,60 @@ def test_ingest_adds_lineage_and_one_success_row(spark, root):
     path = f"{root}/raw/{spec.raw_file}"
     raw(spark, spec.name, {}, {}, {}).write.parquet(path)
     assert loading.ingest(spark, spec, path, root, "b1") == 3
-    assert loading.ingest(spark, spec, path, root) == 3
+    assert loading.ingest(spark, spec, path, root) == 0
+    raw(spark, spec.name, {}, {}).write.mode("append").parquet(path)
+    assert loading.ingest(spark, spec, path, root, "b3") == 2
     bronze = snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
-    assert bronze.count() == 6
-    assert bronze.select("batch_id").distinct().count() == 2
-    assert bronze.filter(F.col("source_file").contains(spec.raw_file)).count() == 6
+    assert bronze.count() == 5
+    assert {r["batch_id"] for r in bronze.collect()} == {"b1", "b3"}
+    assert bronze.filter(F.col("source_file").contains(spec.raw_file)).count() == 5
     rows = audit(spark, root)
     assert [(r["process_name"], r["source_file"], r["target_table"], r["records_processed"], r["status"], r["error_message"]) for r in rows] == [
-        (spec.process, spec.raw_file, "bronze.bronze_energy_usage", 3, "SUCCESS", None)
-    ] * 2
+        (spec.process, spec.raw_file, "bronze.bronze_energy_usage", n, "SUCCESS", None) for n in (3, 0, 2)
+    ]
     assert all(r["log_timestamp"] is not None for r in rows)
 
 
+def test_one_file_and_partitioned_folders_are_loaded_once(spark, root):
+    spec = SPECS["weather_stream"]
+    rows = raw(spark, spec.name, {}, {}).withColumn("day", F.lit(7))
+    rows.coalesce(1).write.partitionBy("day").parquet(f"{root}/raw/folder")
+    assert loading.ingest(spark, spec, f"{root}/raw/folder", root) == 2
+    (file,) = rows.sparkSession.read.parquet(f"{root}/raw/folder").inputFiles()
+    assert loading.ingest(spark, spec, file, root) == 0
+    assert {r["day"] for r in snapshots.read_snapshot(spark, loading.bronze_path(root, spec)).collect()} == {7}
+    other = work_dir(spark, "load")
+    assert loading.ingest(spark, spec, file, other) == 2
+
+
+@pytest.mark.parametrize("breaks", ["before the write", "after the write"])
+def test_a_load_that_broke_off_neither_skips_nor_doubles(spark, root, monkeypatch, breaks):
+    spec = SPECS["energy_usage"]
+    path = f"{root}/raw/{spec.raw_file}"
+    raw(spark, spec.name, {}, {}, {}).write.parquet(path)
+    note, publish = ledger.note, snapshots.publish
+
+    def broken_note(spark, at, state, files, batch):
+        if state == "done":
+            raise RuntimeError("lost")
+        note(spark, at, state, files, batch)
+
+    def broken_publish(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        if breaks == "after the write":
+            patch.setattr(ledger, "note", broken_note)
+        else:
+            patch.setattr(snapshots, "publish", broken_publish)
+        with pytest.raises(RuntimeError, match="lost"):
+            loading.ingest(spark, spec, path, root, "b1")
+    assert publish is snapshots.publish
+    assert loading.ingest(spark, spec, path, root, "b2") == (0 if breaks == "after the write" else 3)
+    assert snapshots.read_snapshot(spark, loading.bronze_path(root, spec)).count() == 3
+    assert loading.loaded_batches(spark, spec, root).count() == 1
+
+
 def test_failed_load_is_audited_with_zero_rows_and_raised(spark, root):
     spec = SPECS["grid_load"]
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
@@ -115,12 +157,8 @@ def test_whole_run_from_csv_files_to_gates(spark, root):
             left_out = snapshots.read_snapshot(spark, medallion.rejects_path(root, spec))
             assert "failed_rules" in left_out.columns
     assert medallion.column_tests(spark, root).filter("n_failed > 0").isEmpty()
-    # A second run appends the same readings to Bronze; Silver and Gold stay the same.
-    again = medallion.run(spark, f"{root}/raw", root)
-    assert again["bronze.bronze_energy_usage"] == 6
-    assert {k: v for k, v in again.items() if not k.startswith("bronze")} == {
-        k: v for k, v in counts.items() if not k.startswith("bronze")
-    }
+    # A second run finds no new file; every table stays the same.
+    assert medallion.run(spark, f"{root}/raw", root) == counts
 
 
 def test_a_key_that_is_not_unique_fails_the_run(spark, root):
@@ -132,3 +170,23 @@ def test_a_key_that_is_not_unique_fails_the_run(spark, root):
     snapshots.publish(spark, snapshots.read_snapshot(spark, path).limit(1), path)
     with pytest.raises(Exception, match=r"unique\(.*1 rows"):
         medallion.run_gates(spark, root)
+
+
+def test_csv_rows_that_cannot_be_converted_are_set_aside(spark, root):
+    schema = T.StructType().add("a", T.IntegerType()).add("d", T.DateType())
+    lines = ["a,b,d", "1,x,2024-01-02", "two,y,2024-01-02", "3,z", "4,w,2024-01-02,more", "5,,", ",v,yesterday"]
+    spark.createDataFrame([("\n".join(lines),)], "value STRING").coalesce(1).write.text(f"{root}/csv")
+    out, bad = f"{root}/pq", f"{root}/bad"
+    assert readers.csv_to_parquet(spark, f"{root}/csv", out, schema, bad) == 4
+    kept = {(r["a"], r["b"], str(r["d"])) for r in spark.read.parquet(out).collect()}
+    assert kept == {(1, "x", "2024-01-02"), (5, None, "None")}
+    rejected = {r["record"]: r["reason"] for r in spark.read.parquet(bad).collect()}
+    assert rejected == {
+        '{"a":"two","b":"y","d":"2024-01-02"}': "a is no int", "3,z": "wrong number of columns",
+        "4,w,2024-01-02,more": "wrong number of columns", '{"b":"v","d":"yesterday"}': "d is no date",
+    }
+    with pytest.raises(readers.TooManyRejects, match="4 rows"):
+        readers.csv_to_parquet(spark, f"{root}/csv", out, schema, bad, max_rejects=3)
+    assert readers.csv_to_parquet(spark, f"{root}/csv", out, schema, bad, max_rejects=4) == 4
+    with pytest.raises(Exception):
+        readers.csv_to_parquet(spark, f"{root}/csv", out, schema)

@@ -3,7 +3,7 @@ import datetime as dt
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from voltlake.operators.scd import scd2_history, scd2_refresh
+from voltlake.operators.scd import scd2_history, scd2_refresh, scd2_snapshot
 
 START = dt.datetime(2024, 1, 1)
 HOW = {"key": ["k"], "ts": "ts", "tracked": ["state"]}
@@ -52,8 +52,8 @@ def test_three_versions_for_a_a_b_a(spark):
 
 def test_a_hot_key_is_cut_into_buckets_without_changing_its_versions(spark):
     rows = [("hot", h, "AABBBA"[h % 6]) for h in range(300)] + [("H2", 3, "A"), ("H2", 9, "A")]
-    got = scd2_history(observations(spark, rows), **HOW, hot_rows=100)
-    assert versions(got) == expected(rows)
+    seen = observations(spark, rows)
+    assert versions(scd2_history(seen, **HOW, hot_rows=100, counted=seen)) == expected(rows)
 
 
 def test_null_states_are_values_and_unkeyed_rows_are_left_out(spark):
@@ -88,3 +88,66 @@ def test_untouched_and_on_time_keys_do_not_read_the_history(spark):
     assert got == expected(
         [("H1", 0, "A"), ("H2", 0, "A"), ("H2", 10, "A"), ("H2", 11, "B"), ("H3", 1, "C")]
     )
+
+
+DIMENSION = (
+    "k STRING, state STRING, effective_from TIMESTAMP, effective_to TIMESTAMP, is_current BOOLEAN, last_seen TIMESTAMP"
+)
+
+
+def from_snapshots(spark, shots):
+    """The history of full snapshots, each given as (hour, {key: state})."""
+    dimension = spark.createDataFrame([], DIMENSION)
+    for hour, states in shots:
+        snapshot = spark.createDataFrame(list(states.items()), "k STRING, state STRING")
+        dimension = scd2_snapshot(dimension, snapshot, ["k"], ["state"], at(hour))
+        dimension = spark.createDataFrame(dimension.collect(), DIMENSION)
+    return dimension
+
+
+def expected_of_snapshots(shots):
+    found = []
+    for key in {k for _, states in shots for k in states if k is not None}:
+        open_ = None
+        for hour, states in shots:
+            here = key in states
+            if open_ and (not here or states[key] != open_[1]):
+                found.append((key, at(open_[0]), at(hour), open_[1], False, None))
+                open_ = None
+            if here and not open_:
+                open_ = (hour, states[key])
+        if open_:
+            found.append((key, at(open_[0]), None, open_[1], True, at(shots[-1][0])))
+    return sorted(found, key=str)
+
+
+SHOT = st.dictionaries(st.sampled_from(["H1", "H2", "H3", None]), st.sampled_from(["A", "B", None]), max_size=4)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(SHOT, min_size=1, max_size=4))
+def test_snapshots_close_vanished_keys_and_reopen_them(spark, states):
+    shots = [(7 * i, s) for i, s in enumerate(states)]
+    assert versions(from_snapshots(spark, shots)) == expected_of_snapshots(shots)
+
+
+def test_a_snapshot_that_comes_again(spark):
+    shots = [(0, {"H1": "A", "H2": "A"}), (5, {"H1": "B"})]
+    once = versions(from_snapshots(spark, shots))
+    assert versions(from_snapshots(spark, shots + shots[1:])) == once
+    # Another one of the same time replaces it.
+    replaced = from_snapshots(spark, [*shots, (5, {"H1": "C", "H2": "A"})])
+    assert versions(replaced) == [
+        ("H1", at(0), at(5), "A", False, None), ("H1", at(5), None, "C", True, at(5)),
+        ("H2", at(0), at(5), "A", False, None), ("H2", at(5), None, "A", True, at(5)),
+    ]
+
+
+def test_a_refresh_runs_nothing_while_it_is_planned(spark):
+    dimension = scd2_history(observations(spark, [("H1", 0, "A")]), **HOW)
+    batch = observations(spark, [("H1", 10, "B")])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    scd2_refresh(dimension, batch, batch, **HOW)
+    assert list(tracker.getJobIdsForGroup("planning")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

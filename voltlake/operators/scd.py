@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.functions.columns import all_of
@@ -19,6 +20,7 @@ def scd2_history(
     tracked: Sequence[str],
     tie_break: Sequence[str] | None = None,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Versions of every key: ``effective_from`` up to, not including, ``effective_to``.
 
@@ -27,6 +29,8 @@ def scd2_history(
     observations at one time, the largest values winning; leave it out when
     (key, ts) is already unique. Observations without a key or a time are left out.
     ``last_seen`` is the key's newest observation and is set on its current version.
+    ``counted`` is a published table with the keys of the observations: where given, they are
+    counted now, and a key with more than ``hot_rows`` rows is cut by time.
     """
     extra = list(tie_break or ())
     columns = dict.fromkeys([*key, ts, *tracked, *extra])
@@ -34,7 +38,7 @@ def scd2_history(
     if tie_break is not None:
         rows = latest_per_key(rows, [*key, ts], extra)
     states = rows.select(*key, F.col(ts).alias("effective_from"), F.struct(*tracked).alias("_state"))
-    hot = find_hot(observations, key, rows=hot_rows)
+    hot = None if counted is None else find_hot(counted, key, rows=hot_rows)
 
     # A version starts where the state differs from the one before. The key's last
     # observation stays as well, to tell how long the current version was seen.
@@ -67,6 +71,7 @@ def scd2_refresh(
     ts: str,
     tracked: Sequence[str],
     tie_break: Sequence[str] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``dimension`` after ``batch``, equal to a rebuild from ``history``.
 
@@ -74,6 +79,8 @@ def scd2_refresh(
     observations are all later than their ``last_seen`` continue from their current
     version, without touching the history. Keys with a late observation are rebuilt
     from their own rows of the history. All other versions pass through unchanged.
+    Nothing runs while this is planned, but for the count of the keys of ``counted`` (see
+    :func:`scd2_history`), the history as a published table, if it is given.
     """
     keys = list(key)
     columns = list(dict.fromkeys([*keys, ts, *tracked, *(tie_break or ())]))
@@ -103,10 +110,50 @@ def scd2_refresh(
         opening, allowMissingColumns=True
     )
     again = spread_join(history.select(*columns), late, keys, [ts], "left_semi")
-    rebuilt = [
-        scd2_history(rows, keys, ts, tracked, tie_break) for rows in (forward, again)
-    ]
-    return kept.unionByName(rebuilt[0]).unionByName(rebuilt[1])
+    continued = scd2_history(forward, keys, ts, tracked, tie_break)
+    rebuilt = scd2_history(again, keys, ts, tracked, tie_break, counted=counted)
+    return kept.unionByName(continued).unionByName(rebuilt)
+
+
+def scd2_snapshot(
+    dimension: DataFrame, snapshot: DataFrame, key: Sequence[str], tracked: Sequence[str], at: datetime | Column
+) -> DataFrame:
+    """``dimension`` after a full ``snapshot`` of all keys that exist at time ``at``.
+
+    A key whose tracked attributes differ (nulls compare equal) closes its current version at ``at``
+    and opens a new one; a key that is missing closes it and opens none; one that is new, or comes back, opens one.
+    ``last_seen`` of current versions becomes ``at``. Rows without a complete key are left out; of
+    several rows of a key the largest counts. Snapshots come in the order of time; one that comes again
+    changes nothing, one that replaces another of the same time leaves no version of no length.
+    The join is between two tables with one row per key, so that no key is hot.
+    """
+    keys, moment = list(key), F.lit(at).cast(dimension.schema["effective_from"].dataType)
+    complete = all_of([F.col(c).isNotNull() for c in keys])
+    seen = latest_per_key(snapshot.filter(complete).select(*keys, *tracked), keys)
+    was = F.struct(*tracked, "effective_from", "last_seen").alias("_was")
+    current = dimension.filter("is_current").select(*keys, was)
+    met = current.join(seen.select(*keys, F.struct(*tracked).alias("_is")), keys, "full_outer")
+
+    here, there = F.col("_is").isNotNull(), F.col("_was").isNotNull()
+    before, after = ([F.col(f"{side}.{c}").alias(c) for c in tracked] for side in ("_was", "_is"))
+    same = here & there & F.struct(*before).eqNullSafe(F.struct(*after))
+    nothing = F.lit(None).cast(dimension.schema["effective_from"].dataType)
+
+    def version(state: list[Column], start, end, is_current: bool, last_seen) -> Column:
+        fields = [*state, start.alias("effective_from"), end.alias("effective_to")]
+        return F.struct(*fields, F.lit(is_current).alias("is_current"), last_seen.alias("last_seen"))
+
+    began = F.col("_was.effective_from")
+    lasted = there & (began < moment)
+    versions = F.array_compact(
+        F.array(
+            F.when(same, version(before, began, nothing, True, moment)),
+            F.when(~same & lasted, version(before, began, moment, False, nothing)),
+            F.when(~same & here, version(after, moment, nothing, True, moment)),
+        )
+    )
+    changed = met.select(*keys, F.inline(versions)).select(dimension.columns)
+    return dimension.filter("NOT is_current").unionByName(changed)
 
 
 def _timed(rows: DataFrame, key: Sequence[str], ts: str) -> DataFrame:

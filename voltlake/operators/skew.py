@@ -92,7 +92,7 @@ def _same(keys: Sequence[str]) -> Column:
     return all_of([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
 
 
-def _cells(df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame) -> DataFrame:
+def with_cells(df: DataFrame, keys: Sequence[str], ts: str, hot: DataFrame) -> DataFrame:
     """Adds ``_cell``: null for ordinary keys, else a stretch of time of the hot key that holds
     about as many rows as every other, whatever its rows' distances in time."""
     flagged = F.broadcast(hot)
@@ -137,7 +137,7 @@ def with_neighbours(
             {"_before": before.over(per_key), "_after": after.over(per_key)}
         ).drop("_value")
     per_cell = Window.partitionBy(*keys, "_cell").orderBy(ts)
-    near = _cells(valued, keys, ts, hot).withColumns(
+    near = with_cells(valued, keys, ts, hot).withColumns(
         {"_before": before.over(per_cell), "_after": after.over(per_cell)}
     ).drop("_cell")
     at_border = F.col("_before").isNull() | F.col("_after").isNull()

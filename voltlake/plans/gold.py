@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voltlake import specs
 from voltlake.functions.columns import date_key, hash_key
+from voltlake.operators.asof import as_of
 from voltlake.operators.dedup import latest_per_key
+from voltlake.operators.scd import scd2_history
 from voltlake.operators.skew import spread_join
 from voltlake.specs import TableSpec
 
@@ -165,6 +167,29 @@ def fact_energy(
     )
 
 
+TARIFF_TERMS = ("tariff_plan_type", "unit_rate", "peak_rate", "offpeak_rate")
+
+
+def tariff_history(tariff: DataFrame, published: bool = False) -> DataFrame:
+    """Type 2 history of every household's plan and rates, by the time of its bills. Of bills of one
+    time the one with the largest cycle and terms counts."""
+    timed = tariff.filter("household_id IS NOT NULL AND reading_timestamp IS NOT NULL")
+    return scd2_history(
+        timed, ["household_id"], "reading_timestamp", list(TARIFF_TERMS),
+        tie_break=["billing_cycle", *TARIFF_TERMS],
+        counted=timed.select("household_id") if published else None,
+    )
+
+
+def with_tariff(readings: DataFrame, history: DataFrame, published: bool = False) -> DataFrame:
+    """Readings with the terms that held for their household at their time, and since when."""
+    terms = history.select("household_id", "effective_from", F.col("effective_from").alias("tariff_since"), *TARIFF_TERMS)
+    return as_of(
+        readings, terms, ["household_id"], "timestamp", "effective_from", ["tariff_since", *TARIFF_TERMS],
+        counted=readings.select("household_id") if published else None,
+    )
+
+
 def _usage_columns() -> list:
     return [
         F.count(F.lit(1)).alias("n_readings"),
@@ -189,24 +214,6 @@ def yearly_summary(fact: DataFrame) -> DataFrame:
     return fact.groupBy(year, "region_name").agg(*_usage_columns())
 
 
-def refresh_daily_summary(mart: DataFrame, fact: DataFrame, batch: DataFrame) -> DataFrame:
-    """``mart`` after ``batch`` reached ``fact``: only the days of the batch are recomputed.
-
-    The touched days come to the driver, at most one row per calendar day, and become
-    plain filters: the months prune the fact's partitions, the days reach the scan.
-    Readings without a date count as one more day.
-    """
-    touched = batch.select("month_key", "date_key").distinct().collect()
-
-    def hit(column: str) -> Column:
-        values = {r[column] for r in touched}
-        known = F.col(column).isin(sorted(values - {None}))
-        return F.when(F.col(column).isNull(), F.lit(None in values)).otherwise(known)
-
-    recomputed = daily_summary(fact.filter(hit("month_key") & hit("date_key")))
-    return mart.filter(~hit("date_key")).unionByName(recomputed)
-
-
 def executive_dashboard(fact: DataFrame) -> DataFrame:
     """Key figures per region and category, with subtotals and the grand total.
 

@@ -7,12 +7,13 @@ import uuid
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from voltlake.operators import quality
 from voltlake.operators.refine import refine, rejects
 from voltlake.operators.scd import scd2_history
-from voltlake.plans import analytics, gold
-from voltlake.session import build_session, side_by_side
+from voltlake.plans import analytics, gold, incremental, marts
+from voltlake.session import build_session, side_by_side, stored
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, RETENTION_HOURS, SPECS, TableSpec
 
@@ -112,15 +113,28 @@ def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
         },
     )
     fact = snapshots.read_snapshot(spark, loading.gold_path(root, "fact_energy"))
-    return written | side_by_side(
+    # Days that were there before and have no reading any more are recomputed as well.
+    days = marts.touched_days(fact).union(marts.touched_days(marts.read_states(spark, f"{root}/gold")))
+    marts.refresh_states(fact, stored(days.distinct(), "days"), f"{root}/gold")
+    dashboard = {"executive_dashboard": lambda: publish("executive_dashboard", gold.executive_dashboard(fact))}
+    return written | publish_usage(spark, root) | side_by_side(spark, dashboard)
+
+
+def publish_usage(spark: SparkSession, root: str) -> dict[str, int]:
+    """Daily, monthly and yearly usage, out of the days' states alone."""
+    states = marts.read_states(spark, f"{root}/gold")
+    frames = {
+        "daily_summary": marts.daily_summary(states),
+        "monthly_summary": marts.monthly_summary(states),
+        "yearly_summary": marts.yearly_summary(states),
+    }
+    return side_by_side(
         spark,
         {
-            "daily_summary": lambda: publish("daily_summary", gold.daily_summary(fact)),
-            "monthly_summary": lambda: publish("monthly_summary", gold.monthly_summary(fact)),
-            "yearly_summary": lambda: publish("yearly_summary", gold.yearly_summary(fact)),
-            "executive_dashboard": lambda: publish(
-                "executive_dashboard", gold.executive_dashboard(fact)
-            ),
+            name: lambda name=name, df=df: snapshots.publish(
+                spark, df, loading.gold_path(root, name), "overwrite"
+            )[1]
+            for name, df in frames.items()
         },
     )
 
@@ -134,10 +148,15 @@ def run_analytics(spark: SparkSession, root: str) -> dict[str, int]:
     readings = gold.energy_readings(silver["energy_usage"])
     with_weather = gold.with_weather(readings, silver["weather_stream"])
     timed = silver["energy_usage"].filter("household_id IS NOT NULL AND timestamp IS NOT NULL")
+    tariffs = gold.tariff_history(silver["tariff_metrics"], published=True)
     frames = {
         "household_history": scd2_history(
-            timed, ["household_id"], "timestamp", list(gold.HOUSEHOLD_ATTRIBUTES)
+            timed, ["household_id"], "timestamp", list(gold.HOUSEHOLD_ATTRIBUTES), counted=timed
         ),
+        "tariff_history": tariffs,
+        "readings_with_tariff": gold.with_tariff(readings, tariffs, published=True),
+        "worst_devices": analytics.worst_devices(silver["device_metrics"]),
+        "forecast_error": analytics.forecast_error(silver["grid_load"]),
         "consumption_by_segment": analytics.consumption_by_segment(fact),
         "weather_impact": analytics.weather_impact(with_weather),
         "device_health": analytics.device_health(silver["device_metrics"]),
@@ -184,6 +203,41 @@ def run_gates(spark: SparkSession, root: str) -> dict[str, int]:
     return counts
 
 
+def _merged_path(root: str, spec: TableSpec) -> str:
+    return f"{incremental.state_path(root, spec)}_merged"
+
+
+def refresh_table(spark: SparkSession, spec: TableSpec, raw_dir: str, root: str) -> int:
+    """Loads the new files of one table and merges every batch that its state has not taken yet,
+    a batch of a refresh that broke off included. Returns the rows loaded."""
+    n_rows = loading.ingest(spark, spec, f"{raw_dir}/{spec.raw_file}", root)
+    merged_at = _merged_path(root, spec)
+    batches = loading.loaded_batches(spark, spec, root)
+    if readers.path_exists(spark, merged_at):
+        batches = batches.join(spark.read.schema("batch_id STRING").parquet(merged_at), "batch_id", "left_anti")
+    new = [r.batch_id for r in batches.collect()]  # the loads since the last refresh
+    if new:
+        bronze = snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
+        parts = incremental.merge_batch(spark, bronze.filter(F.col("batch_id").isin(new)), spec, root)
+        if spec.name == "energy_usage":
+            incremental.refresh_usage(spark, root, parts)
+        marks = spark.createDataFrame([(b,) for b in new], "batch_id STRING")
+        marks.coalesce(1).write.mode("append").parquet(merged_at)
+    return n_rows
+
+
+def refresh(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
+    """Takes the files that have come since: Bronze by the ledger, Silver's states partition by partition,
+    the usage marts day by day. What it gives equals a run over all files; dimensions, the
+    fact and the dashboards are left to :func:`run`. Returns the rows loaded into each table."""
+    loading.create_layers(spark, root)
+    loaded = side_by_side(
+        spark, {name: partial(refresh_table, spark, spec, raw_dir, root) for name, spec in SPECS.items()}
+    )
+    publish_usage(spark, root)
+    return loaded
+
+
 def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
     loading.create_layers(spark, root)
     loading.create_audit_table(spark, "bronze.audit_log", loading.audit_path(root))
@@ -196,7 +250,8 @@ def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
 
 
 if __name__ == "__main__":
-    if len(sys.argv) != 3:
-        sys.exit("usage: python -m voltlake.plans.medallion RAW_DIR ROOT")
-    for table, rows in run(build_session(), sys.argv[1], sys.argv[2]).items():
+    if len(sys.argv) not in (3, 4) or sys.argv[3:] not in ([], ["refresh"]):
+        sys.exit("usage: python -m voltlake.plans.medallion RAW_DIR ROOT [refresh]")
+    job = refresh if sys.argv[3:] else run
+    for table, rows in job(build_session(), sys.argv[1], sys.argv[2]).items():
         print(f"{table}\t{rows}")

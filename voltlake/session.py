@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Result = TypeVar("Result")
 
@@ -52,6 +52,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """The same rows as a table in the shared folder: computed once, and read again from there
+    by every use and after a lost executor."""
+    path = work_dir(df.sparkSession, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)
+
+
 def side_by_side(
     spark: SparkSession, tasks: Mapping[str, Callable[[], Result]], at_once: int = 8
 ) -> dict[str, Result]:

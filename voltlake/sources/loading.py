@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voltlake.sources import readers, snapshots
+from voltlake.sources import ledger, readers, snapshots
 from voltlake.specs import TableSpec
 
 LAYERS = ("bronze", "silver", "gold")
@@ -68,22 +69,17 @@ def read_audit(spark: SparkSession, location: str) -> DataFrame:
     )
 
 
-def audited_load(
+def audited(
     spark: SparkSession,
-    read: Callable[[], DataFrame],
-    table_path: str,
+    load: Callable[[], int],
     audit_location: str,
     process: str,
     source_file: str,
     target_table: str,
-    mode: str = "append",
 ) -> int:
-    """Publishes what ``read`` returns and records the outcome; a failure is raised again.
-
-    The row count comes from the write, so the source is read once.
-    """
+    """Runs ``load``, which returns its rows, and records the outcome; a failure is raised again."""
     try:
-        _, n_rows = snapshots.publish(spark, read(), table_path, mode)
+        n_rows = load()
     except Exception as failure:
         append_audit(
             spark, audit_location, process, source_file, target_table, 0,
@@ -94,6 +90,26 @@ def audited_load(
     return n_rows
 
 
+def audited_load(
+    spark: SparkSession,
+    read: Callable[[], DataFrame],
+    table_path: str,
+    audit_location: str,
+    process: str,
+    source_file: str,
+    target_table: str,
+    mode: str = "append",
+) -> int:
+    """Publishes what ``read`` returns and records the outcome; a failure is raised again.
+
+    The row count comes from the write, so the source is read once.
+    """
+    return audited(
+        spark, lambda: snapshots.publish(spark, read(), table_path, mode)[1], audit_location,
+        process, source_file, target_table,
+    )
+
+
 def ingest(
     spark: SparkSession,
     spec: TableSpec,
@@ -101,23 +117,53 @@ def ingest(
     root: str,
     batch_id: str | None = None,
 ) -> int:
-    """Appends one raw Parquet file or folder to the Bronze table of ``spec``."""
+    """Appends what is new in a raw Parquet file or folder to the Bronze table of ``spec``.
+
+    Files that the ledger has, by path, size and time, are left alone: loading a folder again
+    adds the files that have come since, and 0 rows if there are none.
+    """
     batch_id = batch_id or str(uuid.uuid4())
-    return audited_load(
-        spark,
-        lambda: readers.with_lineage(readers.read_parquet(spark, raw_path), batch_id),
-        bronze_path(root, spec),
-        audit_path(root),
-        spec.process,
-        raw_path.rstrip("/").rsplit("/", 1)[-1],
-        f"bronze.{spec.bronze_name}",
-    )
+    bronze, ledger_at = bronze_path(root, spec), ledger_path(root, spec)
+
+    def load() -> int:
+        # As many paths as Spark lists on the driver to read a folder.
+        files = ledger.unseen(spark, ledger_at, raw_path, partial(_holds, spark, bronze)).collect()
+        if not files:
+            return 0
+        entries = spark.createDataFrame(files, ledger.LEDGER.rsplit(",", 1)[0])
+        ledger.note(spark, ledger_at, "pending", entries, batch_id)
+        raw = readers.read_files(spark, raw_path, [f.file for f in files])
+        _, n_rows = snapshots.publish(spark, readers.with_lineage(raw, batch_id), bronze)
+        ledger.note(spark, ledger_at, "done", entries, batch_id)
+        return n_rows
+
+    return audited(
+        spark, load, audit_path(root), spec.process,
+        raw_path.rstrip("/").rsplit("/", 1)[-1], f"bronze.{spec.bronze_name}",
+    )
+
+
+def _holds(spark: SparkSession, bronze: str, batch_id: str) -> bool:
+    if not snapshots.versions(spark, bronze):
+        return False
+    rows = snapshots.read_snapshot(spark, bronze).select("batch_id")
+    return not rows.filter(F.col("batch_id") == batch_id).isEmpty()
+
+
+def loaded_batches(spark: SparkSession, spec: TableSpec, root: str) -> DataFrame:
+    """batch_id of every load that the Bronze table holds."""
+    holds = partial(_holds, spark, bronze_path(root, spec))
+    return ledger.taken(spark, ledger_path(root, spec), holds).select("batch_id").distinct()
 
 
 def bronze_path(root: str, spec: TableSpec) -> str:
     return f"{root}/bronze/{spec.bronze_name}"
 
 
+def ledger_path(root: str, spec: TableSpec) -> str:
+    return f"{root}/bronze/ledger/{spec.name}"
+
+
 def silver_path(root: str, spec: TableSpec) -> str:
     return f"{root}/silver/{spec.name}"
 

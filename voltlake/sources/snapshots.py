@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voltlake.functions.columns import interleave, range_bucket
-from voltlake.sources.readers import merged_schema
+from voltlake.sources.readers import WIDENED, append_evolving, conformed, merged_schema
 from voltlake.specs import RETENTION_HOURS
 
 COMMIT_SCHEMA = (
@@ -97,8 +97,14 @@ def _read_dirs(spark: SparkSession, path: str, dirs: Sequence[str], schema_json:
     if not dirs:
         return spark.createDataFrame([], schema)
     # Each write is a partition of the table's data folder, and may have partitions of its own.
-    reader = spark.read.schema(schema).option("basePath", f"{path}/data")
-    return reader.parquet(*[f"{path}/{d}" for d in dirs]).select(schema.names)
+    reader = spark.read.option("basePath", f"{path}/data")
+    if any((f.metadata or {}).get(WIDENED) for f in schema.fields):
+        # Some folders hold a type that Spark does not widen while it reads.
+        each = [conformed(reader.parquet(f"{path}/{d}").drop("load"), schema) for d in dirs]
+        known = [df.select([c for c in df.columns if c in schema.names]) for df in each]
+        empty = spark.createDataFrame([], schema)
+        return append_evolving([empty, *known]).select(schema.names)
+    return reader.schema(schema).parquet(*[f"{path}/{d}" for d in dirs]).select(schema.names)
 
 
 def _partition_columns(df: DataFrame) -> list[str]:
@@ -171,7 +177,7 @@ def publish(
     """Writes ``df`` as the next version; returns (version, rows written).
 
     ``append`` keeps the folders of the version before, ``overwrite`` drops them.
-    Both evolve the schema: new columns are added, missing ones become null.
+    Both evolve the schema: new columns are added, missing ones become null, types are widened.
     With ``partition_by`` the rows are rebalanced on those columns first, so that a
     large partition is split over several files and small ones are not scattered.
     """
@@ -179,6 +185,7 @@ def publish(
         raise ValueError(f"unknown mode {mode}")
     last = _commit_row(spark, path)
     schema = merged_schema(_schema(last["schema_json"]), df.schema) if last else df.schema
+    df = conformed(df, schema)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     written, n_rows = _write(spark, df, path, partition_by)

@@ -170,6 +170,22 @@ SELECT 'events.parquet' AS source_name, 'run-1' AS batch_id, count(*) AS n_rows,
     sql["schema_evolution_append"] = """
 SELECT p_partkey, p_name, p_size FROM part
 UNION ALL BY NAME SELECT p_brand, p_partkey, p_retailprice FROM part"""
+    sql["schema_evolution_types"] = """
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS size,
+  CASE WHEN p_partkey % 3 = 2 THEN trunc(p_size * 0.5) ELSE p_size * 0.5 END::DOUBLE AS price,
+  CASE p_partkey % 3 WHEN 0 THEN TIMESTAMP '2024-01-02' WHEN 1 THEN TIMESTAMP '2024-01-02 03:04:05'
+    ELSE TIMESTAMP '2024-01-03' END AS day,
+  CAST(p_size AS BIGINT) AS n, CASE WHEN p_partkey % 3 = 1 THEN p_brand END AS b FROM part"""
+    sql["csv_rejects"] = """
+SELECT CASE WHEN c_custkey % 13 = 0 THEN 'wrong number of columns' ELSE 'c_acctbal is no double' END AS reason,
+  CASE WHEN c_custkey % 13 = 0 THEN c_custkey || ',' || CASE WHEN c_custkey % 11 = 0 THEN 'none' ELSE c_acctbal::VARCHAR END
+    ELSE '{"c_custkey":"' || c_custkey || '","c_acctbal":"none","c_mktsegment":"' || c_mktsegment || '"}' END AS record
+FROM customer WHERE c_custkey % 13 = 0 OR c_custkey % 11 = 0"""
+    sql["load_ledger"] = f"""
+WITH {RAW['weather_stream']}, n AS (SELECT reading_id % 3 AS k, count(*) AS n FROM raw_weather_stream GROUP BY 1)
+SELECT 'load ' || k AS name, n AS n_rows FROM n UNION ALL SELECT 'again', 0
+UNION ALL SELECT 'bronze', count(*) FROM raw_weather_stream"""
+    sql["silver_merged"] = f"WITH {D.silver('energy_usage')} SELECT * FROM energy_usage"
     sql["reject_counts"] = _reject_counts()
     sql["cast_measures"] = """
 SELECT event_id, TRY_CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k,
@@ -355,4 +371,15 @@ SELECT day, event_type, n_readings, CAST(total_value AS DOUBLE) AS total_value,
   SELECT ts::DATE AS day, event_type, count(*) AS n_readings, sum(CAST(value AS DECIMAL(18,6))) AS total_value,
     max(CAST(value AS DECIMAL(18,6))) AS peak_value FROM events GROUP BY ALL)
 WHERE day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR"""
+    sql["stream_upsert"] = """
+SELECT ts::DATE AS day, event_type, count(*) AS n_readings,
+  CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS total_value,
+  CAST(max(CAST(value AS DECIMAL(18,6))) AS DOUBLE) AS peak_value FROM events GROUP BY ALL"""
+    sql["stream_silver_merged"] = f"WITH {D.silver('weather_stream')} SELECT * FROM weather_stream"
+    sql["stream_audit"] = """
+SELECT 'Stream_events' AS process_name, 'bronze.events' AS target_table, 'SUCCESS' AS status,
+  count(*) AS n_rows, false AS says_why FROM events
+UNION ALL SELECT 'Stream_events', 'bronze.events', 'LATE', count(*), false
+FROM events WHERE ts::DATE = (SELECT min(ts)::DATE FROM events)
+UNION ALL SELECT 'Stream_broken', 'bronze.broken', 'FAILED', 0, true"""
     return sql

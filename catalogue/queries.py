@@ -8,13 +8,14 @@ from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalogue import standins
 from catalogue.standins import RAW, TABLES, table
 from voltlake.functions import columns as C
-from voltlake.operators import quality, refine as R, scd
+from voltlake.operators import merge, quality, refine as R, scd
 from voltlake.operators.dedup import latest_per_key
-from voltlake.plans import analytics, gold, marts
+from voltlake.plans import analytics, gold, incremental, marts
 from voltlake.session import side_by_side, stored, work_dir
 from voltlake.sources import loading, readers, snapshots
 from voltlake.specs import SPECS
@@ -135,9 +136,78 @@ def schema_evolution_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_snapshot(spark, f"{root}/part")
 
 
+def schema_evolution_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts in three loads whose columns widen: int, long, decimal; float, double; date, timestamp;
+    a struct that gains a field."""
+    path = f"{work_dir(spark, 'evolve')}/part"
+    part = table(spark, sf_dir, "part")
+    loads = [
+        (0, "int", "float", "DATE '2024-01-02'", "named_struct('n', int(p_size))"),
+        (1, "long", "double", "TIMESTAMP '2024-01-02 03:04:05'", "named_struct('n', bigint(p_size), 'b', p_brand)"),
+        (2, "decimal(22,2)", "int", "DATE '2024-01-03'", "named_struct('n', int(p_size))"),
+    ]
+    for k, size, price, day, nested in loads:
+        rows = part.filter(F.col("p_partkey") % 3 == k).selectExpr(
+            "p_partkey", f"cast(p_size AS {size}) AS size", f"cast(p_size * 0.5D AS {price}) AS price",
+            f"{day} AS day", f"{nested} AS nested",
+        )
+        snapshots.publish(spark, rows, path)
+    found = snapshots.read_snapshot(spark, path)
+    return _plain(
+        found.select(
+            "p_partkey", F.col("size").cast("double").alias("size"), "price", "day",
+            F.col("nested.n").alias("n"), F.col("nested.b").alias("b"),
+        )
+    )
+
+
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as CSV lines, some too short and some without a readable balance: the lines set aside."""
+    root = work_dir(spark, "csv")
+    line = F.concat_ws(
+        ",", "c_custkey",
+        F.when(F.col("c_custkey") % 11 == 0, F.lit("none")).otherwise(F.col("c_acctbal").cast("string")),
+        F.when(F.col("c_custkey") % 13 != 0, F.col("c_mktsegment")),
+    )
+    # A thousand lines to a file, each of which begins with its header.
+    names = F.lit("c_custkey,c_acctbal,c_mktsegment")
+    files = table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 1000").alias("file")).agg(
+        F.concat_ws("\n", names, F.sort_array(F.collect_list(line))).alias("value")
+    )
+    files.write.partitionBy("file").text(f"{root}/csv")
+    schema = T.StructType().add("c_custkey", T.LongType()).add("c_acctbal", T.DoubleType())
+    readers.csv_to_parquet(spark, f"{root}/csv/*", f"{root}/good", schema, f"{root}/rejects")
+    return spark.read.parquet(f"{root}/rejects").select("reason", "record")
+
+
+def load_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of weather readings loaded as they come, and their folder once more: rows of each load."""
+    spec, root = SPECS["weather_stream"], work_dir(spark, "ledger")
+    raw = RAW[spec.name](spark, sf_dir)
+    path, loads = f"{root}/raw/{spec.raw_file}", []
+    for k in range(3):
+        raw.filter(F.pmod("reading_id", F.lit(3)) == k).write.mode("append").parquet(path)
+        loads.append((f"load {k}", loading.ingest(spark, spec, path, root)))
+    loads.append(("again", loading.ingest(spark, spec, path, root)))
+    bronze = snapshots.read_snapshot(spark, loading.bronze_path(root, spec))
+    return spark.createDataFrame(loads, "name STRING, n_rows LONG").unionByName(
+        bronze.agg(F.lit("bronze").alias("name"), F.count(F.lit(1)).alias("n_rows"))
+    )
+
+
 # --- Silver
 
 
+def silver_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw energy readings in three batches, one of them twice, merged into Silver's state."""
+    spec, root = SPECS["energy_usage"], work_dir(spark, "merge")
+    raw = stored(RAW[spec.name](spark, sf_dir), "raw")
+    for k in (2, 0, 1, 0):
+        batch = raw.filter(F.pmod(F.xxhash64("reading_id"), F.lit(3)) == k)
+        incremental.merge_batch(spark, batch, spec, root)
+    return _compared(incremental.silver(incremental.state(spark, spec, root), spec))
+
+
 def silver(spark: SparkSession, sf_dir: str, name: str, **options: bool) -> DataFrame:
     return R.refine(RAW[name](spark, sf_dir), SPECS[name], **options)
 
@@ -548,7 +618,9 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed.withColumn("source_name", name).drop("source_file", "bronze_ingestion_time")
 
 
-def _arrivals(spark: SparkSession, rows: DataFrame, ts: str, root: str, job, times: int = 3) -> int:
+def _arrivals(
+    spark: SparkSession, rows: DataFrame, ts: str, root: str, job, times: int = 3, sink=jobs.run_to_files
+) -> int:
     """Runs a streaming job over ``rows`` as they arrive: in ``times`` stretches of event time, a
     run after each. Returns the rows left out as late."""
     first, last = rows.agg(F.min(ts), F.max(ts)).first()
@@ -562,7 +634,7 @@ def _arrivals(spark: SparkSession, rows: DataFrame, ts: str, root: str, job, tim
             part = part.filter(F.col(ts) < F.lit(first + (k + 1) * step))
         part.write.parquet(f"{root}/raw/arrival={k}")
         stream = jobs.stream_files(spark, f"{root}/raw/*", schema, glob="*.parquet")
-        late += jobs.run_to_files(job(stream), f"{root}/out", f"{root}/checkpoint")
+        late += sink(job(stream), f"{root}/out", f"{root}/checkpoint")
     return late
 
 
@@ -611,6 +683,77 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage of every day as far as it has arrived, the open one included: each run replaces the days
+    that have got more readings."""
+    root = work_dir(spark, "stream")
+    events = table(spark, sf_dir, "events").select(
+        "event_type", F.col("value").cast("decimal(18,6)").alias("kwh"), F.col("ts").cast("timestamp").alias("ts")
+    )
+
+    def daily(stream: DataFrame) -> DataFrame:
+        usage = jobs.daily_usage(jobs.with_event_time(stream, "ts"), ["event_type"], "kwh", "ts")
+        return usage.withColumn("month_key", F.date_format("day", "yyyyMM").cast("int"))
+
+    def sink(stream: DataFrame, path: str, checkpoint: str) -> int:
+        return jobs.run_upsert(stream, path, checkpoint, ["day", "event_type"], ["month_key"])
+
+    late = _arrivals(spark, events, "ts", root, daily, sink=sink)
+    if late:
+        raise quality.QualityError(f"{late} rows came too late")
+    return merge.read_table(spark, f"{root}/out").select(
+        "day", "event_type", "n_readings", *[F.col(c).cast("double").alias(c) for c in ("total_value", "peak_value")]
+    )
+
+
+def stream_silver_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw weather as it arrives, merged into Silver's state: every key once, none held back."""
+    spec, root = SPECS["weather_stream"], work_dir(spark, "stream")
+
+    def sink(stream: DataFrame, path: str, checkpoint: str) -> int:
+        return jobs.run_silver(stream, spec, path, checkpoint)
+
+    raw = RAW[spec.name](spark, sf_dir)
+    _arrivals(spark, raw, "reading_timestamp", root, lambda stream: stream, sink=sink)
+    return _compared(incremental.silver(incremental.state(spark, spec, f"{root}/out"), spec))
+
+
+def stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit of two streams: one that takes the events, and after them those of the first day once
+    more, which are too late; and one that cannot write."""
+    root = work_dir(spark, "stream")
+    location = loading.audit_path(root)
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    first_day = events.agg(F.min("ts").cast("date")).scalar()
+    late = events.filter(F.col("ts").cast("date") == first_day)
+    for k, rows in enumerate((events, late)):
+        rows.write.parquet(f"{root}/raw/arrival={k}")
+        stream = jobs.with_event_time(jobs.stream_files(spark, f"{root}/raw/*", events.schema, glob="*.parquet"), "ts")
+        unique = jobs.first_per_key(stream, ["event_id"])
+        jobs.run_to_files(
+            unique, f"{root}/out", f"{root}/checkpoint",
+            jobs.Audit(location, "Stream_events", "events", "bronze.events"),
+        )
+    broken = jobs.stream_files(spark, f"{root}/raw/*", events.schema, glob="*.parquet").withColumn(
+        "value", F.raise_error(F.lit("disk full")).cast("double")
+    )
+    try:
+        jobs.run_to_files(
+            broken, f"{root}/broken", f"{root}/broken-checkpoint",
+            jobs.Audit(location, "Stream_broken", "events", "bronze.broken"),
+        )
+    except Exception:  # raised again by the job, after its audit row
+        pass
+    return (
+        loading.read_audit(spark, location)
+        .groupBy("process_name", "target_table", "status")
+        .agg(
+            F.sum("records_processed").alias("n_rows"),
+            F.max(F.coalesce(F.col("error_message").contains("disk full"), F.lit(False))).alias("says_why"),
+        )
+    )
+
+
 def queries() -> dict[str, Query]:
     found: dict[str, Query] = {
         "daily_summary": _over_readings(gold.daily_summary),
@@ -629,7 +772,7 @@ def queries() -> dict[str, Query]:
         f.__name__: f
         for f in (
             ingest_lineage, row_ids, audit_log, audit_failure, csv_roundtrip,
-            schema_evolution_append, reject_counts, cast_measures, parse_timestamp,
+            schema_evolution_append, schema_evolution_types, csv_rejects, load_ledger, silver_merged, reject_counts, cast_measures, parse_timestamp,
             dedup_latest, fill_nulls, validate_ranges, standardise_text, surrogate_key_check,
             sequence_key_check, null_flags, snapshot_version0, snapshot_latest,
             snapshot_history, compact_same_rows, zorder_same_rows, expire_same_rows,
@@ -638,7 +781,7 @@ def queries() -> dict[str, Query]:
             incremental_mart, monthly_rollup, yearly_rollup, scd2_history, scd2_incremental, scd2_snapshots,
             tariff_history, fact_tariff, weather_impact, device_health,
             worst_devices, billing_analytics, forecast_error, stream_ingest, stream_dedup,
-            stream_silver, stream_daily,
+            stream_silver, stream_daily, stream_upsert, stream_silver_merged, stream_audit,
         )
     }
     found |= {

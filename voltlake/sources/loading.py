@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,11 +51,25 @@ def append_audit(
     n_rows: int,
     error: str | None = None,
 ) -> None:
-    status = "FAILED" if error else "SUCCESS"
-    row = (process, source_file, target_table, n_rows, status, error)
+    outcome = (n_rows, "FAILED" if error else "SUCCESS", error)
+    append_outcomes(spark, location, process, source_file, target_table, [outcome])
+
+
+def append_outcomes(
+    spark: SparkSession,
+    location: str,
+    process: str,
+    source_file: str,
+    target_table: str,
+    outcomes: Sequence[tuple[int, str, str | None]],
+) -> None:
+    """One audit row for each (rows, status, message), in one write."""
+    if not outcomes:
+        return
+    rows = [(process, source_file, target_table, *outcome) for outcome in outcomes]
     columns = AUDIT_SCHEMA.rsplit(",", 1)[0]
     (
-        spark.createDataFrame([row], columns)
+        spark.createDataFrame(rows, columns)
         .withColumn("log_timestamp", F.current_timestamp())
         .coalesce(1)
         .write.mode("append")

@@ -233,6 +233,25 @@ UNION ALL SELECT 1, 'WRITE APPEND', b FROM n UNION ALL SELECT 2, 'WRITE APPEND',
 UNION ALL SELECT 3, 'WRITE OVERWRITE', c FROM n"""
     for name in ("compact_same_rows", "zorder_same_rows", "expire_same_rows"):
         sql[name] = "SELECT * FROM lineitem"
+    sql["layout_files"] = """
+SELECT 'loaded' AS state, count(*) AS n_rows, false AS one_file, false AS prunes FROM lineitem
+UNION ALL SELECT 'clustered', count(*), false, true FROM lineitem
+UNION ALL SELECT 'compacted', count(*), true, false FROM lineitem"""
+    sql["dq_in_write"] = f"WITH {RAW['energy_usage']} " + " UNION ALL ".join(
+        f"SELECT 'energy_usage' AS table_name, '{check}' AS \"check\", '{severity}' AS severity, "
+        f"count(*) AS n_checked, count(*) FILTER (WHERE {fails}) AS n_failed, "
+        f"count(*) FILTER (WHERE {fails}) AS n_kept FROM raw_energy_usage"
+        for check, severity, fails in (
+            ("not_null(household_id)", "warn", "household_id IS NULL"),
+            ("not_null(voltage_reading)", "warn", "voltage_reading IS NULL"),
+            ("accepted_values(meter_type)", "warn", "meter_type NOT IN ('click ', 'view ', 'error ')"),
+            ("not_null(reading_id)", "error", "reading_id IS NULL"),
+        )
+    )
+    sql["unreadable_times"] = f"""
+WITH {RAW['energy_usage']} SELECT reading_id, household_id, "timestamp", 'timestamp' AS failed_rules
+FROM raw_energy_usage WHERE "timestamp" IS NOT NULL AND try_strptime("timestamp", '%d-%m-%Y %H:%M') IS NULL"""
+    sql["bucketed_weather"] = f"WITH {D.FACT_READINGS} SELECT * FROM readings"
     sql["dq_not_null"] = f"WITH {RAW['energy_usage']} " + " UNION ALL ".join(
         _check(f"not_null({c})", "count(*)", f"count(*) - count({c})", "raw_energy_usage")
         for c in ("household_id", "voltage_reading", "meter_type")

@@ -17,7 +17,7 @@ from voltlake.operators import merge, quality, refine as R, scd
 from voltlake.operators.dedup import latest_per_key
 from voltlake.plans import analytics, gold, incremental, marts
 from voltlake.session import side_by_side, stored, work_dir
-from voltlake.sources import loading, readers, snapshots
+from voltlake.sources import catalog, loading, readers, snapshots
 from voltlake.specs import SPECS
 from voltlake.streaming import jobs
 
@@ -221,6 +221,12 @@ def rejected(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _plain(df.withColumn("failed_rules", F.array_join("failed_rules", ",")))
 
 
+def unreadable_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw energy readings whose time cannot be read, each with the reason."""
+    found = R.unreadable(RAW["energy_usage"](spark, sf_dir), SPECS["energy_usage"])
+    return found.select("reading_id", "household_id", "timestamp", F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 def reject_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = [
         R.reject_counts(RAW[name](spark, sf_dir), spec).withColumn("table_name", F.lit(name))
@@ -380,6 +386,34 @@ def zorder_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.read_snapshot(spark, path)
 
 
+def _files_met(df: DataFrame, column: str, low: int, high: int) -> int:
+    """Files whose range of ``column`` meets low..high: those that a filter has to read."""
+    ranges = df.groupBy(F.input_file_name().alias("file")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return ranges.filter((F.col("low") <= high) & (F.col("high") >= low)).count()
+
+
+def layout_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What compaction and clustering do to the files of lineitem: how many there are, and whether a
+    tenth of the parts, and a tenth of the suppliers, are found in fewer than all."""
+    path = _lines_in_pieces(spark, sf_dir, "layout")
+    parts = table(spark, sf_dir, "lineitem").agg(F.max("l_partkey"), F.max("l_suppkey")).first()
+    loaded = snapshots.read_snapshot(spark, path)
+    rows = [("loaded", *_layout(loaded, parts))]
+    # Small files stand in for large ones.
+    target = max(1, snapshots.table_bytes(spark, path) // 16)
+    snapshots.cluster(spark, path, ["l_partkey", "l_suppkey"], target_bytes=target)
+    rows.append(("clustered", *_layout(snapshots.read_snapshot(spark, path), parts)))
+    snapshots.compact(spark, path)
+    rows.append(("compacted", *_layout(snapshots.read_snapshot(spark, path), parts)))
+    return spark.createDataFrame(rows, "state STRING, n_rows LONG, one_file BOOLEAN, prunes BOOLEAN")
+
+
+def _layout(lines: DataFrame, largest) -> tuple[int, bool, bool]:
+    files = len(lines.inputFiles())
+    met = [_files_met(lines, c, 1, max(1, top // 10)) for c, top in zip(("l_partkey", "l_suppkey"), largest)]
+    return lines.count(), files == 1, max(met) <= 0.6 * files
+
+
 def expire_same_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _lines_in_pieces(spark, sf_dir, "expire")
     snapshots.publish(spark, table(spark, sf_dir, "lineitem"), path, "overwrite")
@@ -399,6 +433,23 @@ def dq_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_null(energy, "household_id", "voltage_reading", "meter_type")
 
 
+def dq_in_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tests of raw energy readings that run in the write itself, and how many failing rows they kept."""
+    root = work_dir(spark, "tested")
+    rules = [
+        *quality.must_have("household_id", "voltage_reading", severity=quality.WARN),
+        quality.must_be_one_of("meter_type", ["click ", "view ", "error "], severity=quality.WARN),
+        *quality.must_have("reading_id"),
+    ]
+    tests = quality.WriteTests("energy_usage", rules, f"{root}/results", f"{root}/failures")
+    raw = RAW["energy_usage"](spark, sf_dir)
+    snapshots.publish(spark, raw, f"{root}/table", counts=tests.counts, judge=tests.judge)
+    kept = spark.read.schema(quality.FAILURES).parquet(f"{root}/failures")
+    n_kept = kept.groupBy("check").agg(F.count(F.lit(1)).alias("n_kept"))
+    results = spark.read.schema(quality.RESULTS).parquet(f"{root}/results")
+    return results.join(n_kept, "check", "left").fillna(0, ["n_kept"])
+
+
 def dq_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_checks(
         [
@@ -477,6 +528,18 @@ def _over_readings(build: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(_readings(spark, sf_dir))
 
 
+def bucketed_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings with their weather, from catalog tables that are bucketed alike."""
+    root = work_dir(spark, "bucketed")
+    layer = loading.create_layers(spark, root, f"voltlake_{root[-8:]}_")[1]
+    energy, weather = (
+        catalog.publish_bucketed(silver(spark, sf_dir, n), f"{layer}.{n}", f"{root}/{n}", SPECS[n].key, 8)
+        for n in ("energy_usage", "weather_stream")
+    )
+    joined = gold.with_weather(gold.energy_readings(energy), weather)
+    return _compared(joined.withColumn("has_weather", F.col("weather_key").isNotNull()))
+
+
 def _arrived_late() -> Column:
     """Readings from the 20th on, and some late ones of the 3rd, so that an old day changes too."""
     day = F.dayofmonth("timestamp")
@@ -776,6 +839,7 @@ def queries() -> dict[str, Query]:
             dedup_latest, fill_nulls, validate_ranges, standardise_text, surrogate_key_check,
             sequence_key_check, null_flags, snapshot_version0, snapshot_latest,
             snapshot_history, compact_same_rows, zorder_same_rows, expire_same_rows,
+            layout_files, dq_in_write, unreadable_times, bucketed_weather,
             gate_row_counts, dq_not_null, dq_unique, dq_accepted, dq_relationships, dim_date,
             dim_household, dim_weather, dim_device, dim_grid, dim_tariff, fact_energy,
             incremental_mart, monthly_rollup, yearly_rollup, scd2_history, scd2_incremental, scd2_snapshots,

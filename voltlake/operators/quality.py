@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.functions.columns import all_of
@@ -118,3 +119,63 @@ def require_passed(results: DataFrame) -> None:
     failed = results.filter("n_failed > 0").collect()
     if failed:
         raise QualityError("; ".join(f"{r['check']}: {r['n_failed']} rows" for r in failed))
+
+
+ERROR, WARN = "error", "warn"
+RESULTS = "table_name STRING, check STRING, severity STRING, n_checked LONG, n_failed LONG"
+FAILURES = "table_name STRING, check STRING, record STRING"
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A test of single rows, by the condition under which a row fails it (null: it passes)."""
+
+    check: str
+    fails: Column
+    severity: str = ERROR
+
+
+def must_have(*columns: str, severity: str = ERROR) -> list[Rule]:
+    return [Rule(f"not_null({c})", F.col(c).isNull(), severity) for c in columns]
+
+
+def must_be_one_of(column: str, values: Sequence, severity: str = ERROR) -> Rule:
+    return Rule(f"accepted_values({column})", ~F.col(column).isin(*values), severity)
+
+
+@dataclass(frozen=True)
+class WriteTests:
+    """Tests that a table's write runs as it goes: their counts are observed in the write's own job.
+
+    Results go to ``results_path``, one row per test, and the failing rows, if there are any, as
+    JSON to ``failures_path``, read from what was written. If a rule of severity "error" fails, QualityError
+    is raised, and with :func:`voltlake.sources.snapshots.publish` the rows do not become a version.
+    """
+
+    table: str
+    rules: Sequence[Rule]
+    results_path: str
+    failures_path: str
+
+    @property
+    def counts(self) -> dict[str, Column]:
+        return {rule.check: rule.fails for rule in self.rules}
+
+    def judge(self, counts: Mapping[str, int], rows: DataFrame) -> None:
+        spark = rows.sparkSession
+        results = [
+            (self.table, rule.check, rule.severity, counts["n"], counts.get(rule.check, 0)) for rule in self.rules
+        ]
+        spark.createDataFrame(results, RESULTS).coalesce(1).write.mode("append").parquet(self.results_path)
+        failed = [rule for rule in self.rules if counts.get(rule.check, 0)]
+        if failed:
+            broken = F.array_compact(F.array(*[F.when(rule.fails, F.lit(rule.check)) for rule in failed]))
+            record = F.to_json(F.struct(*rows.columns))
+            (
+                rows.select(F.lit(self.table).alias("table_name"), F.explode(broken).alias("check"), record.alias("record"))
+                .write.mode("append")
+                .parquet(self.failures_path)
+            )
+        errors = [f"{rule.check}: {counts[rule.check]} rows" for rule in failed if rule.severity == ERROR]
+        if errors:
+            raise QualityError(f"{self.table}: {'; '.join(errors)}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voltlake.functions import columns as C
 from voltlake.operators.dedup import latest_per_key
@@ -99,6 +100,21 @@ def rejects(df: DataFrame, spec: TableSpec, raw_key_text: bool = False) -> DataF
     return tagged.filter(F.size("failed_rules") > 0)
 
 
+def unreadable(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Raw rows with a time that is there but cannot be read, named in ``failed_rules``.
+
+    ``refine`` goes on with a null time, so that of all such rows of a household one is left; here
+    all of them are, as they arrived.
+    """
+    failures = [
+        F.when(F.col(c).isNotNull() & C.to_timestamp(c, pattern).isNull(), F.lit(c))
+        for c, pattern in spec.timestamps.items()
+        if isinstance(df.schema[c].dataType, T.StringType)
+    ]
+    tags = F.array_compact(F.array(*failures)) if failures else F.array().cast("array<string>")
+    return df.withColumn("failed_rules", tags).filter(F.size("failed_rules") > 0)
+
+
 def reject_counts(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Rejected rows per rule; a row that breaks two rules counts under both."""
     return (

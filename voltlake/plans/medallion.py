@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltlake.operators import quality
-from voltlake.operators.refine import refine, rejects
+from voltlake.operators.refine import refine, rejects, unreadable
 from voltlake.operators.scd import scd2_history
 from voltlake.plans import analytics, gold, incremental, marts
 from voltlake.session import build_session, side_by_side, stored
-from voltlake.sources import loading, readers, snapshots
+from voltlake.sources import catalog, loading, readers, snapshots
 from voltlake.specs import GOLD_TABLES, RETENTION_HOURS, SPECS, TableSpec
 
 
@@ -51,7 +51,30 @@ def refresh_silver(spark: SparkSession, spec: TableSpec, root: str) -> int:
     path = loading.silver_path(root, spec)
     if spec.ranges:
         snapshots.publish(spark, rejects(bronze, spec), rejects_path(root, spec), "overwrite")
-    return snapshots.publish(spark, refine(bronze, spec), path, "overwrite")[1]
+    if spec.timestamps:
+        snapshots.publish(spark, unreadable(bronze, spec), f"{rejects_path(root, spec)}_unreadable", "overwrite")
+    rules = [
+        *quality.must_have(spec.surrogate), quality.must_be_one_of("record_status", ["ACTIVE"]),
+        *quality.must_have("household_id", severity=quality.WARN),
+    ]
+    tests = write_tests(root, f"silver.{spec.name}", rules)
+    return snapshots.publish(
+        spark, refine(bronze, spec), path, "overwrite", counts=tests.counts, judge=tests.judge
+    )[1]
+
+
+def write_tests(root: str, table: str, rules: list[quality.Rule]) -> quality.WriteTests:
+    # Tables are written side by side, so each has its folder.
+    return quality.WriteTests(table, rules, f"{root}/quality/results/{table}", f"{root}/quality/failures/{table}")
+
+
+def test_results(spark: SparkSession, root: str) -> DataFrame:
+    """What the tests within writes have found so far: one row per test and write."""
+    found = spark.read.schema(quality.RESULTS).option("recursiveFileLookup", True)
+    return found.parquet(f"{root}/quality/results")
+
+
+BUCKETED = ("energy_usage", "weather_stream")  # joined on their whole key
 
 
 def rejects_path(root: str, spec: TableSpec) -> str:
@@ -88,14 +111,33 @@ def silver_tables(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     }
 
 
+def catalog_silver(spark: SparkSession, root: str) -> None:
+    """Energy and weather as catalog tables, bucketed alike by household and time, so that the
+    joins of Gold find them dealt out already."""
+    paths = {name: loading.silver_path(root, SPECS[name]) for name in BUCKETED}
+    buckets = catalog.buckets_for(max(snapshots.table_bytes(spark, path) for path in paths.values()))
+    side_by_side(
+        spark,
+        {
+            name: partial(
+                catalog.publish_bucketed, snapshots.read_snapshot(spark, path), f"silver.{name}",
+                f"{root}/silver/bucketed/{name}", SPECS[name].key, buckets,
+            )
+            for name, path in paths.items()
+        },
+    )
+
+
 def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
     """Publishes the dimensions and the fact, then the marts from the published fact."""
-    s = silver_tables(spark, root)
+    s = silver_tables(spark, root) | {name: spark.table(f"silver.{name}") for name in BUCKETED}
     energy, weather, device, grid, tariff = (s[name] for name in SPECS)
 
-    def publish(name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
+    def publish(name: str, df: DataFrame, partition_by: tuple[str, ...] = (), must_have: tuple[str, ...] = ()) -> int:
         path = loading.gold_path(root, name)
-        return snapshots.publish(spark, df, path, "overwrite", partition_by)[1]
+        tests = write_tests(root, f"gold.{name}", quality.must_have(*must_have))
+        more = {"counts": tests.counts, "judge": tests.judge} if must_have else {}
+        return snapshots.publish(spark, df, path, "overwrite", partition_by, **more)[1]
 
     written = side_by_side(
         spark,
@@ -108,7 +150,7 @@ def run_gold(spark: SparkSession, root: str) -> dict[str, int]:
             "dim_tariff": lambda: publish("dim_tariff", gold.dim_tariff(tariff)),
             "fact_energy": lambda: publish(
                 "fact_energy", gold.fact_energy(energy, weather, device, grid, tariff, published=True),
-                ("month_key",)
+                ("month_key",), ("energy_key", "household_key"),
             ),
         },
     )
@@ -193,6 +235,7 @@ def run_gates(spark: SparkSession, root: str) -> dict[str, int]:
         for spec in SPECS.values()
     }
     tables |= {f"silver.{name}": df for name, df in silver_tables(spark, root).items()}
+    tables |= {f"silver.{name}": spark.table(f"silver.{name}") for name in BUCKETED}
     tables |= {
         f"gold.{name}": snapshots.read_snapshot(spark, loading.gold_path(root, name))
         for name in GOLD_TABLES
@@ -244,6 +287,7 @@ def run(spark: SparkSession, raw_dir: str, root: str) -> dict[str, int]:
     run_bronze(spark, raw_dir, root)
     run_silver(spark, root)
     maintain_silver(spark, root)
+    catalog_silver(spark, root)
     run_gold(spark, root)
     run_analytics(spark, root)
     return run_gates(spark, root)

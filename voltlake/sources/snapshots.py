@@ -11,10 +11,10 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,6 @@ COMMIT_SCHEMA = (
     "schema_json STRING"
 )
 TARGET_FILE_BYTES = 512 * 1024 * 1024
-SAMPLE_ROWS = 20_000
 
 
 class VersionNotFound(LookupError):
@@ -83,6 +82,10 @@ def latest_version(spark: SparkSession, path: str) -> int:
     return _require(spark, path, None)["version"]
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    return _require(spark, path, None)["n_bytes"]
+
+
 def read_snapshot(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """The table as of ``version``, the newest by default.
 
@@ -152,19 +155,25 @@ def _sizes(row: Row | None) -> dict[str, tuple[int, int]]:
 
 
 def _write(
-    spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str] = ()
-) -> tuple[dict[str, tuple[int, int]], int]:
-    """Writes a new data folder; returns it with its size, and the rows the write counted."""
+    spark: SparkSession,
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None,
+) -> tuple[dict[str, tuple[int, int]], dict[str, int]]:
+    """Writes a new data folder; returns it with its size, and what the write counted: all rows as
+    "n", and those for which each of ``counts`` holds."""
     folder = f"data/load={uuid.uuid4().hex}"
     counted = Observation()
+    more = [F.count_if(condition).alias(name) for name, condition in (counts or {}).items()]
     # Observed directly below the write, where every row is counted exactly once.
-    writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write
+    writer = df.observe(counted, F.count(F.lit(1)).alias("n"), *more).write
     # The commit row marks the write as complete, and the size should count data only.
     writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{path}/{folder}")
-    return {folder: _size(spark, path, folder)}, counted.get.get("n", 0)
+    return {folder: _size(spark, path, folder)}, {"n": 0} | counted.get
 
 
 def publish(
@@ -173,9 +182,14 @@ def publish(
     path: str,
     mode: str = "append",
     partition_by: Sequence[str] = (),
+    counts: Mapping[str, Column] | None = None,
+    judge: Callable[[dict[str, int], DataFrame], None] | None = None,
 ) -> tuple[int, int]:
     """Writes ``df`` as the next version; returns (version, rows written).
 
+    ``counts`` are conditions whose rows are counted by the write. ``judge`` gets the counts, all rows
+    as "n", and the rows as written, before they become a version; if it raises, they never do.
+
     ``append`` keeps the folders of the version before, ``overwrite`` drops them.
     Both evolve the schema: new columns are added, missing ones become null, types are widened.
     With ``partition_by`` the rows are rebalanced on those columns first, so that a
@@ -188,7 +202,10 @@ def publish(
     df = conformed(df, schema)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    written, n_rows = _write(spark, df, path, partition_by)
+    written, found = _write(spark, df, path, partition_by, counts)
+    n_rows = found["n"]
+    if judge:
+        judge(found, _read_dirs(spark, path, list(written), df.schema.json()))
     kept = _sizes(last) if mode == "append" else {}
     total = n_rows + (last["n_rows"] if kept else 0)
     version = _commit(spark, path, f"WRITE {mode}".upper(), {**kept, **written}, schema, total)
@@ -221,28 +238,32 @@ def compact(spark: SparkSession, path: str, target_bytes: int = TARGET_FILE_BYTE
     )
 
 
-def _bounds(values: list, cells: int) -> list:
-    """Up to ``cells`` - 1 distinct, evenly spaced quantiles of a sample."""
-    known = sorted(v for v in values if v is not None)
-    if not known:
-        return []
-    return sorted({known[len(known) * i // cells] for i in range(1, cells)})
+def _rankable(df: DataFrame, column: str) -> Column:
+    """A number in the order of the column's values; of texts, of their first seven bytes."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.StringType):
+        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 7)), 14, "0")
+        return F.conv(head, 16, 10).cast("long")
+    if isinstance(kind, T.TimestampType | T.TimestampNTZType):
+        return F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("long")
+    return F.col(column).cast("double")
 
 
-def cluster_value(df: DataFrame, columns: Sequence[str], n_rows: int, bits: int = 6):
+def cluster_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
     """Z-order value over quantile buckets of ``columns``, as a column for ``df``.
 
-    The bucket bounds come from a sample of fixed expected size; they steer the
-    layout only, never the result.
+    The bucket bounds are approximate quantiles of all rows, found in one aggregate; they steer
+    the layout only, never the result.
     """
-    share = min(1.0, SAMPLE_ROWS / max(n_rows, 1))
-    sampled = df.select(*columns)
-    if share < 1.0:
-        sampled = sampled.sample(share, seed=7)
-    rows = sampled.limit(4 * SAMPLE_ROWS).collect()
+    cells = 2**bits
+    wanted = [k / cells for k in range(1, cells)]
+    ranks = {c: _rankable(df, c) for c in columns}
+    quantiles = [F.percentile_approx(rank, wanted, 100 * cells) for rank in ranks.values()]
+    found = df.agg(*quantiles).first()
     buckets = [
-        range_bucket(F.col(c), _bounds([r[i] for r in rows], 2**bits))
-        for i, c in enumerate(columns)
+        range_bucket(rank, sorted(set(bounds or []))) for rank, bounds in zip(ranks.values(), found)
     ]
     return interleave(buckets, bits)
 
@@ -268,15 +289,15 @@ def cluster(
     bits = max(bits, math.ceil(math.log2(2 * files)))
     whole_row = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
     laid_out = (
-        df.withColumn("_z", cluster_value(df, columns, last["n_rows"], bits))
+        df.withColumn("_z", cluster_value(df, columns, bits))
         .repartitionByRange(files, *ordered, whole_row)
         .sortWithinPartitions(*ordered)
         .drop("_z")
     )
-    written, n_rows = _write(spark, laid_out, path, partition_by)
+    written, found = _write(spark, laid_out, path, partition_by)
     return _commit(
         spark, path, f"ZORDER ({', '.join(columns)})", written,
-        _schema(last["schema_json"]), n_rows,
+        _schema(last["schema_json"]), found["n"],
     )
 
 

@@ -3,7 +3,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from voltlake.operators.skew import _cells, find_hot, hot_keys, spread_join, with_neighbours
+from voltlake.operators.skew import with_cells, find_hot, hot_keys, spread_join, with_neighbours
 
 
 @pytest.fixture(scope="module")
@@ -107,5 +107,5 @@ def test_a_hot_key_is_cut_by_rows_whatever_its_cadence(spark, minutes):
         F.lit("hot").alias("k"), F.expr(f"timestamp_seconds(1700000000 + id * {60 * minutes})").alias("ts")
     )
     hot = hot_keys(df, ["k"], 0.1, 10)
-    sizes = [r["count"] for r in _cells(df, ["k"], "ts", hot).groupBy("_cell").count().collect()]
+    sizes = [r["count"] for r in with_cells(df, ["k"], "ts", hot).groupBy("_cell").count().collect()]
     assert len(sizes) >= 10 and max(sizes) <= 2 * 20_000 / 10

@@ -262,9 +262,8 @@ def cluster_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Colum
     ranks = {c: _rankable(df, c) for c in columns}
     quantiles = [F.percentile_approx(rank, wanted, 100 * cells) for rank in ranks.values()]
     found = df.agg(*quantiles).first()
-    buckets = [
-        range_bucket(rank, sorted(set(bounds or []))) for rank, bounds in zip(ranks.values(), found)
-    ]
+    # A value that fills several cells takes the last of them, so that columns of few values keep their weight.
+    buckets = [range_bucket(rank, sorted(bounds or [])) for rank, bounds in zip(ranks.values(), found)]
     return interleave(buckets, bits)
 
 

@@ -124,3 +124,31 @@ def test_near_groups_with_chains_and_shared_passages(spark, monkeypatch):
     expected = brute_force(rows)
     found = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.doc_id, r.component_id) for r in found} == set(expected.items())
+
+
+def test_near_groups_whose_members_hardly_link(spark):
+    """Copies of one text with two words changed in each: most pairs are just below the threshold."""
+    rng, words = random.Random(3), prose(1, 200).split()
+    rows = []
+    for k in range(250):
+        copy = list(words)
+        for place in rng.sample(range(200), 2):
+            copy[place] = f"new{k}"
+        rows.append((k, " ".join(copy)))
+    found = near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == set(brute_force(rows).items())
+
+
+def test_a_block_hands_on_fewer_links_than_it_has_members(spark):
+    import pyarrow as pa
+
+    texts = [" ".join(f"w{k}" for k in range(60)) + f" end{i % 3}" for i in range(40)]
+    table = near_dedup.sketches(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).toArrow()
+    sets = {i: sorted(near_dedup.hashed_shingles([t])[0].view(np.int64).tolist(), key=lambda v: v % (1 << 64)) for i, t in enumerate(texts)}
+    rows = table.sort_by("doc_id")
+    rows = rows.append_column("hashes", pa.array([sets[i] for i in range(40)], pa.list_(pa.int64())))
+    rows = rows.append_column("label", rows.column("doc_id")).append_column("part", pa.array([0] * 40, pa.int32()))
+    key = [pa.scalar(v) for v in (0, 1, 0, 0)]
+    links = near_dedup._joining_links(85)(key, rows).to_pylist()
+    assert len(links) == 39
+    assert set(smallest_reachable(range(40), [(r["a"], r["b"]) for r in links]).values()) == {0}

@@ -8,9 +8,12 @@
 3. In each bucket everybody is compared with the smallest id only, so that a bucket makes as many
    candidates as it has members, not their square. Candidates are verified on the full shingle
    sets of both texts, and the links grouped.
-4. What is left are buckets that still hold several groups. There every pair from two groups is
-   looked at, in blocks of bounded size, by signature; pairs whose signatures agree as links do
-   (within four standard deviations) are verified on the texts as well. No bucket is capped.
+4. What is left are buckets that still hold several groups. Members outside the group of the
+   bucket's smallest id are strangers; they meet each other and the group's members in blocks of
+   bounded size, which get the members' full sets once, as 64-bit hashes. A block verifies there
+   every pair of two groups whose signatures come within six standard deviations of the threshold,
+   skips what it has already joined, and hands on the links that joined something: fewer than it has members.
+   No bucket is capped.
 """
 
 from __future__ import annotations
@@ -32,7 +35,9 @@ WORDS = 5
 PERCENT = 85
 BANDS, ROWS = 32, 7
 SLOTS = BANDS * ROWS
-BLOCK = 1000
+BLOCK = 1000  # members of a block, of one kind
+BLOCK_SHINGLES = 4 << 20  # and their shingles
+TOGETHER = 64  # sets that are compared with one at a time
 _U64 = np.uint64
 
 
@@ -82,6 +87,35 @@ def hashed_shingles(batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return total[fresh], owner[fresh]
 
 
+def _fingerprints(elements: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+    """Two 64-bit sums over each set, whatever the order of its elements."""
+    sums = np.zeros((2, n), dtype=np.uint64)
+    for k, salt in enumerate((0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)):
+        np.add.at(sums[k], owner, mix64(elements ^ _U64(salt)))
+    return sums
+
+
+def hashed_sets(source: DataFrame) -> DataFrame:
+    """doc_id, the fingerprint (k1, k2) and the sorted 64-bit hashes of each row's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in in_pieces(batch, 2 << 20):
+                elements, owner = hashed_shingles(part.column("text").to_pylist())
+                sums = _fingerprints(elements, owner, part.num_rows)
+                ends = np.searchsorted(owner, np.arange(part.num_rows + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"), pa.array(sums[0].view(np.int64)), pa.array(sums[1].view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(elements.view(np.int64))),
+                    ],
+                    ["doc_id", "k1", "k2", "hashes"],
+                )
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, k1 long, k2 long, hashes array<long>")
+
+
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, a fingerprint of the set (k1, k2), band keys, signature marks."""
     source = texts(docs, id_col, text_col)
@@ -92,9 +126,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 n = part.num_rows
                 elements, owner = hashed_shingles(part.column("text").to_pylist())
                 signed = signatures(elements, owner, n, SLOTS)
-                sums = np.zeros((2, n), dtype=np.uint64)
-                for k, salt in enumerate((0x1F83D9ABFB41BD6B, 0x5BE0CD19137E2179)):
-                    np.add.at(sums[k], owner, mix64(elements ^ _U64(salt)))
+                sums = _fingerprints(elements, owner, n)
                 bands = np.zeros((n, BANDS), dtype=np.uint64)
                 for row in range(ROWS):
                     bands = mix64(bands ^ signed[:, row::ROWS])
@@ -149,39 +181,91 @@ def verified(pairs: DataFrame, source: DataFrame, percent: int) -> DataFrame:
     return held.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _between_groups(percent: int):
-    """For the members of a bucket's block, or two blocks: pairs of different groups that may be
-    linked, each only in the first band that the two share."""
-    agree = percent / 100 - 4 * np.sqrt(percent / 100 * (1 - percent / 100) / SLOTS)
+def _joining_links(percent: int):
+    """For the members of a block: links that join two of its groups, until no pair is left that would.
+
+    A block holds strangers and members of the bucket's first group ("others"), or strangers of one part
+    of the bucket or two. A pair is looked at only in the first band that the two share.
+    """
+    share = percent / 100
+    agree = share - 6 * np.sqrt(share * (1 - share) / SLOTS)
 
     def run(key, table):
-        ids, band = table.column("doc_id").to_numpy(), key[0].as_py()
-        _, label = np.unique(table.column("label").to_numpy(), return_inverse=True)
+        band, one_part = key[0].as_py(), key[2].as_py() == key[3].as_py()
+        side = table.column("part").to_numpy()
+        ids = table.column("doc_id").to_pylist()
+        _, group = np.unique(table.column("label").to_numpy(zero_copy_only=False), return_inverse=True)
         n = table.column("n_shingles").to_numpy()
-        block = table.column("block").to_numpy()
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), dtype=np.uint8)
-        marks = marks.reshape(len(ids), SLOTS)
-        bands = table.column("bands").combine_chunks().values.to_numpy().reshape(len(ids), BANDS)
-        two_blocks = key[2].as_py() != key[3].as_py()
-        a, b = [], []
+        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), dtype=np.uint8).reshape(len(ids), SLOTS)
+        bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(len(ids), BANDS)
+        hashes = table.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64)
+        ends = np.cumsum(n)
+
+        def shared(k: int, others: np.ndarray) -> np.ndarray:
+            own = hashes[ends[k] - n[k] : ends[k]]
+            theirs = np.concatenate([hashes[ends[x] - n[x] : ends[x]] for x in others])
+            at = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+            return np.add.reduceat((own[at] == theirs).astype(np.int64), np.cumsum(n[others]) - n[others])
+
+        links = []
         for k in range(len(ids) - 1):
-            others = np.flatnonzero(label[k + 1 :] != label[k]) + k + 1
-            if two_blocks:
-                others = others[block[others] != block[k]]
-            small, large = np.minimum(n[others], n[k]), np.maximum(n[others], n[k])
-            others = others[100 * small >= percent * large]
-            if len(others):
-                others = others[(marks[others] == marks[k]).mean(axis=1) >= agree]
-            if len(others):
-                others = others[(bands[others] == bands[k]).argmax(axis=1) == band]
-                a += [min(ids[k], x) for x in ids[others]]
-                b += [max(ids[k], x) for x in ids[others]]
+            left = np.flatnonzero(group[k + 1 :] != group[k]) + k + 1
+            if not one_part:
+                left = left[side[left] != side[k]]
+            small, large = np.minimum(n[left], n[k]), np.maximum(n[left], n[k])
+            left = left[100 * small >= percent * large]
+            if len(left):
+                left = left[(marks[left] == marks[k]).mean(axis=1) >= agree]
+            if len(left):
+                left = left[(bands[left] == bands[k]).argmax(axis=1) == band]
+            while len(left):
+                some, left = left[:TOGETHER], left[TOGETHER:]
+                both = shared(k, some)
+                for x in some[100 * both >= percent * (n[some] + n[k] - both)]:
+                    if group[x] != group[k]:
+                        links.append(sorted((ids[k], ids[x])))
+                        group[group == group[x]] = group[k]
+                left = left[group[left] != group[k]]
         kind = table.schema.field("doc_id").type
-        return pa.table({"a": pa.array(a, kind), "b": pa.array(b, kind)})
+        return pa.table({"a": pa.array([a for a, _ in links], kind), "b": pa.array([b for _, b in links], kind)})
 
     return run
 
 
+def _upto(n: Column) -> Column:
+    """0 to n - 1; nothing for 0."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
+
+def _blocks(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Members of mixed buckets, each in all the blocks it is needed in.
+
+    Strangers of a bucket are cut into parts and the members of its first group into others, each by bytes
+    and number. A pair of parts is a block, and so is a part with a part of the group: the group's members
+    do not meet each other, and few strangers cost few copies however large the group is.
+    """
+    parts = {
+        side: F.ceil(F.greatest(F.col(f"n_{side}") / BLOCK, F.col(f"shingles_{side}") / BLOCK_SHINGLES)).cast("int")
+        for side in ("strangers", "group")
+    }
+    held = members.join(buckets, ["band", "key"]).withColumns(
+        {"parts_strangers": parts["strangers"], "parts_group": parts["group"], "stranger": F.col("label") != F.col("first")}
+    )
+    own = F.when(F.col("stranger"), F.col("parts_strangers")).otherwise(F.col("parts_group"))
+    held = held.withColumn("own", F.pmod(F.xxhash64("doc_id"), own).cast("int"))
+    other = F.lit(-1) - F.col("own")  # parts of the group have numbers below zero
+    among = F.transform(_upto(F.col("parts_strangers")), lambda p: F.struct(
+        F.least("own", p).alias("low"), F.greatest("own", p).alias("high")
+    ))
+    with_group = F.transform(_upto(F.col("parts_group")), lambda p: F.struct((F.lit(-1) - p).alias("low"), F.col("own").alias("high")))
+    with_strangers = F.transform(_upto(F.col("parts_strangers")), lambda p: F.struct(other.alias("low"), p.alias("high")))
+    places = F.when(F.col("stranger"), F.concat(among, with_group)).otherwise(with_strangers)
+    return held.select(
+        "band", "key", "doc_id", "label",
+        F.when(F.col("stranger"), F.col("own")).otherwise(other).alias("part"), F.explode(places).alias("place"),
+    ).select("band", "key", "doc_id", "label", "part", "place.low", "place.high")
+
+
 def near_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT
 ) -> DataFrame:
@@ -215,8 +299,7 @@ def near_groups(
         .filter("size > 1")
     )
     shared = written(
-        rows.join(hubs, ["band", "key"]).select("band", "key", "doc_id", "n_shingles", "hub", "size"),
-        "buckets",
+        rows.join(hubs, ["band", "key"]).select("band", "key", "doc_id", "n_shingles", "hub"), "buckets"
     )
     candidates = (
         shared.filter(F.col("hub.doc_id") != F.col("doc_id"))
@@ -236,31 +319,37 @@ def near_groups(
     labels = components(links)
 
     # Buckets that hold several groups.
-    labelled = shared.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "label", F.coalesce("label", "doc_id")
-    )
-    mixed = labelled.groupBy("band", "key").agg(
-        F.min("label").alias("lowest"), F.max("label").alias("highest")
-    ).filter("lowest != highest").select("band", "key")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_rows = (
-        labelled.join(mixed, ["band", "key"], "left_semi")
-        .filter(F.col("hub.doc_id") != F.col("doc_id"))
-        .select("band", "key", "doc_id", "label", blocks.alias("blocks"))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-        .join(reps.select("doc_id", "n_shingles", "bands", "marks"), "doc_id")
-        .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "with"))
-        .withColumn("high", F.greatest("block", "with"))
-    )
-    kind = all_rows.schema["doc_id"].dataType.simpleString()
-    more = written(
-        open_rows.groupBy("band", "key", "low", "high")
-        .applyInArrow(_between_groups(percent), f"a {kind}, b {kind}"),
-        "candidates",
+    labelled = shared.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "band", "key", "doc_id", "n_shingles", F.coalesce("label", "doc_id").alias("label"),
+        (F.col("hub.doc_id") == F.col("doc_id")).alias("is_hub"),
+    )
+    buckets = labelled.groupBy("band", "key").agg(
+        F.min("label").alias("lowest"), F.max("label").alias("highest"),
+        F.max(F.when(F.col("is_hub"), F.col("label"))).alias("first"),
+    ).filter("lowest != highest").select("band", "key", "first")
+    undecided = written(
+        labelled.join(buckets, ["band", "key"]).filter("NOT is_hub").drop("is_hub"), "undecided"
     )
-    if not more.isEmpty():
-        late = written(verified(more, source, percent), "links")
+    if not undecided.isEmpty():
+        stranger = F.col("label") != F.col("first")
+        counts = undecided.groupBy("band", "key", "first").agg(
+            F.count_if(stranger).alias("n_strangers"), F.count_if(~stranger).alias("n_group"),
+            F.sum(F.when(stranger, F.col("n_shingles")).otherwise(0)).alias("shingles_strangers"),
+            F.sum(F.when(~stranger, F.col("n_shingles")).otherwise(0)).alias("shingles_group"),
+        )
+        ids_met = written(undecided.select("doc_id").distinct(), "undecided-ids")
+        sets = written(hashed_sets(source.join(ids_met, "doc_id", "left_semi")), "undecided-sets")
+        known = reps.join(ids_met, "doc_id", "left_semi").join(
+            sets.dropDuplicates(["doc_id", "k1", "k2"]), ["doc_id", "k1", "k2"]
+        )
+        blocks = _blocks(undecided.select("band", "key", "doc_id", "label"), counts).join(
+            known.select("doc_id", "n_shingles", "bands", "marks", "hashes"), "doc_id"
+        )
+        kind = all_rows.schema["doc_id"].dataType.simpleString()
+        late = written(
+            blocks.groupBy("band", "key", "low", "high").applyInArrow(_joining_links(percent), f"a {kind}, b {kind}"),
+            "links",
+        )
         if not late.isEmpty():
             labels = components(links.union(late))
 

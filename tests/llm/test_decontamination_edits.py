@@ -1,5 +1,11 @@
 """Benchmark items that stand in a document with edits, or that are short, numeric or mistyped."""
 
+import random
+import time
+
+import numpy as np
+import pyarrow as pa
+
 from tests_llm_data import prose
 from voltlake.llm import decontamination
 
@@ -59,3 +65,72 @@ def test_a_torn_slot_costs_its_windows_only(spark):
     matches = found(spark, docs, [(1, apples), (2, long)])
     assert set(matches) == {(1, 1), (2, 2)}
     assert matches[2, 2].matched < matches[2, 2].windows
+
+
+def test_texts_together_have_the_windows_of_each():
+    rng, texts = random.Random(6), []
+    for k in range(60):
+        words = [rng.choice(["km", "Tom", "Ann", "12", "3.5", "sheep", "and", "fence", ".", "buys"]) for _ in range(rng.choice([0, 1, 5, 9, 40]))]
+        texts.append(" ".join(words))
+    sizes = [(kind, size) for kind in (0, 1) for size in (3, 7, 8)]
+    bits = np.packbits(np.ones(1 << decontamination.BITS, dtype=bool), bitorder="little")
+    made = decontamination.Canonicaliser()
+
+    def rows(found, row=None):
+        return sorted(
+            (int(t) if row is None else row, int(w), int(p), int(a), tuple(s.tolist()))
+            for text, window, place, at, slots in found
+            for t, w, p, a, s in zip(text, window, place, at, slots)
+        )
+
+    together = rows(decontamination._document_windows(made.tokens(texts), sizes, bits))
+    each = [rows(decontamination._document_windows(made.tokens([t]), sizes, bits), k) for k, t in enumerate(texts)]
+    assert together == sorted(x for found in each for x in found) and len(together) > 1000
+
+
+def hits(item, document):
+    """The joined windows of one item in one document, as they are judged."""
+    made = decontamination.Canonicaliser()
+    hashes, slot, of = made.tokens([item])
+    last = len(decontamination._collapsed(hashes, slot, of)[0]) - 1
+    found = decontamination._item_windows(hashes, slot)
+    templates = sum(len(f[2]) for f in found if f[0] == 0)
+    windows = len(set().union(*(f[3].tolist() for f in found)))
+    bits = np.packbits(np.ones(1 << decontamination.BITS, dtype=bool), bitorder="little")
+    sizes = [(f[0], f[1]) for f in found]
+    seen = {}
+    for _, window, place, at, slots in decontamination._document_windows(made.tokens([document]), sizes, bits):
+        for w, p, a, s in zip(window.tolist(), place, at, slots):
+            seen.setdefault(w, []).append((p, a, s))
+    rows = [
+        (kind, p, a, n, len(hashes), last, templates, windows, dp, da, s, ds)
+        for kind, _, rolled, place, at, span, slots in found
+        for w, p, a, n, s in zip(rolled.tolist(), place, at, span, slots)
+        for dp, da, ds in seen.get(w, ())
+    ]
+    names = ["kind", "place", "at", "span", "tokens", "last", "templates", "windows", "doc_place", "doc_at", "slots", "doc_slots"]
+    columns = [pa.array([int(r[k]) for r in rows]) for k in range(10)]
+    columns += [pa.array([r[k].tolist() for r in rows], pa.list_(pa.int64())) for k in (10, 11)]
+    return pa.table(columns, names=names)
+
+
+def test_a_repeated_window_is_judged_at_once():
+    item = prose(3, 30)
+    few = hits(item, " ".join(item.split()[:8] + ["between", "them"] * 3) * 1000)
+    start = time.perf_counter()
+    assert decontamination._best(few, 0.5) is None
+    assert time.perf_counter() - start < 0.5
+    # A whole copy behind very many pieces is found.
+    late = hits(item, f"{' '.join(item.split()[:8] + ['x'] * 90) * 300} {item}")
+    assert decontamination._best(late, 0.5)[0] > 10
+
+
+def test_ties(spark):
+    passage, other = prose(3, 40), prose(4, 40)
+    docs = [(1, f"{passage}\n{prose(9, 50)}\n{passage}", 0, ""), (2, f"{passage} {other}", 0, "")]
+    found = decontamination.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string, item_id int, window string"),
+        spark.createDataFrame([(1, passage), (2, passage), (3, other)], "item_id long, text string"),
+    ).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (1, 2), (2, 1), (2, 2), (2, 3)]
+    assert all(r.verbatim for r in found)

@@ -64,21 +64,25 @@ class Canonicaliser:
     def __init__(self) -> None:
         self._memo = Memo(_token, 200_000)
 
-    def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the tokens of a text and what each is replaced by (0: a literal)."""
-        words = _TOKEN.findall(text)
-        if not words:
-            return np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    def tokens(self, many: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the tokens of texts, what each is replaced by (0: a literal), and its text."""
+        words, counts = [], np.zeros(len(many), dtype=np.int64)
+        for row, text in enumerate(many):
+            found = _TOKEN.findall(text)
+            counts[row] = len(found)
+            words += found
         told = np.fromiter(map(self._memo.__getitem__, words), dtype=np.int64, count=len(words))
         self._memo.age(words)
+        owner = np.repeat(np.arange(len(many)), counts)
         hashes, kinds = (told >> 3).astype(np.uint64), told & 7
-        before = np.concatenate(([_STOP], kinds[:-1]))
+        before = np.full(len(kinds), _STOP)
+        before[1:] = np.where(owner[1:] == owner[:-1], kinds[:-1], _STOP)
         slot = np.zeros(len(kinds), dtype=np.int64)
         slot[kinds == _NUMBER] = _NUMBER
         slot[(kinds == _UNIT) & (before == _NUMBER)] = _UNIT
         slot[(kinds == _CAPITAL) & (before != _STOP)] = _CAPITAL
         kept = kinds != _STOP
-        return hashes[kept], slot[kept]
+        return hashes[kept], slot[kept], owner[kept]
 
 
 def _window(count: int) -> int:
@@ -86,10 +90,10 @@ def _window(count: int) -> int:
     return WINDOW - 1 if 2 * WINDOW - 2 <= count <= 2 * WINDOW else min(WINDOW, count)
 
 
-def _collapsed(hashes: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _collapsed(hashes: np.ndarray, slot: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First token, kind and value (0: a literal) of each literal or run of equal placeholders."""
     begins = np.ones(len(slot), dtype=bool)
-    begins[1:] = (slot[1:] != slot[:-1]) | (slot[1:] == 0)
+    begins[1:] = (slot[1:] != slot[:-1]) | (slot[1:] == 0) | (owner[1:] != owner[:-1])
     starts = np.flatnonzero(begins)
     kinds, values = slot[starts], hashes[starts]
     if len(starts) < len(slot):
@@ -102,7 +106,7 @@ def _collapsed(hashes: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.nda
 
 def _rolled(mixed: np.ndarray, size: int, kind: int) -> np.ndarray:
     """Hash of each window of mixed tokens; windows of different kinds or sizes never meet."""
-    count, factor = len(mixed) - size + 1, 1
+    count, factor = max(0, len(mixed) - size + 1), 1
     total = np.full(count, 2 * size + kind, dtype=np.uint64)
     with np.errstate(over="ignore"):
         for k in range(size):
@@ -123,63 +127,93 @@ _SHAPE = (
     "kind int, size int, window long, place int, at int, span int, slots array<long>, tokens int, last int, "
     "templates int, windows int"
 )
+_DOC_SHAPE = "window long, doc_place int, doc_at int, doc_slots array<long>"
 
 
-def _found(hashes: np.ndarray, slot: np.ndarray, sizes, bits) -> list[tuple]:
-    """(kind, size, hashes, first tokens, places, tokens, slots) of the windows of a text that may matter.
-
-    Without ``sizes`` the text is an item.
-    """
-    starts, kinds, values = _collapsed(hashes, slot)
+def _item_windows(hashes: np.ndarray, slot: np.ndarray) -> list[tuple]:
+    """(kind, size, hashes, first tokens, places, tokens, slots) of the windows of an item."""
+    starts, kinds, values = _collapsed(hashes, slot, np.zeros(len(slot)))
     ends = np.append(starts, len(hashes))
     found = []
     for kind, flags in ((_TEMPLATE, kinds), (_RAW, slot)):
-        wanted_sizes = [_window(len(flags))] if sizes is None else [s for k, s in sizes if k == kind and s <= len(flags)]
-        if not wanted_sizes:
+        size = _window(len(flags))
+        literals = _literals(flags, size)
+        if kind == _TEMPLATE:
+            wanted = literals >= min(LITERALS, size)
+        else:
+            wanted = (literals < min(LITERALS, size)) | (len(hashes) < WINDOW)
+        kept = np.flatnonzero(wanted)
+        if not len(kept):
             continue
-        mixed = mix64(np.where(kinds > 0, kinds.astype(np.uint64), hashes[starts]) if kind == _TEMPLATE else hashes)
-        for size in wanted_sizes:
+        rolled = _rolled(_mixed(hashes, starts, kinds, kind), size, kind)
+        slots = np.zeros((len(kept), WINDOW), dtype=np.int64)
+        place, span = kept, np.full(len(kept), size)
+        if kind == _TEMPLATE:
+            slots[:, :size] = values[kept[:, None] + np.arange(size)]
+            place, span = starts[kept], ends[kept + size] - starts[kept]
+        found.append((kind, size, rolled[kept], place, kept, span, slots))
+    return found
+
+
+def _mixed(hashes: np.ndarray, starts: np.ndarray, kinds: np.ndarray, kind: int) -> np.ndarray:
+    """What windows are rolled over: literals and placeholders, or the tokens as they are."""
+    return mix64(np.where(kinds > 0, kinds.astype(np.uint64), hashes[starts]) if kind == _TEMPLATE else hashes)
+
+
+def _document_windows(tokens: tuple, sizes: list[tuple[int, int]], bits: np.ndarray) -> list[tuple]:
+    """(text, hash, first token, place, slots) of the windows of all texts of a piece that may be an item's.
+
+    The texts are rolled over together; what the bit set lets through is looked at more closely.
+    """
+    hashes, slot, owner = tokens
+    starts, kinds, values = _collapsed(hashes, slot, owner)
+    run_owner = owner[starts]
+    n = int(owner[-1]) + 1 if len(owner) else 0
+    token_first, run_first = (np.searchsorted(of, np.arange(n)) for of in (owner, run_owner))
+    found = []
+    for kind, of in ((_TEMPLATE, run_owner), (_RAW, owner)):
+        wanted = [size for k, size in sizes if k == kind and size <= len(of)]
+        mixed = _mixed(hashes, starts, kinds, kind) if wanted else None
+        for size in wanted:
             rolled = _rolled(mixed, size, kind)
-            if bits is not None:
-                at = (rolled >> _U64(64 - BITS)).astype(np.int64)
-                wanted = (bits[at >> 3] >> (at & 7) & 1).astype(bool)
-            else:
-                wanted = np.ones(len(rolled), dtype=bool)
-            if kind == _TEMPLATE:
-                wanted &= _literals(flags, size) >= min(LITERALS, size)
-            elif sizes is None:
-                wanted &= (_literals(flags, size) < min(LITERALS, size)) | (len(hashes) < WINDOW)
-            kept = np.flatnonzero(wanted)
+            bit = (rolled >> _U64(64 - BITS)).astype(np.int64)
+            kept = np.flatnonzero(bits[bit >> 3] >> (bit & 7) & 1)
+            kept = kept[of[kept] == of[kept + size - 1]]  # within one text
+            if kind == _TEMPLATE and len(kept):
+                kept = kept[(kinds[kept[:, None] + np.arange(size)] == 0).sum(axis=1) >= min(LITERALS, size)]
             if not len(kept):
                 continue
+            text = of[kept]
             slots = np.zeros((len(kept), WINDOW), dtype=np.int64)
+            place = kept - token_first[text]
+            at = place
             if kind == _TEMPLATE:
                 slots[:, :size] = values[kept[:, None] + np.arange(size)]
-                place, span = starts[kept], ends[kept + size] - starts[kept]
-            else:
-                place, span = kept, np.full(len(kept), size)
-            found.append((kind, size, rolled[kept], place, kept, span, slots))
+                place, at = starts[kept] - token_first[text], kept - run_first[text]
+            found.append((text, rolled[kept], place, at, slots))
     return found
 
 
-def _windows(source: DataFrame, id_name: str, allowed=None, sizes=None) -> DataFrame:
-    """The id and what `_SHAPE` says of each window that may matter: where it begins in tokens
-    (place) and in runs (at), its tokens (span), and counts of the text's tokens, runs and windows."""
+def _slots_array(slots: np.ndarray) -> pa.Array:
+    ends = np.arange(0, slots.size + 1, WINDOW, dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(slots.ravel()))
+
+
+def item_windows(source: DataFrame) -> DataFrame:
+    """item_id and what `_SHAPE` says of each window: where it begins in tokens (place) and in runs (at),
+    its tokens (span), and counts of the item's tokens, runs and windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         canonicaliser = Canonicaliser()
-        bits = None if allowed is None else np.frombuffer(allowed.value, dtype=np.uint8)
         for batch in batches:
             for part in in_pieces(batch):
                 owner, parts = [], []
                 for row, text in enumerate(part.column("text").to_pylist()):
-                    hashes, slot = canonicaliser.tokens(text)
-                    if not len(hashes):
-                        continue
-                    found = _found(hashes, slot, sizes, bits)
+                    hashes, slot, of = canonicaliser.tokens([text])
+                    found = _item_windows(hashes, slot) if len(hashes) else []
                     if not found:
                         continue
-                    last = len(_collapsed(hashes, slot)[0]) - 1
+                    last = len(_collapsed(hashes, slot, of)[0]) - 1
                     templates = sum(len(f[2]) for f in found if f[0] == _TEMPLATE)
                     windows = len(set().union(*(f[3].tolist() for f in found)))
                     for kind, size, rolled, place, at, span, slots in found:
@@ -195,14 +229,36 @@ def _windows(source: DataFrame, id_name: str, allowed=None, sizes=None) -> DataF
                 for name, *arrays in zip(_COLUMNS, *parts):
                     flat = np.concatenate(arrays)
                     if name == "slots":
-                        ends = np.arange(0, flat.size + 1, WINDOW, dtype=np.int32)
-                        columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.ravel())))
+                        columns.append(_slots_array(flat))
                     else:
                         columns.append(pa.array(flat if name == "window" else flat.astype(np.int32)))
                 ids = part.column("doc_id").take(pa.array(np.concatenate(owner)))
-                yield pa.RecordBatch.from_arrays([ids, *columns], [id_name, *_COLUMNS])
+                yield pa.RecordBatch.from_arrays([ids, *columns], ["item_id", *_COLUMNS])
 
-    return source.mapInArrow(run, f"{id_name} {source.dtypes[0][1]}, {_SHAPE}")
+    return source.mapInArrow(run, f"item_id {source.dtypes[0][1]}, {_SHAPE}")
+
+
+def document_windows(source: DataFrame, sizes: list[tuple[int, int]], allowed) -> DataFrame:
+    """doc_id and what `_DOC_SHAPE` says of each window that may be an item's."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        canonicaliser = Canonicaliser()
+        bits = np.frombuffer(allowed.value, dtype=np.uint8)
+        for batch in batches:
+            for part in in_pieces(batch, 1 << 20):
+                found = _document_windows(canonicaliser.tokens(part.column("text").to_pylist()), sizes, bits)
+                if not found:
+                    continue
+                text, rolled, place, at, slots = (np.concatenate(arrays) for arrays in zip(*found))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id").take(pa.array(text)), pa.array(rolled.view(np.int64)),
+                        pa.array(place.astype(np.int32)), pa.array(at.astype(np.int32)), _slots_array(slots),
+                    ],
+                    ["doc_id", "window", "doc_place", "doc_at", "doc_slots"],
+                )
+
+    return source.mapInArrow(run, f"doc_id {source.dtypes[0][1]}, {_DOC_SHAPE}")
 
 
 def _chain(place: np.ndarray, there: np.ndarray, tokens: int) -> np.ndarray:
@@ -270,6 +326,31 @@ def _judged(rows: dict, chosen: np.ndarray, share: float) -> tuple | None:
     return matched, len(pairs), bool((pairs[:, 0] == pairs[:, 1]).all())
 
 
+def _could(rows: dict, most: int, share: float) -> bool:
+    """Whether a chain of at most ``most`` of the windows can be enough. What they cover together, and
+    each criterion by itself, is at least what any chain of them gives."""
+    places, templates = np.unique(rows["place"]), np.unique(rows["place"][rows["kind"] == _TEMPLATE])
+    tokens, widest = int(rows["tokens"].max()), int(rows["span"].max())
+    edges = np.zeros(tokens + 1, dtype=np.int64)
+    np.add.at(edges, rows["place"], 1)
+    np.add.at(edges, np.minimum(rows["place"] + rows["span"], tokens), -1)
+    covered = np.cumsum(edges[:-1]) > 0
+    breaks = np.flatnonzero(~covered)
+    longest = np.diff(np.concatenate(([-1], breaks, [tokens]))).max() - 1
+    return bool(
+        min(most, len(places)) >= share * rows["windows"][0]
+        or 0 < min(most, len(templates)) >= share * rows["templates"][0]
+        or min(most * widest, covered.sum()) >= max(share, COVERED) * tokens
+        or min(most * widest, longest) >= RUN
+    )
+
+
+def _stretches(doc_place: np.ndarray, tokens: int) -> list[slice]:
+    """Hits in the order of the document, cut where a gap is too wide for any chain."""
+    cuts = np.flatnonzero(np.diff(doc_place) > 2 * tokens) + 1
+    return [slice(a, b) for a, b in zip(np.append(0, cuts), np.append(cuts, len(doc_place)))]
+
+
 def _best(table: pa.Table, share: float) -> tuple | None:
     """What is to be said of one item in one document, or nothing."""
     names = ["kind", "place", "at", "span", "tokens", "last", "templates", "windows", "doc_place", "doc_at"]
@@ -278,15 +359,20 @@ def _best(table: pa.Table, share: float) -> tuple | None:
         rows[name] = table.column(name).combine_chunks().flatten().to_numpy().reshape(-1, WINDOW)
     order = np.lexsort((rows["kind"], rows["place"], rows["doc_place"]))
     rows = {n: v[order] for n, v in rows.items()}
-    while len(order):
-        point = np.stack([rows["doc_place"], rows["place"]], axis=1).astype(np.int64)
-        points, of = np.unique(point, axis=0, return_inverse=True)
-        taken = np.isin(of.ravel(), _chain(points[:, 1], points[:, 0], int(rows["tokens"][0])))
-        found = _judged(rows, np.flatnonzero(taken), share)
-        if found:
-            return found
-        order = order[~taken]  # the next occurrence
-        rows = {n: v[~taken] for n, v in rows.items()}
+    for stretch in _stretches(rows["doc_place"], int(rows["tokens"][0])):
+        here = {n: v[stretch] for n, v in rows.items()}
+        most = len(here["place"])
+        while len(here["place"]) and _could(here, most, share):
+            point = np.stack([here["doc_place"], here["place"]], axis=1).astype(np.int64)
+            points, of = np.unique(point, axis=0, return_inverse=True)
+            chain = _chain(points[:, 1], points[:, 0], int(here["tokens"][0]))
+            taken = np.isin(of.ravel(), chain)
+            found = _judged(here, np.flatnonzero(taken), share)
+            if found:
+                return found
+            # The next occurrence; no chain of it has more windows, but for what moves have cost this one.
+            most = len(chain) + len(chain) // 50 + 1
+            here = {n: v[~taken] for n, v in here.items()}
     return None
 
 
@@ -313,7 +399,7 @@ def contaminated(
     """
     spark = docs.sparkSession
     items = texts(benchmark, item_col, item_text_col).filter("doc_id IS NOT NULL")
-    wanted = written(_windows(items, "item_id"), "benchmark-windows")
+    wanted = written(item_windows(items), "benchmark-windows")
     places = wanted.select(F.shiftrightunsigned("window", 64 - BITS).alias("bit")).distinct()
     bits = np.zeros(1 << BITS, dtype=bool)
     at = places.toPandas()["bit"].to_numpy(dtype=np.int64)  # 2 ** BITS at most
@@ -321,9 +407,7 @@ def contaminated(
     allowed = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
     sizes = [tuple(r) for r in wanted.select("kind", "size").distinct().collect()]  # 2 * WINDOW at most
     known = texts(docs, id_col, text_col).filter("doc_id IS NOT NULL")
-    here = _windows(known, "doc_id", allowed, sizes).select(
-        "doc_id", "window", F.col("place").alias("doc_place"), F.col("at").alias("doc_at"), F.col("slots").alias("doc_slots")
-    )
+    here = document_windows(known, sizes, allowed)
     types = f"doc_id {known.dtypes[0][1]}, item_id {items.dtypes[0][1]}"
 
     def judge(table: pa.Table) -> pa.Table:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voltlake.llm.common import texts
+from voltlake.llm.common import texts, written
 from voltlake.llm.features import byte_grams
 from voltlake.llm.rank_bpe import in_pieces
 
@@ -171,16 +171,24 @@ def fit(
     families: Mapping[str, tuple[str, ...]] = FAMILIES,
 ) -> LanguageModel | None:
     """Fits on ``sample`` documents of each language at most, those with the smallest hashed ids
-    among the rows where ``learn`` holds and text and language are not null; None without any."""
+    among the rows where ``learn`` holds and text and language are not null; None without any.
+
+    Ids are ranked without their texts, which are fetched for the chosen ones alone. Rows that repeat id and
+    text are learned from once.
+    """
     labelled = docs.filter(learn).select(
         F.xxhash64(id_col).alias("place"),
         F.col(text_col).alias("text"),
         F.col(lang_col).alias("lang"),
     )
     labelled = labelled.filter("text IS NOT NULL AND lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    first = Window.partitionBy("lang").orderBy("place", "text")
-    chosen = labelled.withColumn("number", F.row_number().over(first)).filter(F.col("number") <= sample)
-    examples = [(r.text, r.lang) for r in chosen.select("text", "lang").toLocalIterator()]
+    labelled = labelled.withColumn("mark", F.xxhash64("text"))
+    key = ["lang", "place", "mark"]
+    first = Window.partitionBy("lang").orderBy("place", "mark")
+    ranked = labelled.select(*key).withColumn("number", F.row_number().over(first))
+    chosen = written(ranked.filter(F.col("number") <= sample).select(*key).distinct(), "language-sample")
+    fetched = labelled.join(chosen, key, "left_semi").dropDuplicates(key)
+    examples = [(r.text, r.lang) for r in fetched.select("text", "lang").toLocalIterator()]
     return fit_rows(examples, families) if examples else None
 
 

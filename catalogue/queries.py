@@ -551,7 +551,7 @@ def _refreshed_states(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "marts")
     readings = stored(_readings(spark, sf_dir), "readings", ("month_key",))
     before, batch = readings.filter(~_arrived_late()), readings.filter(_arrived_late())
-    marts.refresh_states(before, marts.touched_days(before), root)
+    marts.refresh_states(before, None, root)
     marts.refresh_states(readings, marts.touched_days(batch), root)
     return marts.read_states(spark, root)
 

@@ -27,6 +27,8 @@ def number_new(spark: SparkSession, path: str, rows: DataFrame, key: str) -> Dat
     known = numbers(spark, path, key, rows.schema[key].dataType.simpleString())
     new = rows.select(key).filter(F.col(key).isNotNull()).distinct().join(known, key, "left_anti")
     cut = stored(new.repartitionByRange(key).withColumn("_range", F.spark_partition_id()), "new-keys")
+    if cut.isEmpty():
+        return known
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
         "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")
@@ -36,6 +38,6 @@ def number_new(spark: SparkSession, path: str, rows: DataFrame, key: str) -> Dat
     numbered = cut.join(F.broadcast(ranges), "_range").select(
         key, (used + F.col("_before") + within).cast("long").alias("number")
     )
-    # Taken from a written table first: the numbers depend on what is in ``path`` now.
-    stored(numbered, "new-numbers").write.mode("append").parquet(path)
+    # The keys lie in a table of their own, and the files that hold the largest number so far stay as they are.
+    numbered.write.mode("append").parquet(path)
     return numbers(spark, path, key, rows.schema[key].dataType.simpleString())

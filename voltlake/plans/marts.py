@@ -78,13 +78,18 @@ def touched_days(rows: DataFrame) -> DataFrame:
     return rows.select(*[_day(c).alias(c) for c in DAY]).distinct()
 
 
-def refresh_states(readings: DataFrame, days: DataFrame, root: str) -> None:
+def refresh_states(readings: DataFrame, days: DataFrame | None, root: str) -> None:
     """Recomputes the states of ``days`` (month_key, date_key; see :func:`touched_days`) from all
     ``readings`` and publishes them below ``root``. A day that has no reading left gets an empty state.
+    None stands for all days of ``readings``.
 
     ``readings`` should be partitioned by month_key: the days then prune what is read of it.
     """
     spark = readings.sparkSession
+    if days is None:
+        known = number_new(spark, f"{root}/{HOUSEHOLD_NUMBERS}", readings, "household_id")
+        _write(usage_states(readings, known), f"{root}/{USAGE_STATES}")
+        return
     # Says that few days are wanted, so that Spark prunes partitions by them as it runs.
     days = days.filter(F.col("date_key") >= UNDATED)
     keyed = readings.withColumns({f"_{c}": _day(c) for c in DAY})

@@ -4,7 +4,8 @@ Lines that begin with ``>`` are quoted, one level deeper for each. Quoted passag
 and hashed, and joined to the messages of the same conversation that said them first: whole
 bodies, paragraphs and lines. What a message quotes at its first level is what it answers.
 Only messages with a quote are taken apart; everything is a join, a grouping or a window over the
-messages of one line of text, never over a whole conversation.
+lines of one message or over a stretch of a conversation's turns, never over a whole conversation.
+A message goes by a digest of its four columns, so that no line carries the text it is from.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ HAS_QUOTE = r"(?m)^[ \t]*>"
 # The line mail programs put above a quote.
 ATTRIBUTION = r"(?i)^[ \t]*(on .{1,200} wrote|am .{1,200} schrieb .{0,100}|le .{1,200} a écrit|el .{1,200} escribió)\s*:[ \t]*$"
 STRETCH = 1000  # turns that are put in order together
-MESSAGE = ("conv_id", "turn", "role", "said")
+MESSAGE = ("conv_id", "turn", "message")
 
 
 def normalised(text: Column) -> Column:
@@ -30,6 +31,11 @@ def _hashed(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 
 
+def _message_id(*columns: str) -> Column:
+    """A digest of all columns, with nulls told from texts."""
+    return _hashed(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+
+
 def _units(text: Column) -> Column:
     """A text as a whole, its paragraphs and its lines."""
     return F.array_union(F.array(text), F.array_union(F.split(text, r"\n\s*\n"), F.split(text, "\n")))
@@ -43,7 +49,7 @@ def parsed_lines(quoting: DataFrame) -> DataFrame:
     lines = quoting.select(*MESSAGE, F.posexplode(F.split("said", "\n")).alias("line", "raw"))
     marks = F.regexp_extract("raw", QUOTE, 0)
     # Backwards, as Spark reads a window up to the end anew for every row.
-    upwards = Window.partitionBy(*MESSAGE).orderBy(F.desc("line"))
+    upwards = Window.partitionBy("message").orderBy(F.desc("line"))
     filled = F.when(normalised(F.col("content")) != "", F.col("level"))
     below = F.last(filled, ignorenulls=True).over(upwards.rowsBetween(Window.unboundedPreceding, -1))
     following = F.greatest(F.lag("level", 1, 0).over(upwards), F.coalesce(below, F.lit(0)))
@@ -56,7 +62,7 @@ def parsed_lines(quoting: DataFrame) -> DataFrame:
 
 def passages(lines: DataFrame) -> DataFrame:
     """Quoted passages: lines of one level that follow each other, and the paragraphs and lines of them."""
-    order = Window.partitionBy(*MESSAGE).orderBy("line")
+    order = Window.partitionBy("message").orderBy("line")
     begins = (F.col("level") != F.lag("level", 1, -1).over(order)).cast("int")
     quoted = (
         lines.filter("NOT attribution")
@@ -88,9 +94,8 @@ def originals(bodies: DataFrame) -> DataFrame:
     )
 
 
-def _previous_turns(messages: DataFrame) -> DataFrame:
+def _previous_turns(turns: DataFrame) -> DataFrame:
     """conv_id, turn, and the turn before it; stretches of a long conversation one by one."""
-    turns = messages.select("conv_id", "turn").distinct()
     turns = turns.withColumn("stretch", F.floor(F.col("turn") / STRETCH))
     within = Window.partitionBy("conv_id", "stretch").orderBy("turn")
     over = Window.partitionBy("conv_id").orderBy("stretch")
@@ -107,6 +112,36 @@ def _previous_turns(messages: DataFrame) -> DataFrame:
     )
 
 
+def latest_before(asked: DataFrame, said: DataFrame) -> DataFrame:
+    """conv_id, hash, turn, source: the latest earlier turn that said what a turn asks for.
+
+    Both sides hold distinct conv_id, hash, turn. A passage that a conversation says in all its turns is looked up
+    stretch by stretch, with the last turn of earlier stretches handed on.
+    """
+    # At one turn, who asks comes before who says it, so that nobody quotes the own turn.
+    both = (
+        asked.withColumn("asking", F.lit(0))
+        .unionByName(said.withColumn("asking", F.lit(1)))
+        .withColumn("stretch", F.floor(F.col("turn") / STRETCH))
+    )
+    saying = F.max(F.when(F.col("asking") == 1, F.col("turn")))
+    passed = Window.unboundedPreceding, -1
+    within = Window.partitionBy("conv_id", "hash", "stretch").orderBy("turn", "asking").rowsBetween(*passed)
+    over = Window.partitionBy("conv_id", "hash").orderBy("stretch").rowsBetween(*passed)
+    earlier = (
+        both.groupBy("conv_id", "hash", "stretch")
+        .agg(saying.alias("last"))
+        .select("conv_id", "hash", "stretch", F.max("last").over(over).alias("earlier"))
+    )
+    return (
+        both.withColumn("near", saying.over(within))
+        .filter("asking = 0")
+        .join(earlier, ["conv_id", "hash", "stretch"])
+        .select("conv_id", "hash", "turn", F.coalesce("near", "earlier").alias("source"))
+        .filter("source IS NOT NULL")
+    )
+
+
 def reply_order(
     conversations: DataFrame,
     conv_col: str = "conv_id",
@@ -135,77 +170,68 @@ def reply_order(
         )
         .groupBy("conv_id", "turn", "role", "said")
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("quoting", F.col("said").rlike(HAS_QUOTE)),
+        .withColumn("quoting", F.col("said").rlike(HAS_QUOTE))
+        .withColumn("message", _message_id("conv_id", "turn", "role", "said")),
         "messages",
     )
     lines = written(parsed_lines(messages.filter("quoting")), "quoted-lines")
-    own = (
+    own = written(
         lines.filter("level = 0 AND NOT attribution")
-        .groupBy(*MESSAGE)
+        .groupBy("message")
         .agg(F.sort_array(F.collect_list(F.struct("line", "raw"))).alias("parts"))
-        .select(*MESSAGE, F.trim(F.array_join(F.col("parts.raw"), "\n")).alias("own"))
-    )
-    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in MESSAGE]
-    quoting = messages.filter("quoting").alias("m").join(own.alias("o"), same, "left").select(
-        "m.*", F.coalesce(F.regexp_replace("o.own", r"^\s+|\s+$", ""), F.lit("")).alias("body")
+        .select("message", F.regexp_replace(F.array_join(F.col("parts.raw"), "\n"), r"^\s+|\s+$", "").alias("own")),
+        "own-lines",
     )
-    bodies = messages.filter("NOT quoting").withColumn("body", F.col("said")).unionByName(quoting)
 
     # Each quoted passage and the latest message before that said it.
     quoted = written(passages(lines), "passages")
     asked = quoted.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
     talked = asked.select("conv_id").distinct()
-    said = (
-        originals(bodies.join(talked, "conv_id", "left_semi"))
-        .join(asked.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
-    )
-    before = Window.partitionBy("conv_id", "hash").orderBy("turn", "asking").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    places = asked.select("conv_id", "hash", "turn").distinct()
-    # At one turn, who asks comes before who says it, so that nobody quotes the own turn.
-    found = (
-        places.withColumn("asking", F.lit(0))
-        .unionByName(said.withColumn("asking", F.lit(1)))
-        .withColumn("source", F.max(F.when(F.col("asking") == 1, F.col("turn"))).over(before))
-        .filter("asking = 0 AND source IS NOT NULL")
-        .select("conv_id", "hash", "turn", "source")
+    # Only conversations in which something is quoted are looked through.
+    answering = messages.join(talked, "conv_id", "left_semi").filter("turn IS NOT NULL")
+    bodies = (
+        answering.filter("NOT quoting").select("conv_id", "turn", F.col("said").alias("body"))
+    ).unionByName(
+        answering.filter("quoting").select(*MESSAGE).join(own, "message").select("conv_id", "turn", F.col("own").alias("body"))
     )
+    said = originals(bodies).join(asked.select("conv_id", "hash").distinct(), ["conv_id", "hash"], "left_semi")
+    found = latest_before(asked.select("conv_id", "hash", "turn").distinct(), said)
     links = written(asked.join(found, ["conv_id", "hash", "turn"]), "quote-links")
-    votes = links.filter("level = 1").groupBy(*MESSAGE, "source").agg(F.sum("size").alias("size"))
-    chosen = votes.groupBy(*MESSAGE).agg(F.max(F.struct("size", "source")).alias("best"))
-    counted = quoted.groupBy(*MESSAGE).agg(F.count(F.lit(1)).alias("quotes"))
-    matched = links.groupBy(*MESSAGE).agg(F.count(F.lit(1)).alias("linked"))
-    told = counted.alias("m")
-    for name, frame in (("matched", matched), ("chosen", chosen)):
-        on = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in MESSAGE]
-        more = "linked" if name == "matched" else "best"
-        told = told.join(frame.alias("o"), on, "left").select("m.*", f"o.{more}").alias("m")
-    told = written(told, "quotes-of-messages")
-
-    # Who quotes nobody answers the turn before.
-    on = [F.col(f"m.{c}").eqNullSafe(F.col(f"o.{c}")) for c in MESSAGE]
-    answered = (
-        bodies.alias("m")
-        .join(told.alias("o"), on, "left")
-        .select("m.*", "o.quotes", "o.linked", F.col("o.best.source").alias("source"))
-        .join(_previous_turns(messages.filter("conv_id IS NOT NULL AND turn IS NOT NULL")), ["conv_id", "turn"], "left")
-        .withColumn("parent_turn", F.coalesce("source", "previous"))
+    votes = links.filter("level = 1").groupBy("message", "source").agg(F.sum("size").alias("size"))
+    chosen = votes.groupBy("message").agg(F.max(F.struct("size", "source")).alias("best"))
+    counted = quoted.groupBy("message").agg(F.count(F.lit(1)).alias("quotes"))
+    matched = links.groupBy("message").agg(F.count(F.lit(1)).alias("linked"))
+    told = counted.join(matched, "message", "left").join(chosen, "message", "left")
+
+    # Who quotes nobody answers the turn before. Texts come to it last.
+    ids = messages.select(*MESSAGE)
+    turns = ids.filter("conv_id IS NOT NULL AND turn IS NOT NULL").select("conv_id", "turn").distinct()
+    answered = written(
+        ids.join(told, "message", "left")
+        .join(_previous_turns(turns), ["conv_id", "turn"], "left")
+        .select(*MESSAGE, "quotes", "linked", F.coalesce("best.source", "previous").alias("parent_turn")),
+        "answered",
     )
     branches = _branches(answered, links.select("conv_id").distinct())
-    first = messages.groupBy("conv_id").agg(F.min("turn").alias("first"))
-    return (
+    first = ids.groupBy("conv_id").agg(F.min("turn").alias("first"))
+    placed = (
         answered.join(first, "conv_id", "left")
         .join(branches, ["conv_id", "turn"], "left")
+        .select("message", "parent_turn", "quotes", "linked", F.coalesce("branch", "first").alias("branch"))
+    )
+    body = F.when(F.col("quoting"), F.coalesce("own", F.lit(""))).otherwise(F.col("said"))
+    return (
+        messages.join(placed, "message")
+        .join(own, "message", "left")
         .select(
             "conv_id",
             "turn",
             "role",
             "parent_turn",
-            F.when(F.col("turn").isNotNull(), F.coalesce("branch", "first")).alias("branch"),
+            F.when(F.col("turn").isNotNull(), F.col("branch")).alias("branch"),
             F.coalesce("quotes", F.lit(0)).cast("long").alias("quotes"),
             F.coalesce("linked", F.lit(0)).cast("long").alias("linked"),
-            "body",
+            body.alias("body"),
             "copies",
         )
     )

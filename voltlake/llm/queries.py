@@ -58,7 +58,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, held_out = _table(spark, sf_dir, "documents"), is_fold(5, 0)
     model = toxicity.fit(documents, _table(spark, sf_dir, "labels"), ~held_out)
     found = toxicity.score(documents, model)
-    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    swaps = F.lit(model.swaps).cast("long").alias("swaps"), F.lit(model.swap_change).alias("swap_change")
+    return found.select("doc_id", held_out.alias("held_out"), "score", "predicted", *swaps)
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

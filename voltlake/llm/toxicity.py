@@ -6,7 +6,8 @@ text with the mention replaced by other groups of its list. Training minimises
     logistic loss  +  l2 * |w|^2  +  fairness * mean (score(text) - score(counterfactual))^2
 
 on the log-odds, so that the weight of an insult stays while the weight of a mention cannot grow
-just because mentions and insults met in the sample. A text is seen as the set of its words and
+just because mentions and insults met in the sample. To the given lists of groups come sets learned from
+the sample (``learned_groups``): words that labels do not tell apart and that fill the same contexts. A text is seen as the set of its words and
 their beginnings, which also know the unseen forms of a known stem; features are kept if they
 tell labels apart in the sample, and those of the group terms always.
 
@@ -16,6 +17,7 @@ The classifier is fitted on ``sample`` labelled rows at most; scoring covers eve
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voltlake.llm.chunks import Memo
-from voltlake.llm.common import texts
+from voltlake.llm.common import texts, written
 from voltlake.llm.rank_bpe import in_pieces
 
 # Neutral words for groups of people. The members of a list can stand in for each
@@ -68,13 +70,71 @@ def all_features(words: set[str]) -> np.ndarray:
     return np.unique(np.array([f for w in words for f in features_of(w)], dtype=np.uint64))
 
 
-def counterfactuals(words: set[str], groups: Sequence[Sequence[str]] = GROUPS) -> list[set[str]]:
-    """The words of a text with each mention of a group replaced by every other of its list."""
-    found = []
+def counterfactuals(words: set[str], groups: Sequence[Sequence[str]] = GROUPS) -> Iterator[tuple[str, str]]:
+    """The swaps a text gets: each mention of a group, with every other of its list that the text does not name."""
     for group in groups:
         named = words.intersection(group)
-        for term in sorted(named):
-            found += [words - {term} | {other} for other in group if other not in named]
+        yield from ((term, other) for term in sorted(named) for other in group if other not in named)
+
+
+def learned_groups(
+    sample: DataFrame,
+    terms: int = 100,
+    at_least: int = 20,
+    neutral: float = 2.0,
+    alike: float = 0.6,
+    size: int = 4,
+    known: Iterable[str] = (),
+) -> list[tuple[str, ...]]:
+    """Sets of words that can stand in for each other in the texts (``text``, ``label``) of a bounded sample.
+
+    A term is one of the ``terms`` most frequent words that are in ``at_least`` texts, whose shares in both classes
+    differ by less than ``neutral`` standard errors, and that are not ``known``. Its contexts are the terms left and right
+    of it. From the most frequent term on, each takes the ``size`` - 1 terms still free whose contexts are most ``alike``
+    (cosine of square roots).
+    """
+    words = sample.select("label", F.expr(r"regexp_extract_all(lower(text), '\\p{L}+', 0)").alias("words"))
+    sizes = {r[0]: r[1] for r in sample.groupBy("label").count().collect()}
+    none, some = sizes.get(0, 0), sizes.get(1, 0)
+    if not none or not some:
+        return []
+    share = F.col("seen") / (none + some)
+    error = F.sqrt(share * (1 - share) * (1 / none + 1 / some))
+    apart = F.abs(F.col("toxic") / some - (F.col("seen") - F.col("toxic")) / none)
+    seen = (
+        words.select("label", F.explode(F.array_distinct("words")).alias("word"))
+        .groupBy("word")
+        .agg(F.count(F.lit(1)).alias("seen"), F.sum("label").alias("toxic"))
+        .filter((F.col("seen") >= at_least) & (apart <= neutral * error))
+        .filter(~F.col("word").isin(list(known)))
+        .orderBy(F.desc("seen"), "word")
+        .limit(terms)
+    )
+    chosen = [r.word for r in seen.collect()]
+    place = {word: k for k, word in enumerate(chosen)}
+    pairs = words.select(F.explode(F.expr("arrays_zip(words, slice(words, 2, size(words))) AS p")).alias("p"))
+    met = (
+        pairs.select(F.col("p.words").alias("left"), F.col("p.1").alias("right"))
+        .filter(F.col("left").isin(chosen) & F.col("right").isin(chosen))
+        .groupBy("left", "right")
+        .count()
+    )
+    table = np.zeros((len(chosen), 2 * len(chosen)))
+    for left, right, count in met.collect():  # terms x terms rows at most
+        table[place[left], place[right]] = count
+        table[place[right], len(chosen) + place[left]] = count
+    table = np.sqrt(table)
+    near = table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
+    near = near @ near.T
+    free, found = dict.fromkeys(range(len(chosen))), []
+    for k in range(len(chosen)):
+        if k in free:
+            del free[k]
+            fitting = sorted((o for o in free if near[k, o] >= alike), key=lambda o: (-near[k, o], o))[: size - 1]
+            for other in fitting:
+                del free[other]
+            if fitting:
+                found.append((chosen[k], *(chosen[o] for o in fitting)))
     return found
 
 
@@ -82,6 +142,8 @@ def counterfactuals(words: set[str], groups: Sequence[Sequence[str]] = GROUPS) -
 class ToxicityModel:
     weights: dict[int, float]  # by the hash of a feature
     bias: float
+    swaps: int = 0  # counterfactuals of the sample
+    swap_change: float = 0.0  # by how much they change the log-odds, in the mean
 
     def log_odds(self, words: set[str], kept: Memo) -> float:
         named = set()
@@ -109,14 +171,21 @@ def fit_rows(
     A feature is kept if it is in ``at_least`` texts and its shares in both classes differ by
     ``clear`` standard errors.
     """
-    # Of each text no more than its features is kept, and its words if it mentions a group.
-    told, labels, mentions = [], [], []
+    # Of each text no more than its features is kept. Swaps are kept by what they change, and counted.
+    told, labels = [], []
     terms = {term for group in groups for term in group}
+    parts = {term: frozenset(features_of(term)) for term in terms}
+    changes: Counter[tuple[frozenset[int], frozenset[int]]] = Counter()
     for text, label in examples:
         words = words_of(text)
         told.append(all_features(words))
         labels.append(label)
-        mentions.append(words if words & terms else None)
+        if words & terms:
+            holders = Counter(f for word in words for f in features_of(word))
+            for term, other in counterfactuals(words, groups):
+                gone = frozenset(f for f in parts[term] - parts[other] if holders[f] == 1)
+                come = frozenset(f for f in parts[other] if f not in holders)
+                changes[gone, come] += 1
     labels = np.array(labels, dtype=np.float64)
     if not len(labels) or labels.min() == labels.max():
         # Nothing to tell apart: the one label there is, or none.
@@ -137,14 +206,11 @@ def fit_rows(
     rows, columns = rows[new_place >= 0].astype(np.int64), new_place[new_place >= 0]
     del place, new_place
     swapped: list[tuple[int, int, float]] = []
-    pairs = 0
-    for words in filter(None, mentions):
-        own = {number[f] for f in all_features(words).tolist() if f in number}
-        for other in counterfactuals(words, groups):
-            theirs = {number[f] for f in all_features(other).tolist() if f in number}
-            swapped += [(pairs, f, 1.0) for f in own - theirs] + [(pairs, f, -1.0) for f in theirs - own]
-            pairs += 1
+    for pair, (gone, come) in enumerate(changes):
+        swapped += [(pair, number[f], 1.0) for f in gone] + [(pair, number[f], -1.0) for f in come]
     pair, part, sign = (np.array(c) for c in zip(*swapped)) if swapped else (np.zeros(0, int),) * 3
+    pairs, swaps = len(changes), sum(changes.values())
+    often = np.array(list(changes.values()), dtype=np.float64) / max(swaps, 1)
     n, size = len(labels), len(kept)
     # Both classes weigh the same.
     weight = np.where(labels > 0, n / (2 * sizes[1]), n / (2 * sizes[0]))
@@ -157,7 +223,7 @@ def fit_rows(
         bent[:-1] += 2 * l2 * probe[:-1]
         if pairs:
             apart = np.bincount(pair, sign * probe[part], minlength=pairs)
-            bent[:-1] += 2 * fairness / pairs * np.bincount(part, sign * apart[pair], minlength=size)
+            bent[:-1] += 2 * fairness * np.bincount(part, sign * (often * apart)[pair], minlength=size)
         steep, probe = 1.3 * np.linalg.norm(bent), bent
     w, b = np.zeros(size), 0.0
     ahead_w, ahead_b, pace = w, b, 1.0
@@ -167,14 +233,15 @@ def fit_rows(
         slope = np.bincount(columns, error[rows], minlength=size) + 2 * l2 * ahead_w
         if pairs:
             apart = np.bincount(pair, sign * ahead_w[part], minlength=pairs)
-            slope += 2 * fairness / pairs * np.bincount(part, sign * apart[pair], minlength=size)
+            slope += 2 * fairness * np.bincount(part, sign * (often * apart)[pair], minlength=size)
         new_w, new_b = ahead_w - slope / steep, ahead_b - error.sum() / steep
         new_pace = (1 + np.sqrt(1 + 4 * pace * pace)) / 2
         ahead_w = new_w + (pace - 1) / new_pace * (new_w - w)
         ahead_b = new_b + (pace - 1) / new_pace * (new_b - b)
         w, b, pace = new_w, new_b, new_pace
     odds = np.bincount(rows, w[columns], minlength=n) + b
-    return ToxicityModel({f: float(v) for f, v in zip(kept, w)}, float(b - _border(odds, labels)))
+    changed = float(often @ np.abs(np.bincount(pair, sign * w[part], minlength=pairs))) if pairs else 0.0
+    return ToxicityModel({f: float(v) for f, v in zip(kept, w)}, float(b - _border(odds, labels)), swaps, changed)
 
 
 def _border(odds: np.ndarray, labels: np.ndarray) -> float:
@@ -199,10 +266,13 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
+    groups: Sequence[Sequence[str]] = GROUPS,
+    terms: int = 100,
     **options,
 ) -> ToxicityModel:
     """Fits on ``sample`` rows at most: those labelled 0 or 1 where ``learn`` (of the labels'
-    columns) holds, with the smallest hashed ids. A document labelled both ways counts as 1."""
+    columns) holds, with the smallest hashed ids. A document labelled both ways counts as 1.
+    To ``groups`` come the sets that ``learned_groups`` finds among the sample's ``terms`` words."""
     labelled = (
         labels.filter(learn & F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull())
         .groupBy(F.col(id_col).alias("__id"))
@@ -211,9 +281,11 @@ def fit(
     chosen = labelled.orderBy(F.xxhash64("__id"), "__id").limit(sample)
     # ``sample`` rows of an id and a label: small enough to go to every task.
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("__id")).select(
-        F.coalesce(F.col(text_col), F.lit("")).alias("text"), "__label"
+        F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.col("__label").alias("label")
     )
-    return fit_rows(((r[0], r[1]) for r in rows.toLocalIterator()), **options)
+    rows = written(rows, "toxicity-sample")
+    learned = learned_groups(rows, terms, known={term for group in groups for term in group})
+    return fit_rows(((r[0], r[1]) for r in rows.toLocalIterator()), [*groups, *learned], **options)
 
 
 def _log_odds(model: ToxicityModel, kept: Memo, batch: list[str]) -> np.ndarray:

@@ -1,8 +1,10 @@
+import bisect
 import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
 
+from voltlake.functions.columns import with_range_buckets
 from voltlake.session import work_dir
 from voltlake.sources import snapshots as S
 
@@ -186,3 +188,16 @@ def test_a_partitioned_table_survives_appends_compaction_and_clustering(spark, p
     assert rows(S.read_snapshot(spark, path)) == want and pruned()
     S.cluster(spark, path, ["v"])
     assert rows(S.read_snapshot(spark, path)) == want and pruned()
+
+
+def test_buckets_of_many_bounds_are_exact_and_leave_the_plan_small(spark):
+    bounds = sorted([k * 0.5 for k in range(1, 4000)] + [7.0] * 90 + [float("inf")])
+    values = [None, -1.0, 0.5, 6.9, 7.0, 7.1, 1999.5, 1e9, float("inf"), float("nan")]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate(values)], "id INT, v DOUBLE")
+    found = with_range_buckets(
+        df, {"x": F.col("v"), "y": F.col("id").cast("long"), "z": F.col("v")}, {"x": bounds, "y": [2, 2, 5], "z": []}
+    )
+    got = {r["id"]: (r["x"], r["y"], r["z"]) for r in found.collect()}
+    below = [0 if v is None else len(bounds) if v != v else bisect.bisect_right(bounds, v) for v in values]
+    assert got == {k: (below[k], bisect.bisect_right([2, 2, 5], k), 0) for k in range(len(values))}
+    assert found._jdf.queryExecution().analyzed().toString().count("CASE WHEN") <= 2 * len(bounds).bit_length()

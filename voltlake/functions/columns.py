@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def to_double(name: str) -> Column:
@@ -52,22 +54,29 @@ def date_key(value: Column) -> Column:
     return (F.year(value) * 10000 + F.month(value) * 100 + F.dayofmonth(value)).cast("int")
 
 
-def range_bucket(value: Column, bounds: list) -> Column:
-    """How many of the sorted ``bounds`` are <= value, found by halving.
+def with_range_buckets(df: DataFrame, ranks: Mapping[str, Column], bounds: Mapping[str, Sequence]) -> DataFrame:
+    """Adds a long column for each of ``ranks``: how many of its sorted ``bounds`` are <= the rank.
 
-    The tree is log2(len(bounds)) comparisons deep and compiles with the rest of
-    the stage. Nulls fall into bucket 0.
+    Found by halving, one step of all searches in each projection, with the bounds in one constant:
+    plan and compiled code grow with log2(len(bounds)) only. Nulls fall into bucket 0.
     """
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value >= F.lit(bounds[middle]), search(middle + 1, high)).otherwise(
-            search(low, middle)
+    rank = {name: f"__rank_{name}" for name in ranks}
+    df = df.withColumns({rank[name]: value for name, value in ranks.items()})
+    # As one text, since a constant of many elements would be as many expressions.
+    listed = {
+        name: F.split(F.lit(",".join(map(str, bounds[name]))), ",").cast(T.ArrayType(df.schema[rank[name]].dataType))
+        for name in ranks
+        if bounds[name]
+    }
+    df = df.withColumns({name: F.lit(0) for name in ranks})
+    for k in reversed(range(max([len(bounds[name]).bit_length() for name in listed], default=0))):
+        step = 1 << k
+        taken = {name: F.col(rank[name]) >= F.get(known, F.col(name) + (step - 1)) for name, known in listed.items()}
+        # Beyond the last bound there is null, and the step is not taken.
+        df = df.withColumns(
+            {name: F.when(beyond, F.col(name) + step).otherwise(F.col(name)) for name, beyond in taken.items()}
         )
-
-    return search(0, len(bounds)).cast("long")
+    return df.withColumns({name: F.col(name).cast("long") for name in ranks}).drop(*rank.values())
 
 
 def interleave(buckets: list[Column], bits: int) -> Column:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from voltlake.functions.columns import interleave, range_bucket
+from voltlake.functions.columns import interleave, with_range_buckets
 from voltlake.sources.readers import WIDENED, append_evolving, conformed, merged_schema
 from voltlake.specs import RETENTION_HOURS
 
@@ -251,20 +251,21 @@ def _rankable(df: DataFrame, column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def cluster_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
-    """Z-order value over quantile buckets of ``columns``, as a column for ``df``.
+def with_cluster_value(df: DataFrame, columns: Sequence[str], bits: int = 6) -> DataFrame:
+    """Adds ``_z``, the Z-order value over quantile buckets of ``columns``.
 
-    The bucket bounds are approximate quantiles of all rows, found in one aggregate; they steer
-    the layout only, never the result.
+    The bucket bounds are approximate quantiles of all rows, found in one aggregate and off by a
+    tenth of a cell at most; they steer the layout only, never the result.
     """
     cells = 2**bits
     wanted = [k / cells for k in range(1, cells)]
-    ranks = {c: _rankable(df, c) for c in columns}
-    quantiles = [F.percentile_approx(rank, wanted, 100 * cells) for rank in ranks.values()]
+    ranks = {f"_cell_{k}": _rankable(df, c) for k, c in enumerate(columns)}
+    quantiles = [F.percentile_approx(rank, wanted, max(10_000, 10 * cells)) for rank in ranks.values()]
     found = df.agg(*quantiles).first()
     # A value that fills several cells takes the last of them, so that columns of few values keep their weight.
-    buckets = [range_bucket(rank, sorted(bounds or [])) for rank, bounds in zip(ranks.values(), found)]
-    return interleave(buckets, bits)
+    bounds = {name: sorted(each or []) for name, each in zip(ranks, found)}
+    marked = with_range_buckets(df, ranks, bounds)
+    return marked.withColumn("_z", interleave([F.col(name) for name in ranks], bits)).drop(*ranks)
 
 
 def cluster(
@@ -288,7 +289,7 @@ def cluster(
     bits = max(bits, math.ceil(math.log2(2 * files)))
     whole_row = F.xxhash64(*[f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)])
     laid_out = (
-        df.withColumn("_z", cluster_value(df, columns, bits))
+        with_cluster_value(df, columns, bits)
         .repartitionByRange(files, *ordered, whole_row)
         .sortWithinPartitions(*ordered)
         .drop("_z")

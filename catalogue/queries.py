@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date
 from functools import partial
@@ -365,11 +366,17 @@ def snapshot_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.history(spark, path).select("version", "operation", "n_rows")
 
 
+PIECE_BYTES = 16 << 20  # of the table's files, for one piece of each append
+
+
 def _lines_in_pieces(spark: SparkSession, sf_dir: str, label: str) -> str:
+    """Lineitem published in three appends of many pieces; their number grows with the table, so that a
+    task does not."""
     path = f"{work_dir(spark, label)}/lineitem"
     lines = table(spark, sf_dir, "lineitem")
+    pieces = max(8, math.ceil(snapshots.files_bytes(spark, lines.inputFiles()) / PIECE_BYTES))
     for flag in ("A", "N", "R"):
-        part = lines.filter(F.col("l_returnflag") == flag).repartition(8, "l_orderkey")
+        part = lines.filter(F.col("l_returnflag") == flag).repartition(pieces, "l_orderkey", "l_linenumber")
         snapshots.publish(spark, part, path)
     return path
 

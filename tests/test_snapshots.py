@@ -4,6 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from catalogue import queries
 from voltlake.functions.columns import with_range_buckets
 from voltlake.session import work_dir
 from voltlake.sources import snapshots as S
@@ -201,3 +202,22 @@ def test_buckets_of_many_bounds_are_exact_and_leave_the_plan_small(spark):
     below = [0 if v is None else len(bounds) if v != v else bisect.bisect_right(bounds, v) for v in values]
     assert got == {k: (below[k], bisect.bisect_right([2, 2, 5], k), 0) for k in range(len(values))}
     assert found._jdf.queryExecution().analyzed().toString().count("CASE WHEN") <= 2 * len(bounds).bit_length()
+
+
+def test_the_pieces_of_lineitem_grow_in_number_not_in_size(spark, tmp_path, monkeypatch):
+    lines = spark.range(4000).select(
+        F.lit(1).cast("long").alias("l_orderkey"), F.col("id").cast("int").alias("l_linenumber"),
+        F.element_at(F.array(F.lit("A"), F.lit("N"), F.lit("R")), (F.col("id") % 3 + 1).cast("int")).alias("l_returnflag"),
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    few = S.history(spark, queries._lines_in_pieces(spark, str(tmp_path), "few")).agg(F.max("n_files")).first()[0]
+    monkeypatch.setattr(queries, "PIECE_BYTES", 1 << 10)
+    path = queries._lines_in_pieces(spark, str(tmp_path), "many")
+    # Even of one order; a task that compacts has a target's bytes.
+    pieces = S.read_snapshot(spark, path).groupBy(F.col("_metadata.file_path")).count()
+    assert few <= 24 < pieces.count() and pieces.agg(F.max("count")).first()[0] < 4000 / 24
+    size = S.table_bytes(spark, path)
+    S.compact(spark, path, target_bytes=size // 4)
+    merged = S.read_snapshot(spark, path).groupBy(F.col("_metadata.file_path")).count()
+    assert rows(S.read_snapshot(spark, path)) == rows(lines)
+    assert merged.agg(F.max("count")).first()[0] < 4000 / 4 * 1.3

@@ -127,6 +127,11 @@ def _size(spark: SparkSession, path: str, folder: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+def files_bytes(spark: SparkSession, files: Sequence[str]) -> int:
+    """Bytes of some files, as the file system has them."""
+    return sum(fs.getFileStatus(target).getLen() for target, fs in (_path(spark, f) for f in files))
+
+
 def _commit(
     spark: SparkSession,
     path: str,

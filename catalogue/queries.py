@@ -692,18 +692,23 @@ def _arrivals(
     spark: SparkSession, rows: DataFrame, ts: str, root: str, job, times: int = 3, sink=jobs.run_to_files
 ) -> int:
     """Runs a streaming job over ``rows`` as they arrive: in ``times`` stretches of event time, a
-    run after each. Returns the rows left out as late."""
+    run after each. Returns the rows left out as late.
+
+    The rows are worked out and written once; a run sees the folders of the stretches up to its own."""
     first, last = rows.agg(F.min(ts), F.max(ts)).first()
-    step = (last - first) / times if first else None
     late, schema = 0, rows.schema
+    if first == last:  # no stretches, or no rows
+        for k in range(times):
+            rows.write.parquet(f"{root}/raw/arrival={k}")
+    else:
+        step, arrival = (last - first) / times, F.lit(0)
+        for k in range(1, times):
+            arrival = F.when(F.col(ts) >= F.lit(first + k * step), k).otherwise(arrival)
+        sent = rows.filter(F.col(ts).isNotNull()).withColumn("arrival", arrival)
+        sent.write.partitionBy("arrival").parquet(f"{root}/raw")
     for k in range(times):
-        part = rows
-        if step and k > 0:
-            part = part.filter(F.col(ts) >= F.lit(first + k * step))
-        if step and k < times - 1:
-            part = part.filter(F.col(ts) < F.lit(first + (k + 1) * step))
-        part.write.parquet(f"{root}/raw/arrival={k}")
-        stream = jobs.stream_files(spark, f"{root}/raw/*", schema, glob="*.parquet")
+        here = ",".join(map(str, range(k + 1)))
+        stream = jobs.stream_files(spark, f"{root}/raw/arrival={{{here}}}", schema, glob="*.parquet")
         late += sink(job(stream), f"{root}/out", f"{root}/checkpoint")
     return late
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -125,6 +126,50 @@ def test_library_encoder_gives_whole_texts(vocabulary, library, in_chunks):
         assert np.frombuffer(raw, "<u4").tolist() == ids_of(library, text)
 
 
+class Counted:
+    """A tokenizer that notes the lines it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.lines = tokenizer, []
+
+    def encode(self, text, **more):
+        self.lines += text.split("\n")
+        return self.tokenizer.encode(text, **more)
+
+    def encode_batch_fast(self, texts, **more):
+        self.lines += [line for text in texts for line in text.split("\n")]
+        return self.tokenizer.encode_batch_fast(texts, **more)
+
+
+def test_library_gets_a_word_once_whatever_signs_follow(vocabulary, library):
+    coder = token_files.LibraryEncoder(vocabulary)
+    coder._tokenizer = counted = Counted(coder._tokenizer)
+    texts = [f"tionchoi jadoes{signs} jadoes tionchoi{signs}" for signs in (".", ",", "***", "&&&.", "'", "?!")]
+    texts += [f"jadoes{signs}" for signs in ("é.", "\u0301.", "×.", "5.", "'s.", "_'s'")]
+    for text, raw in zip(texts, coder.encode_batch(texts)):
+        assert np.frombuffer(raw, "<u4").tolist() == ids_of(library, text)
+    assert counted.lines.count(" jadoes") == counted.lines.count("tionchoi") == 1
+
+
+def test_library_encoder_keeps_words_that_are_used_often(vocabulary, library):
+    coder = token_files.LibraryEncoder(vocabulary, remembered=8)
+    coder._tokenizer = counted = Counted(coder._tokenizer)
+    for text in ("often one", "often two", "often three", "four five six seven eight", "nine ten", "often one"):
+        assert np.frombuffer(coder.encode_batch([text])[0], "<u4").tolist() == ids_of(library, text)
+        assert len(coder._places) <= 8
+    assert counted.lines.count("often") == 1
+
+
+def test_library_encoder_of_odd_columns(vocabulary, library):
+    coder = token_files.LibraryEncoder(vocabulary)
+    assert coder.encode_batch([]) == []
+    texts = ["", "a <|endoftext|> b", "", "x\0y. z", "one  two\n\n", "<|endoftext|>"]
+    for column in (pa.array(["cut off", *texts]).slice(1), pa.array(texts, pa.large_string())):
+        ids, numbers = coder.encode_column(column)
+        expected = [ids_of(library, t) for t in texts]
+        assert numbers.tolist() == list(map(len, expected)) and ids.tolist() == sum(expected, [])
+
+
 def test_token_files(spark, docs, no_docs, vocabulary, library, tmp_path):
     out = str(tmp_path / "tokens")
     token_files.write_tokens(docs, vocabulary, out)

@@ -10,17 +10,18 @@ the column of tokens.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from voltlake.llm.chunks import Memo, chunks
+from voltlake.llm.chunks import SPACE, chunks
 from voltlake.llm.common import texts
 from voltlake.llm.rank_bpe import in_pieces
 from voltlake.llm.vocabulary import load
@@ -35,14 +36,20 @@ FORMAT = {
     "compression": "zstd",
 }
 
+SIGNS = string.punctuation
+LETTER_LAST = "[A-Za-zÀ-ÖØ-öø-ɏ]$"  # Latin ones, which are letters to every version of Unicode
+# Texts with single blanks and single line ends only are cut at each of them.
+UNUSUAL = "[" + SPACE.replace(" ", "").replace("\n", "") + "]|[ \n][ \n]"
+
 
 class LibraryEncoder:
-    """Ids from the tokenizers library, as bytes of little-endian 32-bit integers.
+    """Ids from the tokenizers library.
 
-    Most chunks of a text have been seen before: a bounded number is remembered, and the library
-    encodes the new ones of a whole batch together, on lines of their own. That is exact for
-    byte-level files; for any other kind, and for texts that hold a special string, the library
-    gets the whole text.
+    Texts are cut into chunks by Arrow, and only the distinct chunks of a batch are Python objects.
+    Most of them have been seen before: the ids of a bounded number are remembered, the most used
+    longest, and the library encodes the new ones of a whole batch together, on lines of their own.
+    That is exact for byte-level files; for any other kind, and for texts that hold a special
+    string, the library gets the whole text.
     """
 
     def __init__(self, path: str, remembered: int = 400_000):
@@ -51,53 +58,134 @@ class LibraryEncoder:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_truncation()
         self._tokenizer.no_padding()
-        self._memo = Memo(self._ids, remembered)
+        self._remembered = remembered
+        # Place n has sizes[n] ids from starts[n] on, and so many batches have used it. Place 0 is the empty chunk.
+        self._places = {"": 0}
+        self._ids = np.zeros(0, dtype="<i4")
+        self._starts, self._sizes, self._uses = (np.zeros(1, dtype=np.int64) for _ in range(3))
         self._line_end = None
         try:
             vocabulary = load(path)
         except ValueError:
             return
-        self._special = vocabulary.special_pattern
+        self._special = list(vocabulary.special)
         self._line_end = vocabulary.id_of[b"\n"]
 
-    def _ids(self, text: str) -> bytes:
-        ids = self._tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
-
-    def _learn(self, found: set[str]) -> None:
-        """Remembers the ids of new chunks. One that ends in a full stop or comma after a letter
-        is the chunk before it and the sign, which never merge."""
-        memo = self._memo
-        new = {c for c in memo.new(found) if not c.isspace()}
-        ended = {c for c in new if c[-1] in ".," and c[-2:-1].isalpha()}
-        plain = new - ended
-        plain.update(memo.new({e[:-1] for e in ended}))
-        if not plain:
-            return
-        lines = [*plain, ".", ","]
-        ids = np.array(self._tokenizer.encode("\n".join(lines), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == self._line_end)
-        if len(ends) != len(lines) - 1:  # white space of its own kind was among them
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<i4")
+
+    def _learn(self, new: list[str]) -> None:
+        """Remembers the ids of new chunks, none of them empty."""
+        lines = [c for c in new if not c.isspace()]
+        if lines:
+            coded = self._tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0]
+            ids = np.array(coded.ids, dtype="<i4")
+            ends = np.flatnonzero(ids == self._line_end)
+            if len(ends) == len(lines) - 1:
+                starts = np.concatenate(([0], ends + 1))
+                self._remember(lines, ids, starts, np.append(ends, len(ids)) - starts)
+            else:  # white space of its own kind is among them
+                lines = []
+        if len(lines) < len(new):
+            alone = [c for c in new if c not in self._places]
+            each = list(map(self._whole, alone))
+            sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
+            self._remember(alone, np.concatenate(each), np.cumsum(sizes) - sizes, sizes)
+
+    def _remember(self, new: list[str], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
+        self._starts = np.concatenate((self._starts, len(self._ids) + starts))
+        self._sizes = np.concatenate((self._sizes, sizes))
+        self._uses = np.concatenate((self._uses, np.zeros(len(new), dtype=np.int64)))
+        self._ids = np.concatenate((self._ids, ids))
+        self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
+
+    def _ids_of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all chunks, one after another, and their numbers."""
+        parts = _without_signs(distinct).dictionary_encode()
+        words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if new := [w for w in words if w not in self._places]:
+            self._learn(new)
+        at = np.fromiter(map(self._places.__getitem__, words), dtype=np.int64, count=len(words))
+        self._uses[at] += 1
+        used = at[parts.indices.to_numpy()].reshape(2, -1).T.ravel()  # each chunk and its signs
+        sizes = self._sizes[used]
+        return self._ids[_ranges(self._starts[used], sizes)], sizes.reshape(-1, 2).sum(axis=1)
+
+    def _age(self) -> None:
+        """Forgets the less used half once there are too many; what stays counts half from then on."""
+        if len(self._places) <= self._remembered:
             return
-        raw, at = ids.tobytes(), 0
-        for chunk, end in zip(lines, [*(4 * ends).tolist(), len(raw)]):
-            memo[chunk] = raw[at:end]
-            at = end + 4
-        for chunk in ended:
-            memo[chunk] = memo[chunk[:-1]] + memo[chunk[-1]]
+        rank = max(len(self._uses) - self._remembered // 2, 0)
+        kept = self._uses > np.partition(self._uses, rank)[rank]
+        kept[0] = True
+        self._ids = self._ids[_ranges(self._starts[kept], self._sizes[kept])]
+        chunks_kept = [c for c, k in zip(self._places, kept.tolist()) if k]
+        self._places = dict(zip(chunks_kept, range(len(chunks_kept))))
+        self._sizes, self._uses = self._sizes[kept], self._uses[kept] >> 1
+        self._starts = np.cumsum(self._sizes) - self._sizes
+
+    def _cut(self, texts: pa.Array) -> tuple[pa.Array, list[int]]:
+        """Each text with a NUL between its chunks, and which are left empty, for the library to
+        get them whole."""
+        whole = pc.match_substring(texts, "\0")
+        for special in self._special:
+            whole = pc.or_(whole, pc.match_substring(texts, special))
+        cut = pc.replace_substring(pc.replace_substring(texts, " ", "\0 "), "\n", "\0\n\0")
+        other = pc.or_(whole, pc.match_substring_regex(texts, UNUSUAL))
+        if pc.any(other).as_py():
+            by_hand = ["" if w else "\0".join(chunks(t)) for t, w in zip(texts.filter(other).to_pylist(), whole.filter(other).to_pylist())]
+            cut = pc.replace_with_mask(cut, other, pa.array(by_hand, texts.type))
+        return cut, np.flatnonzero(whole.to_numpy(zero_copy_only=False)).tolist()
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all whole texts, one after another, and their numbers; null is not allowed here."""
+        if self._line_end is None:
+            each = [self._whole(t) for t in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, dtype="<i4"), *each]), np.array([len(e) for e in each], dtype=np.int64)
+        if not len(texts):
+            return np.zeros(0, dtype="<i4"), np.zeros(0, dtype=np.int64)
+        cut, whole = self._cut(texts.cast(pa.string()))
+        lists = pc.split_pattern(cut, "\0")
+        coded = lists.flatten().dictionary_encode()
+        known, sizes = self._ids_of(coded.dictionary)
+        used = coded.indices.to_numpy()
+        ids = known[_ranges((np.cumsum(sizes) - sizes)[used], sizes[used])]
+        sizes = sizes[used]
+        until = np.concatenate(([0], np.cumsum(sizes)))
+        ends = until[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        numbers = np.diff(ends)
+        if whole:
+            each = [self._whole(texts[k].as_py()) for k in whole]
+            parts = np.split(ids, ends[whole])
+            ids = np.concatenate([parts[0], *(x for pair in zip(each, parts[1:]) for x in pair)])
+            numbers[whole] = list(map(len, each))
+        self._age()
+        return ids, numbers
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """The ids of each whole text; null is not allowed here."""
-        if self._line_end is None:
-            return [self._ids(t) for t in texts]
-        special = self._special.search if self._special else lambda text: None
-        cut = [[] if special(t) else chunks(t) for t in texts]
-        found = set(chain.from_iterable(cut))
-        self._learn(found)
-        of = self._memo.__getitem__
-        coded = [b"".join(map(of, c)) if c else self._ids(t) for t, c in zip(texts, cut)]
-        self._memo.age(found)
-        return coded
+        """The ids of each whole text, as bytes of little-endian 32-bit integers."""
+        ids, numbers = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), 4 * np.cumsum(numbers)
+        return [raw[a:b] for a, b in zip((ends - 4 * numbers).tolist(), ends.tolist())]
+
+
+def _without_signs(chunks: pa.Array) -> pa.Array:
+    """All chunks without the ASCII signs that follow a letter at their end, which never merge with
+    it, then these signs of all chunks."""
+    before = pc.utf8_rtrim(chunks, SIGNS)
+    before = pc.if_else(pc.match_substring_regex(before, LETTER_LAST), before, chunks)
+    ends = np.frombuffer(chunks.buffers()[1], dtype=np.int32)[chunks.offset :][: len(chunks) + 1].astype(np.int64)
+    sizes = np.diff(ends) - pc.binary_length(before).to_numpy()
+    signs = np.frombuffer(chunks.buffers()[2] or b"", dtype=np.uint8)[_ranges(ends[1:] - sizes, sizes)]
+    offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
+    signs = pa.StringArray.from_buffers(len(chunks), pa.py_buffer(offsets), pa.py_buffer(signs))
+    return pa.concat_arrays([before, signs])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[k] to starts[k] + sizes[k] - 1, for all k one after another."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
 
 
 _encoders: dict[str, LibraryEncoder] = {}
@@ -125,22 +213,21 @@ def write_tokens(
     their texts; null ids come first. An empty table writes no rows. Other columns play no part.
     """
     source = texts(docs, id_col, text_col)
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, start = encoder(tokenizer).encode_batch, TaskContext.get().partitionId(), 0
+        coder, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             for piece in in_pieces(batch):
-                coded = [c + end for c in encode(piece.column("text").to_pylist())]
-                sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) >> 2
-                ends = np.concatenate(([0], np.cumsum(sizes)))
-                values = np.frombuffer(b"".join(coded), dtype="<i4")
+                ids, sizes = coder.encode_column(piece.column("text"))
+                ends = np.concatenate(([0], np.cumsum(sizes + 1)))
+                values = np.full(ends[-1], end_id, dtype="<i4")
+                values[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
-                        pa.array(np.full(len(coded), part, dtype=np.int32)),
+                        pa.array(np.full(len(sizes), part, dtype=np.int32)),
                         pa.array(start + ends[:-1]),
-                        pa.array(sizes),
+                        pa.array(sizes + 1),
                         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values)),
                     ],
                     ["doc_id", "part", "start_in_part", "n_tokens", "token_ids"],

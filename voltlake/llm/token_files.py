@@ -13,6 +13,7 @@ from __future__ import annotations
 import string
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,7 @@ FORMAT = {
     "compression": "zstd",
 }
 
+LOT = 1000
 SIGNS = string.punctuation
 LETTER_LAST = "[A-Za-zÀ-ÖØ-öø-ɏ]$"  # Latin ones, which are letters to every version of Unicode
 # Texts with single blanks and single line ends only are cut at each of them.
@@ -78,8 +80,7 @@ class LibraryEncoder:
         """Remembers the ids of new chunks, none of them empty."""
         lines = [c for c in new if not c.isspace()]
         if lines:
-            coded = self._tokenizer.encode_batch_fast(["\n".join(lines)], add_special_tokens=False)[0]
-            ids = np.array(coded.ids, dtype="<i4")
+            ids = np.array(self._line_ids(lines), dtype="<i4")
             ends = np.flatnonzero(ids == self._line_end)
             if len(ends) == len(lines) - 1:
                 starts = np.concatenate(([0], ends + 1))
@@ -92,6 +93,15 @@ class LibraryEncoder:
             sizes = np.fromiter(map(len, each), dtype=np.int64, count=len(each))
             self._remember(alone, np.concatenate(each), np.cumsum(sizes) - sizes, sizes)
 
+    def _line_ids(self, lines: list[str]) -> list[int]:
+        """The ids of lines, cut into lots that the processor's caches hold."""
+        ids = []
+        for k in range(0, len(lines), LOT):
+            text = "\n".join(lines[k : k + LOT])
+            ids += self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            ids.append(self._line_end)
+        return ids[:-1]
+
     def _remember(self, new: list[str], ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> None:
         self._starts = np.concatenate((self._starts, len(self._ids) + starts))
         self._sizes = np.concatenate((self._sizes, sizes))
@@ -99,17 +109,21 @@ class LibraryEncoder:
         self._ids = np.concatenate((self._ids, ids))
         self._places.update(zip(new, range(len(self._places), len(self._places) + len(new))))
 
-    def _ids_of(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all chunks, one after another, and their numbers."""
+    def _ids_of(self, distinct: pa.Array) -> pa.ListArray:
+        """The ids of each chunk."""
         parts = _without_signs(distinct).dictionary_encode()
         words = parts.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if new := [w for w in words if w not in self._places]:
+        at = np.fromiter(map(self._places.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            new = [words[k] for k in missing.tolist()]
             self._learn(new)
-        at = np.fromiter(map(self._places.__getitem__, words), dtype=np.int64, count=len(words))
+            at[missing] = [self._places[w] for w in new]
         self._uses[at] += 1
         used = at[parts.indices.to_numpy()].reshape(2, -1).T.ravel()  # each chunk and its signs
         sizes = self._sizes[used]
-        return self._ids[_ranges(self._starts[used], sizes)], sizes.reshape(-1, 2).sum(axis=1)
+        ends = np.concatenate(([0], np.cumsum(sizes)[1::2])).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(self._ids[_ranges(self._starts[used], sizes)]))
 
     def _age(self) -> None:
         """Forgets the less used half once there are too many; what stays counts half from then on."""
@@ -147,12 +161,9 @@ class LibraryEncoder:
         cut, whole = self._cut(texts.cast(pa.string()))
         lists = pc.split_pattern(cut, "\0")
         coded = lists.flatten().dictionary_encode()
-        known, sizes = self._ids_of(coded.dictionary)
-        used = coded.indices.to_numpy()
-        ids = known[_ranges((np.cumsum(sizes) - sizes)[used], sizes[used])]
-        sizes = sizes[used]
-        until = np.concatenate(([0], np.cumsum(sizes)))
-        ends = until[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        found = self._ids_of(coded.dictionary).take(coded.indices)
+        ids = found.flatten().to_numpy()
+        ends = found.offsets.to_numpy()[lists.offsets.to_numpy()].astype(np.int64)
         numbers = np.diff(ends)
         if whole:
             each = [self._whole(texts[k].as_py()) for k in whole]
@@ -213,15 +224,16 @@ def write_tokens(
     their texts; null ids come first. An empty table writes no rows. Other columns play no part.
     """
     source = texts(docs, id_col, text_col)
+    end = np.array([end_id], dtype="<i4")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, start = encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
-            for piece in in_pieces(batch):
+            for piece in in_pieces(batch, 8 << 20):
                 ids, sizes = coder.encode_column(piece.column("text"))
-                ends = np.concatenate(([0], np.cumsum(sizes + 1)))
-                values = np.full(ends[-1], end_id, dtype="<i4")
-                values[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+                cuts = np.concatenate(([0], np.cumsum(sizes)))
+                values = np.concatenate([x for a, b in pairwise(cuts.tolist()) for x in (ids[a:b], end)])
+                ends = cuts + np.arange(len(cuts))
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"),
